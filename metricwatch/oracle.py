@@ -158,13 +158,13 @@ def detection_ctes(src: str = "master", cfg: Config = CFG, metrics: Sequence[str
     n, k = cfg.rolling_window, cfg.rolling_min_periods
     frame = f"(PARTITION BY {key} ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     roll = ", ".join(
-        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN avg({m}) OVER {frame} END, {cfg.digits(m)}) AS {m}_roll_mean, "
-        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN stddev_samp({m}) OVER {frame} END, {cfg.std_digits(m)}) AS {m}_roll_std"
+        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN avg({m}) OVER {frame} END, {cfg.digits(m)}) + 0.0 AS {m}_roll_mean, "
+        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN stddev_samp({m}) OVER {frame} END, {cfg.std_digits(m)}) + 0.0 AS {m}_roll_std"
         for m in metrics)
-    zs = ", ".join(f"round(({m} - {m}_roll_mean) / NULLIF({m}_roll_std, 0), {cfg.score_digits}) AS {m}_roll_zscore"
+    zs = ", ".join(f"round(({m} - {m}_roll_mean) / NULLIF({m}_roll_std, 0), {cfg.score_digits}) + 0.0 AS {m}_roll_zscore"
                    for m in metrics)
     half = cfg.yoy_window // 2
-    yoy_avgs = ", ".join(f"round(avg(h.{m}), {cfg.digits(m)}) AS {m}_yoy_mean" for m in metrics)
+    yoy_avgs = ", ".join(f"round(avg(h.{m}), {cfg.digits(m)}) + 0.0 AS {m}_yoy_mean" for m in metrics)
     ctes = [
         ("d_roll", f"""
           SELECT *, {roll},
@@ -186,7 +186,7 @@ def detection_ctes(src: str = "master", cfg: Config = CFG, metrics: Sequence[str
           FROM d_yoy_keys y JOIN {src} h ON h.{key} = y.{key} AND h.date = y.hdate GROUP BY y.{key}, y.date"""),
         ("d_base", f"""
           SELECT t.*, {", ".join(f"y.{m}_yoy_mean" for m in metrics)},
-                 {", ".join(f"round(({m} - y.{m}_yoy_mean) / NULLIF(abs(y.{m}_yoy_mean), 0), {cfg.score_digits}) AS {m}_yoy_deviation" for m in metrics)}
+                 {", ".join(f"round(({m} - y.{m}_yoy_mean) / NULLIF(abs(y.{m}_yoy_mean), 0), {cfg.score_digits}) + 0.0 AS {m}_yoy_deviation" for m in metrics)}
           FROM d_roll2 t LEFT JOIN d_yoy y ON y.{key} = t.{key} AND y.date = t.date"""),
     ]
     # severities with suppressors
@@ -354,7 +354,7 @@ def _build() -> None:
          ["sales", "actual_value"])
     _reg("combined_severity", det, _stack("d_sev", {"severity": label("{m}_sev0"), "triggered_by": "{m}_trig0"},
                                           "severity"))
-    _reg("zero_run_length", det, "SELECT asin, date, units, zero_run FROM d_base", ["units"])
+    _reg("zero_run_length", det, "SELECT asin, date, units, CAST(zero_run AS INTEGER) AS zero_run FROM d_base", ["units"])
     for name, only, ms in (("floor_return_rate", ["return_rate"], ["return_rate"]),
                            ("floor_conversion_drop", ["conversion_drop"], ["conversion_rate"]),
                            ("floor_margin", ["margin"], ["margin"]),
@@ -367,10 +367,246 @@ def _build() -> None:
         f"{label(m + '_sev')} AS {m}_severity, {m}_trig AS {m}_triggered_by" for m in M) + " FROM d_scored")
     _reg("long_alerts", det + [("a", long_sql("d_scored", CFG, improvements=False))], "SELECT * FROM a", ALERT_DOUBLES)
     _reg("improvements", det + [("a", long_sql("d_scored", CFG, alerts=False))], "SELECT * FROM a", ALERT_DOUBLES)
-    _reg("yoy_available", MASTER, f"""SELECT asin, datediff('day', min(date), max(date)) AS span_days,
+    _reg("yoy_available", MASTER, f"""SELECT asin, CAST(datediff('day', min(date), max(date)) AS INTEGER) AS span_days,
         datediff('day', min(date), max(date)) >= {CFG.min_history_days} AS yoy_available FROM master GROUP BY asin""")
     _reg("detect_day", det + [("alerts", long_sql("d_scored", CFG))],
          "SELECT * FROM alerts WHERE date = (SELECT max(date) FROM master)", ALERT_DOUBLES)
 
 
+
+# --------------------------------------------------------------------------- alerts / digest / backtest
+
+from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, METRIC_LABELS, PCT_METRICS,  # noqa: E402
+                               RANK_METRICS, RATING_METRICS, SEVERITY_ORDER, SHORT_TRIGGERS, TIER_LABELS,
+                               TRIGGER_LABELS)
+from .config import TIER_ORDER  # noqa: E402
+
+
+def _inlist(vals) -> str:
+    return "(" + ", ".join(lit(v) for v in vals) + ")"
+
+
+def tier_rank_sql(c: str = "tier") -> str:
+    return "(CASE " + " ".join(f"WHEN {c} = {lit(t)} THEN {i}" for i, t in enumerate(TIER_ORDER)) + f" ELSE {len(TIER_ORDER)} END)"
+
+
+def sev_order_sql(c: str = "severity") -> str:
+    return "(CASE " + " ".join(f"WHEN {c} = {lit(t)} THEN {i}" for i, t in enumerate(SEVERITY_ORDER)) + f" ELSE {len(SEVERITY_ORDER)} END)"
+
+
+def _num(x: str, d: int) -> str:
+    return f"printf('%.{d}f', {x})"
+
+
+def _grouped(x: str, d: int) -> str:
+    return f"format('{{:,.{d}f}}', {x})"
+
+
+def fmt_sql(v: str, metric: str = "metric") -> str:
+    return (f"(CASE WHEN {v} IS NULL THEN 'N/A' "
+            f"WHEN {metric} IN {_inlist(PCT_METRICS)} THEN {_num(v + ' * 100', 1)} || '%' "
+            f"WHEN {metric} IN {_inlist(DOLLAR_METRICS)} THEN '$' || {_grouped(v, 2)} "
+            f"WHEN {metric} IN {_inlist(RANK_METRICS)} THEN '#' || format('{{:,}}', CAST(trunc({v}) AS BIGINT)) "
+            f"WHEN {metric} IN {_inlist(RATING_METRICS)} THEN {_num(v, 1)} || '★' "
+            f"WHEN {metric} IN {_inlist(COUNT_METRICS)} THEN format('{{:,}}', CAST(trunc({v}) AS BIGINT)) "
+            f"ELSE {_grouped(v, 2)} END)")
+
+
+def _sign(x: str) -> str:
+    return f"(CASE WHEN {x} >= 0 THEN '+' ELSE '' END)"
+
+
+def map_sql(c: str, pairs, passthrough: bool = True) -> str:
+    body = " ".join(f"WHEN {c} = {lit(k)} THEN {lit(v)}" for k, v in pairs)
+    return f"(CASE {body} ELSE {c if passthrough else 'NULL'} END)"
+
+
+YOY_FIRST = "(triggered_by IN ('yoy', 'both') AND yoy_baseline IS NOT NULL)"
+SHOWN_BASE = f"(CASE WHEN {YOY_FIRST} THEN yoy_baseline ELSE expected_value END)"
+
+
+def display_deviation_sql() -> str:
+    diff = f"(actual_value - {SHOWN_BASE})"
+    s = _sign(diff)
+    return (f"(CASE WHEN {diff} IS NULL THEN '—' "
+            f"WHEN metric IN {_inlist(PCT_METRICS)} THEN {s} || {_num(diff + ' * 100', 1)} || 'pp' "
+            f"WHEN metric IN {_inlist(DOLLAR_METRICS)} THEN (CASE WHEN {diff} >= 0 THEN '+' ELSE '-' END) || '$' || {_grouped('abs(' + diff + ')', 2)} "
+            f"WHEN metric IN {_inlist(RANK_METRICS + COUNT_METRICS)} THEN {s} || {_grouped(diff, 0)} "
+            f"WHEN metric IN {_inlist(RATING_METRICS)} THEN {s} || {_num(diff, 2)} || '★' "
+            f"ELSE {s} || {_grouped(diff, 2)} END)")
+
+
+def pointed_sql(flags: str = "flags") -> str:
+    has = lambda m: f"list_contains(string_split(COALESCE({flags}, ''), ','), {lit(m)})"
+    return f"""(CASE
+      WHEN metric = 'margin' THEN (CASE WHEN {has('tacos')} AND {has('acos')} THEN 'Ad spend likely driver — both ACoS and TACoS also flagged for this product.'
+           WHEN {has('tacos')} THEN 'Ad spend likely driver — TACoS also flagged for this product.'
+           WHEN {has('acos')} THEN 'Ad spend likely driver — ACoS also flagged for this product.'
+           ELSE 'Check COGS or FBA fees — ad spend looks stable.' END)
+      WHEN metric = 'sales' THEN (CASE WHEN {has('conversion_rate')} THEN 'Listing or pricing issue — conversion rate also down.'
+           ELSE 'Check inventory levels, listing visibility, or ad spend.' END)
+      WHEN metric = 'return_rate' THEN (CASE WHEN top_return_reason IS NOT NULL THEN 'Top return reason on record: ' || top_return_reason || '.'
+           ELSE 'Check FBA returns report for this ASIN.' END)
+      WHEN metric = 'acos' THEN (CASE WHEN {has('sales')} THEN 'ACoS rising while sales also declining — check bid strategy or targeting.'
+           ELSE 'Review keyword bids and ad targeting.' END)
+      WHEN metric = 'tacos' THEN (CASE WHEN {has('sales')} THEN 'TACoS rising as sales decline — ad spend not generating enough revenue.'
+           ELSE 'Check campaign budgets relative to total revenue.' END)
+      WHEN metric = 'conversion_rate' THEN (CASE WHEN {has('sales')} THEN 'Both conversion and sales down — likely listing or pricing issue.'
+           ELSE 'Check listing content, images, or recent pricing changes.' END)
+      WHEN metric = 'keyword_avg_rank' THEN 'Check ad spend on key terms and listing relevance.'
+      WHEN metric = 'review_rating' THEN 'Check recent reviews for quality or fulfilment complaints.'
+      WHEN metric = 'review_count' THEN 'Check for unusual review activity or Amazon review removals.'
+      WHEN metric = 'organic_top10_count' THEN 'Check listing content changes and keyword targeting.'
+      ELSE '' END)"""
+
+
+MARGIN_IMPACT = ("(CASE WHEN metric = 'margin' AND triggered_by IN ('yoy', 'both') AND sales_roll_mean > 0 "
+                 "AND actual_value IS NOT NULL AND yoy_baseline IS NOT NULL "
+                 "THEN abs(actual_value - yoy_baseline) * sales_roll_mean END)")
+
+
+def explanation_sql(flags: str = "flags") -> str:
+    label = map_sql("metric", METRIC_LABELS)
+    product = "COALESCE(title, asin)"
+    actual, expected = fmt_sql("actual_value"), fmt_sql("expected_value")
+    reason = "(CASE WHEN metric = 'return_rate' AND top_return_reason IS NOT NULL THEN ' Top return reason: ' || top_return_reason || '.' ELSE '' END)"
+    pointed = pointed_sql(flags)
+    causes = f"(CASE WHEN {pointed} <> '' THEN ' ' || {pointed} ELSE '' END)"
+    impact = f"(CASE WHEN {MARGIN_IMPACT} IS NOT NULL THEN ' ~$' || {_grouped(MARGIN_IMPACT, 0)} || '/day in lost margin.' ELSE '' END)"
+    move = ("(CASE WHEN metric IN ('review_rating', 'review_count') AND z_score IS NOT NULL THEN "
+            "(CASE WHEN z_score > 0 THEN ' (increased unusually fast)' ELSE ' (decreased unusually fast)' END) ELSE '' END)")
+    diff = "(actual_value - yoy_baseline)"
+    abs_diff = (f"(CASE WHEN metric IN {_inlist(PCT_METRICS)} THEN {_num('abs(' + diff + ') * 100', 1)} || 'pp' "
+                f"WHEN metric IN {_inlist(DOLLAR_METRICS)} THEN '$' || {_grouped('abs(' + diff + ')', 2)} "
+                f"ELSE {_grouped('abs(' + diff + ')', 2)} END)")
+    absolute = (f"{label} || ' for ' || {product} || ' has hit a business-critical threshold at ' || {actual} || "
+                f"'. This triggers an alert regardless of trend.' || {reason} || {causes}")
+    yoy = (f"{label} || ' for ' || {product} || ' is ' || {actual} || ' — ' || {abs_diff} || "
+           f"(CASE WHEN {diff} >= 0 THEN ' above' ELSE ' below' END) || ' the same week last year (' || "
+           f"{fmt_sql('yoy_baseline')} || '). The 14-day average was ' || {expected} || '.' || {impact} || {reason} || {causes}")
+    zs = (f"{label} || ' for ' || {product} || ' is ' || {actual} || {move} || ', ' || {_num('abs(z_score)', 1)} || "
+          f"' standard deviations ' || (CASE WHEN z_score > 0 THEN 'above' ELSE 'below' END) || "
+          f"' its 14-day average of ' || {expected} || '. This is an unusual move for this product.' || {reason} || {causes}")
+    fallback = f"{label} || ' for ' || {product} || ' is ' || {actual} || ' vs expected ' || {expected} || '.' || {reason}"
+    return (f"(CASE WHEN triggered_by = 'absolute_threshold' THEN {absolute} "
+            f"WHEN triggered_by IN ('yoy', 'both') AND yoy_baseline IS NOT NULL AND actual_value IS NOT NULL THEN {yoy} "
+            f"WHEN z_score IS NOT NULL THEN {zs} ELSE {fallback} END)")
+
+
+def subject_sql(cfg: Config = CFG) -> str:
+    return (f"printf('{cfg.subject_prefix} %s | %d Critical | %d Warning | %d Watch', strftime(date, '%Y-%m-%d'), "
+            f"n_critical, n_warning, n_watch) || (CASE WHEN n_improvement > 0 THEN printf(' | %d Improving', n_improvement) ELSE '' END)")
+
+
+ALERT_COLS = ("asin, date, tier, title, category_bsr, yoy_available, top_return_reason, metric, actual_value, "
+              "expected_value, yoy_baseline, z_score, yoy_deviation, severity, triggered_by, sales_roll_mean")
+
+
+def _caps_case(cfg: Config = CFG) -> str:
+    parts = " ".join(f"WHEN severity = {lit(s)} THEN {int(c)}" for s, c in cfg.caps.items() if c)
+    return f"(CASE {parts} ELSE NULL END)"
+
+
+def alert_stage_ctes(cfg: Config = CFG) -> List[tuple]:
+    sup = "NOT (tier IS NOT DISTINCT FROM 'less_than_single')" if cfg.suppress_less_than_single else "TRUE"
+    return alerts_ctes(cfg) + [
+        ("suppressed", f"SELECT * FROM alerts WHERE {sup}"),
+        ("capped", f"""SELECT {ALERT_COLS} FROM (
+            SELECT *, row_number() OVER (PARTITION BY date, severity ORDER BY {tier_rank_sql()}, asin, metric) AS _r,
+                   {_caps_case(cfg)} AS _cap FROM suppressed) WHERE _cap IS NULL OR _r <= _cap"""),
+        ("flags", """SELECT date, asin, array_to_string(list_sort(list(DISTINCT metric)), ',') AS flags
+                     FROM capped WHERE severity <> 'improvement' GROUP BY date, asin"""),
+        ("with_flags", "SELECT c.*, f.flags FROM capped c LEFT JOIN flags f ON f.date = c.date AND f.asin = c.asin"),
+        ("summary", f"""SELECT date, {", ".join(f"count_if(severity = {lit(s)}) AS n_{s}" for s in SEVERITY_ORDER)},
+                        count(*) AS n_total, count(DISTINCT asin) AS n_asins FROM capped GROUP BY date"""),
+    ]
+
+
+def top_sql(src: str, cfg: Config = CFG, extra: str = "") -> str:
+    return f"""SELECT * FROM (
+        SELECT *{extra}, CAST(row_number() OVER (PARTITION BY date ORDER BY {sev_order_sql()}, {tier_rank_sql()}, asin, metric) AS INTEGER) AS position
+        FROM {src} WHERE severity IN ('critical', 'warning')) WHERE position <= {cfg.top_n}"""
+
+
+def lookback_sql(cfg: Config = CFG) -> str:
+    return f"SELECT * FROM alerts WHERE date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}"
+
+
+def pivot_sql(by: str) -> str:
+    cnt = ", ".join(f"count_if(severity = {lit(s)}) AS {s}" for s in ("critical", "warning", "watch"))
+    return f"SELECT {by}, {cnt}, count_if(severity = 'critical') + count_if(severity = 'warning') + count_if(severity = 'watch') AS total FROM lb GROUP BY {by}"
+
+
+def _build_alerts(cfg: Config = CFG) -> None:
+    A = alert_stage_ctes(cfg)
+    keys = "date, asin, metric, severity"
+    _reg("flagged_rows", A, "SELECT * FROM alerts WHERE severity IS NOT NULL AND severity <> 'None'")
+    _reg("anchor_filter", A, "SELECT * FROM alerts WHERE date = (SELECT max(date) FROM alerts)")
+    _reg("alert_suppress", A, "SELECT * FROM suppressed")
+    _reg("alert_caps", A, "SELECT * FROM capped")
+    _reg("tier_sort", A, f"""SELECT date, asin, metric, severity, tier, {tier_rank_sql()} AS tier_rank,
+        CAST(row_number() OVER (PARTITION BY date ORDER BY {tier_rank_sql()}, asin, metric) AS INTEGER) AS position FROM alerts""")
+    _reg("top_alerts", A, f"SELECT date, position, asin, metric, severity, tier FROM ({top_sql('capped', cfg)})")
+    _reg("cross_metric_flags", A, "SELECT * FROM flags")
+    _reg("fmt_value", A, f"""SELECT {keys}, {fmt_sql('actual_value')} AS actual_fmt, {fmt_sql('expected_value')} AS expected_fmt,
+        {fmt_sql('yoy_baseline')} AS yoy_fmt FROM alerts""")
+    _reg("fmt_signed", A, f"""SELECT {keys},
+        (CASE WHEN yoy_deviation IS NULL THEN 'N/A' ELSE {_sign('yoy_deviation')} || {_num('yoy_deviation * 100', 1)} || '%' END) AS deviation_fmt,
+        (CASE WHEN z_score IS NULL THEN 'N/A' ELSE {_sign('z_score')} || {_num('z_score', 2)} || 'σ' END) AS z_fmt FROM alerts""")
+    _reg("display_expected", A, f"""SELECT {keys}, triggered_by, (CASE WHEN {YOY_FIRST} THEN {fmt_sql('yoy_baseline')}
+        WHEN triggered_by = 'absolute_threshold' AND expected_value IS NULL THEN 'Business rule'
+        ELSE {fmt_sql('expected_value')} END) AS expected_display FROM alerts""")
+    _reg("display_deviation", A, f"SELECT {keys}, triggered_by, {display_deviation_sql()} AS deviation_display FROM alerts")
+    _reg("trigger_labels", A, f"""SELECT {keys}, {map_sql('triggered_by', TRIGGER_LABELS)} AS trigger_label,
+        {map_sql('triggered_by', SHORT_TRIGGERS)} AS trigger_short, {map_sql('tier', TIER_LABELS)} AS tier_label FROM alerts""")
+    _reg("pointed_reason", A, f"SELECT {keys}, {pointed_sql()} AS pointed_reason FROM with_flags")
+    _reg("margin_impact", A, f"SELECT {keys}, {MARGIN_IMPACT} AS daily_margin_impact FROM alerts WHERE {MARGIN_IMPACT} IS NOT NULL")
+    _reg("explanations", A, f"SELECT date, position, asin, metric, severity, {explanation_sql()} AS explanation FROM ({top_sql('with_flags', cfg)})")
+    _reg("digest_summary", A, "SELECT * FROM summary")
+    _reg("digest_subject", A, f"SELECT date, {subject_sql(cfg)} AS subject FROM summary")
+    _reg("section_rows", A, f"""SELECT date, {sev_order_sql()} AS section,
+        CAST(row_number() OVER w AS INTEGER) AS row_in_section,
+        (lag(COALESCE(tier, '')) OVER w IS NULL OR lag(COALESCE(tier, '')) OVER w <> COALESCE(tier, '')) AS is_group_head,
+        severity, tier, asin, metric
+        FROM capped WINDOW w AS (PARTITION BY date, severity ORDER BY {tier_rank_sql()}, asin, metric)""")
+    _reg("data_through", A, f"""SELECT date, CAST(date + {cfg.data_lag_days} AS DATE) AS run_date, date AS data_through,
+        CAST(date + {cfg.data_lag_days} - {cfg.data_lag_days} AS DATE) AS data_through_default FROM (SELECT DISTINCT date FROM alerts)""")
+    _reg("digest", A, f"""SELECT d.date,
+        CASE WHEN COALESCE(s.n_total, 0) = 0 THEN '{cfg.subject_prefix} ' || strftime(d.date, '%Y-%m-%d') || ' | No alerts today'
+             ELSE {subject_sql(cfg).replace('date', 's.date').replace("s.s.date", "s.date")} END AS subject,
+        COALESCE(s.n_total, 0) AS n_rows, COALESCE(s.n_asins, 0) AS n_asins
+        FROM (SELECT DISTINCT date FROM master) d LEFT JOIN summary s ON s.date = d.date""")
+    _reg("severity_breakdown", A, """SELECT 'severity' AS dimension, severity AS value, count(*) AS n FROM alerts GROUP BY severity
+        UNION ALL SELECT 'triggered_by', triggered_by, count(*) FROM alerts GROUP BY triggered_by""")
+    L = A + [("lb", lookback_sql(cfg))]
+    _reg("lookback_window", L, "SELECT * FROM lb")
+    _reg("backtest_daily", L, pivot_sql("date"))
+    _reg("backtest_by_metric", L, pivot_sql("metric"))
+    _reg("backtest_by_trigger", L, pivot_sql("triggered_by"))
+    D_ = L + [("daily", pivot_sql("date"))]
+    stats = ("SELECT avg(critical) AS avg_critical, avg(warning) AS avg_warning, avg(watch) AS avg_watch, "
+             "avg(total) AS avg_total, max(critical) AS max_critical, max(total) AS max_total FROM daily")
+    _reg("backtest_daily_stats", D_, stats)
+    _reg("backtest_verdict", D_, f"""SELECT avg_critical, CASE WHEN avg_critical > 20 THEN 'too_loose'
+        WHEN avg_critical > 10 THEN 'borderline' ELSE 'ok' END AS verdict FROM ({stats})""")
+    tiers = " UNION ALL ".join(f"SELECT {lit(t)} AS tier, {i} AS tier_rank" for i, t in enumerate(TIER_ORDER))
+    _reg("backtest_by_tier", L + [("crit", "SELECT tier, count(*) AS n FROM lb WHERE severity = 'critical' GROUP BY tier"),
+                                  ("tiers", tiers)],
+         f"""SELECT t.tier, COALESCE(c.n, 0) AS critical_count,
+             COALESCE(COALESCE(c.n, 0) * 100.0 / NULLIF(CAST((SELECT sum(n) FROM crit WHERE tier IN {_inlist(TIER_ORDER)}) AS DOUBLE), 0), 0.0) AS pct
+             FROM tiers t LEFT JOIN crit c ON c.tier = t.tier""")
+    _reg("backtest_noisiest", L, """SELECT asin, tier, count(*) AS critical_count FROM lb
+        WHERE severity = 'critical' AND tier IS NOT NULL GROUP BY asin, tier ORDER BY critical_count DESC, asin LIMIT 10""")
+    _reg("backtest_floor_audit", L, f"""SELECT *, CASE WHEN total > 0 THEN by_floor * 100.0 / total END AS pct_floor,
+        CASE WHEN total > 0 THEN by_stats * 100.0 / total END AS pct_stats FROM (
+        SELECT count(*) AS total, count_if(triggered_by = 'absolute_threshold') AS by_floor,
+               count_if(NOT COALESCE(triggered_by = 'absolute_threshold', FALSE)) AS by_stats,
+               {", ".join(f"count_if(triggered_by = 'absolute_threshold' AND severity = {lit(s)}) AS floor_{s}" for s in ("critical", "warning", "watch"))}
+        FROM lb WHERE metric = 'return_rate')""")
+    _reg("backtest_range", A, f"""SELECT min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS n_days,
+        count(DISTINCT CASE WHEN date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days} THEN date END) AS n_days_lookback,
+        count(*) AS n_alerts, count_if(date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}) AS n_alerts_lookback FROM alerts""")
+
+
 _build()
+_build_alerts()

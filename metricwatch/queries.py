@@ -193,3 +193,201 @@ def q_detect_day(spark, sf_dir):
     m = derived.master(spark, sf_dir, CFG)
     day = m.agg(F.max("date")).first()[0]
     return D.detect_day(m, day, CFG, M)
+
+
+# ------------------------------------------------------------------ alerts, digest (P13–P16, W7, O*, E*, A8–A9)
+
+from .operators import alerts as AL  # noqa: E402
+from .operators import backtest as BT  # noqa: E402
+
+
+def _alerts(spark, sf_dir):
+    return derived.alerts(spark, sf_dir, CFG)
+
+
+def _capped(spark, sf_dir):
+    return AL.capped(_alerts(spark, sf_dir), CFG)
+
+
+def _flags(day_alerts):
+    return AL.cross_metric_flags(day_alerts)
+
+
+@query("flagged_rows")
+def q_flagged_rows(spark, sf_dir):
+    """Rows with a severity (improvements stay)."""
+    return D.flagged_rows(_alerts(spark, sf_dir))
+
+
+@query("anchor_filter")
+def q_anchor_filter(spark, sf_dir):
+    """The alerts of the anchor day (newest day)."""
+    return D.anchor_filter(_alerts(spark, sf_dir))
+
+
+@query("alert_suppress")
+def q_alert_suppress(spark, sf_dir):
+    """tier/severity suppression."""
+    return AL.suppress(_alerts(spark, sf_dir), CFG)
+
+
+@query("alert_caps")
+def q_alert_caps(spark, sf_dir):
+    """Per-day, per-severity caps in tier order (after P15)."""
+    return _capped(spark, sf_dir)
+
+
+@query("tier_sort")
+def q_tier_sort(spark, sf_dir):
+    """O1: position of each alert of a day in tier order."""
+    return AL.tier_sorted(_alerts(spark, sf_dir)).select("date", "asin", "metric", "severity", "tier", "tier_rank", "position")
+
+
+@query("top_alerts")
+def q_top_alerts(spark, sf_dir):
+    """O2: per day, the ten most severe capped alerts (criticals first, tier order)."""
+    return AL.top_alerts(_capped(spark, sf_dir), CFG).select("date", "position", "asin", "metric", "severity", "tier")
+
+
+@query("cross_metric_flags")
+def q_cross_metric_flags(spark, sf_dir):
+    """Per day and product, the flagged metrics of the capped alerts."""
+    return _flags(_capped(spark, sf_dir))
+
+
+_KEYS = ("date", "asin", "metric", "severity")
+
+
+@query("fmt_value")
+def q_fmt_value(spark, sf_dir):
+    """Actual, rolling and YoY values in the metric's unit."""
+    a = _alerts(spark, sf_dir)
+    return a.select(*_KEYS, AL.fmt_value(F.col("actual_value"), F.col("metric")).alias("actual_fmt"),
+                    AL.fmt_value(F.col("expected_value"), F.col("metric")).alias("expected_fmt"),
+                    AL.fmt_value(F.col("yoy_baseline"), F.col("metric")).alias("yoy_fmt"))
+
+
+@query("fmt_signed")
+def q_fmt_signed(spark, sf_dir):
+    """Signed deviation percent and signed z."""
+    a = _alerts(spark, sf_dir)
+    return a.select(*_KEYS, AL.fmt_deviation(F.col("yoy_deviation")).alias("deviation_fmt"),
+                    AL.fmt_zscore(F.col("z_score")).alias("z_fmt"))
+
+
+@query("display_expected")
+def q_display_expected(spark, sf_dir):
+    """The baseline shown next to an alert."""
+    return _alerts(spark, sf_dir).select(*_KEYS, "triggered_by", AL.display_expected().alias("expected_display"))
+
+
+@query("display_deviation")
+def q_display_deviation(spark, sf_dir):
+    """Actual minus shown baseline, in unit."""
+    return _alerts(spark, sf_dir).select(*_KEYS, "triggered_by", AL.display_deviation().alias("deviation_display"))
+
+
+@query("trigger_labels")
+def q_trigger_labels(spark, sf_dir):
+    """E5: trigger and tier labels."""
+    return _alerts(spark, sf_dir).select(*_KEYS, AL.trigger_label(F.col("triggered_by")).alias("trigger_label"),
+                                         AL.short_trigger(F.col("triggered_by")).alias("trigger_short"),
+                                         AL.tier_label(F.col("tier")).alias("tier_label"))
+
+
+def _with_flags(spark, sf_dir):
+    c = _capped(spark, sf_dir)
+    return c.join(_flags(c), ["date", "asin"], "left")
+
+
+@query("pointed_reason")
+def q_pointed_reason(spark, sf_dir):
+    """Cross-metric hint per capped alert."""
+    return _with_flags(spark, sf_dir).select(*_KEYS, AL.pointed_reason(F.col("flags")).alias("pointed_reason"))
+
+
+@query("margin_impact")
+def q_margin_impact(spark, sf_dir):
+    """Daily lost-margin dollars for YoY margin alerts."""
+    a = _alerts(spark, sf_dir)
+    return a.select(*_KEYS, AL.margin_impact().alias("daily_margin_impact")).filter(F.col("daily_margin_impact").isNotNull())
+
+
+@query("explanations")
+def q_explanations(spark, sf_dir):
+    """Plain-English sentence for each of the day's top alerts."""
+    top = AL.top_alerts(_with_flags(spark, sf_dir), CFG)
+    return top.select("date", "position", "asin", "metric", "severity", AL.explanation(F.col("flags")).alias("explanation"))
+
+
+@query("digest_summary")
+def q_digest_summary(spark, sf_dir):
+    """Per-day counts of the capped digest."""
+    return AL.digest_summary(_capped(spark, sf_dir))
+
+
+@query("digest_subject")
+def q_digest_subject(spark, sf_dir):
+    """Per-day subject line."""
+    s = AL.digest_summary(_capped(spark, sf_dir))
+    return s.select("date", AL.subject(s, CFG).alias("subject"))
+
+
+@query("section_rows")
+def q_section_rows(spark, sf_dir):
+    """Digest body order with tier-group heads."""
+    return AL.section_rows(_capped(spark, sf_dir)).select(
+        "date", "section", "row_in_section", "is_group_head", "severity", "tier", "asin", "metric")
+
+
+@query("data_through")
+def q_data_through(spark, sf_dir):
+    """Data-through day per digest: the data day, else run day − 2."""
+    days = _alerts(spark, sf_dir).select("date").distinct()
+    run = F.date_add(F.col("date"), CFG.data_lag_days)
+    return days.select("date", run.alias("run_date"), AL.data_through(F.col("date"), run, CFG).alias("data_through"),
+                       AL.data_through(F.lit(None).cast("date"), run, CFG).alias("data_through_default"))
+
+
+@query("digest")
+def q_digest(spark, sf_dir):
+    """One payload row per feed day; days without digest rows say 'No alerts today'."""
+    m = derived.master(spark, sf_dir, CFG)
+    days = m.select("date").distinct()
+    s = AL.digest_summary(_capped(spark, sf_dir))
+    j = days.join(s, "date", "left")
+    rd = F.date_format("date", "yyyy-MM-dd")
+    empty = F.coalesce(F.col("n_total"), F.lit(0)) == 0
+    return j.select("date",
+                    F.when(empty, F.concat(F.lit(f"{CFG.subject_prefix} "), rd, F.lit(" | No alerts today")))
+                    .otherwise(AL.subject(j, CFG)).alias("subject"),
+                    F.coalesce(F.col("n_total"), F.lit(0)).alias("n_rows"),
+                    F.coalesce(F.col("n_asins"), F.lit(0)).alias("n_asins"))
+
+
+@query("severity_breakdown")
+def q_severity_breakdown(spark, sf_dir):
+    """Value counts of severity and of triggered_by over all alerts."""
+    a = _alerts(spark, sf_dir)
+    s = a.groupBy(F.lit("severity").alias("dimension"), F.col("severity").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    t = a.groupBy(F.lit("triggered_by").alias("dimension"), F.col("triggered_by").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return s.unionByName(t)
+
+
+@query("lookback_window")
+def q_lookback_window(spark, sf_dir):
+    """Alerts inside the 180-day look-back."""
+    return BT.lookback(_alerts(spark, sf_dir), CFG)
+
+
+for _name, _fn in (("backtest_daily", BT.daily), ("backtest_daily_stats", BT.daily_stats),
+                   ("backtest_verdict", BT.verdict), ("backtest_by_metric", BT.by_metric),
+                   ("backtest_by_trigger", BT.by_trigger), ("backtest_noisiest", BT.noisiest),
+                   ("backtest_floor_audit", BT.floor_audit), ("backtest_range", BT.date_range)):
+    query(_name)(lambda spark, sf_dir, _f=_fn: _f(_alerts(spark, sf_dir), CFG))
+
+
+@query("backtest_by_tier")
+def q_backtest_by_tier(spark, sf_dir):
+    """Criticals per tier with shares."""
+    return BT.by_tier(_alerts(spark, sf_dir), BT.tier_table(spark), CFG)
