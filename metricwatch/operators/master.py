@@ -26,13 +26,19 @@ def merge_sources(sales: DataFrame, returns: DataFrame | None = None, inventory:
     return m
 
 
+def money_sum(c):
+    """Sum of money amounts in 1e-4 fixed point: exact, so independent of the order in
+    which partitions are combined."""
+    return F.sum(F.round(c * 10000).cast("long")) / F.lit(10000.0)
+
+
 def trailing_revenue(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """A2: per product, sum of sales on days >= (newest day of the table) − 12 months.
 
     The newest day is a scalar subquery; all-NULL sums count as 0."""
     cutoff = F.add_months(df.agg(F.max("date")).scalar(), -cfg.trailing_months)
     return (df.filter(F.col("date") >= cutoff).groupBy("asin")
-            .agg(F.coalesce(F.sum("sales"), F.lit(0.0)).alias("trailing_12m_revenue")))
+            .agg(F.coalesce(money_sum(F.col("sales")), F.lit(0.0)).alias("trailing_12m_revenue")))
 
 
 def tier_of(revenue, cfg: Config = DEFAULT):
@@ -51,7 +57,8 @@ def assign_tiers(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     exchange with the detection windows downstream."""
     cutoff = F.add_months(df.agg(F.max("date")).scalar(), -cfg.trailing_months)
     wp = Window.partitionBy("asin")
-    rev = F.sum(F.when(F.col("date") >= cutoff, F.coalesce(F.col("sales"), F.lit(0.0)))).over(wp)
+    recent = F.when(F.col("date") >= cutoff, F.round(F.coalesce(F.col("sales"), F.lit(0.0)) * 10000).cast("long"))
+    rev = F.sum(recent).over(wp) / F.lit(10000.0)
     drop = [c for c in ("tier", "trailing_12m_revenue", "is_hero") if c in df.columns]
     out = df.drop(*drop).withColumn("trailing_12m_revenue", rev)
     return out.select("*", tier_of(F.col("trailing_12m_revenue"), cfg).alias("tier"),

@@ -126,16 +126,51 @@ def tiers_sql(src: str, cfg: Config = CFG) -> str:
       SELECT *, CASE {cases} ELSE 'less_than_single' END AS tier,
              COALESCE(trailing_12m_revenue >= {lit(float(cfg.hero_revenue))}, FALSE) AS is_hero
       FROM (SELECT *, SUM(CASE WHEN date >= CAST((SELECT max(date) FROM {src}) - INTERVAL {cfg.trailing_months} MONTH AS DATE)
-                              THEN COALESCE(sales, 0.0) END) OVER (PARTITION BY asin) AS trailing_12m_revenue
+                              THEN CAST(round(COALESCE(sales, 0.0) * 10000) AS BIGINT) END) OVER (PARTITION BY asin) / 10000.0
+                              AS trailing_12m_revenue
             FROM {src}) _t"""
 
 
-MASTER = DENSE + RETURNS + INVENTORY + [
-    ("merged", """
+def _brand_no(c: str) -> str:
+    return f"CAST(regexp_extract({c}, '(\\d+)$', 1) AS INTEGER)"
+
+
+SNAP_COLS = ("keyword_avg_rank", "review_rating", "review_count", "organic_top10_count")
+SNAPSHOT = [
+    ("ev_g", """
+      SELECT CAST(user_id % 25 AS INTEGER) AS k, CAST(ts AS DATE) AS date,
+             SUM(CAST(round(value * 100) AS BIGINT)) AS c,
+             SUM(least(greatest(CAST(round(value * 100) AS BIGINT), 0), 5000)) AS cl,
+             COUNT(*) AS n, COUNT(DISTINCT user_id) AS u
+      FROM events GROUP BY 1, 2"""),
+    ("ev_h", """
+      SELECT *, CASE WHEN (datediff('day', DATE '2024-01-01', date) * 25 + k) % 11 = 0
+                     THEN CAST(floor((datediff('day', DATE '2024-01-01', date) * 25 + k) / 11.0) AS BIGINT) % 4 END AS hole
+      FROM ev_g"""),
+    ("snapshot_hist", """
+      SELECT 'BRAND#' || CAST(k + 1 AS VARCHAR) AS asin, date,
+             CASE WHEN hole IS NULL OR hole <> 0 THEN CAST(c AS DOUBLE) / CAST(n * 100 AS DOUBLE) END AS keyword_avg_rank,
+             CASE WHEN hole IS NULL OR hole <> 1 THEN 1.0 + 4.0 * (CAST(cl AS DOUBLE) / CAST(n * 5000 AS DOUBLE)) END AS review_rating,
+             CASE WHEN hole IS NULL OR hole <> 2 THEN CAST(n AS DOUBLE) END AS review_count,
+             CASE WHEN hole IS NULL OR hole <> 3 THEN CAST(u AS DOUBLE) END AS organic_top10_count,
+             CAST(1000 * (k + 1) AS DOUBLE) AS category_bsr
+      FROM ev_h"""),
+    ("listing", """
+      SELECT asin, category_bsr, category_bsr / 10 AS subcategory_bsr, keyword_avg_rank,
+             CAST(NULL AS DOUBLE) AS keyword_avg_rank_trend, organic_top10_count,
+             organic_top10_count * 100 AS organic_top10_search_volume, review_rating, review_count
+      FROM snapshot_hist WHERE date = (SELECT max(date) FROM snapshot_hist)"""),
+]
+
+MERGED_SELECT = """
       SELECT d.*, r.return_count, r.top_return_reason, i.total_units, i.available_units, i.days_of_supply,
-             i.inventory_alert, i.recommended_replenishment_qty
-      FROM dense d LEFT JOIN returns_agg r ON r.asin = d.asin AND r.date = d.date
-      LEFT JOIN inventory i ON i.asin = d.asin"""),
+             i.inventory_alert, i.recommended_replenishment_qty, l.category_bsr, l.subcategory_bsr, l.keyword_avg_rank,
+             l.keyword_avg_rank_trend, l.organic_top10_count, l.organic_top10_search_volume, l.review_rating, l.review_count
+      FROM {src} d LEFT JOIN returns_agg r ON r.asin = d.asin AND r.date = d.date
+      LEFT JOIN inventory i ON i.asin = d.asin LEFT JOIN listing l ON l.asin = d.asin"""
+
+MASTER = DENSE + RETURNS + INVENTORY + SNAPSHOT + [
+    ("merged", MERGED_SELECT.format(src="dense")),
     ("master", tiers_sql("merged")),
 ]
 
@@ -277,7 +312,8 @@ ALERT_DOUBLES = ("category_bsr", "actual_value", "expected_value", "yoy_baseline
 
 
 def long_sql(src: str = "d_scored", cfg: Config = CFG, metrics: Sequence[str] = M, alerts: bool = True,
-             improvements: bool = True, context: Sequence[str] = CONTEXT, has=("tier", "top_return_reason")) -> str:
+             improvements: bool = True, context: Sequence[str] = CONTEXT,
+             has=("tier", "top_return_reason", "category_bsr")) -> str:
     ctx = ", ".join(c if (c in ("asin", "date", "yoy_available") or c in has) else
                     f"CAST(NULL AS {'DOUBLE' if c == 'category_bsr' else 'VARCHAR'}) AS {c}" for c in context)
     sel = []
@@ -608,5 +644,170 @@ def _build_alerts(cfg: Config = CFG) -> None:
         count(*) AS n_alerts, count_if(date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}) AS n_alerts_lookback FROM alerts""")
 
 
+
+
+# --------------------------------------------------------------------------- ingestion / master / snapshot / listings
+
+RATES = ("return_rate", "conversion_rate", "margin", "acos", "tacos")
+
+SALES = BRAND_DAILY + [
+    ("sales_base", f"""
+      SELECT *, 'sales/' || CAST(year(date) AS VARCHAR) || '.csv' AS _src_path,
+             CAST(datediff('day', make_date(year(date), 1, 1), date) * 100 + {_brand_no('asin')} AS BIGINT) AS _src_row,
+             0.0 AS _bump, datediff('day', DATE '1995-01-01', date) * 31 + {_brand_no('asin')} AS _ord,
+             CASE WHEN year(date) % 2 = 0 THEN 100.0 ELSE 1.0 END AS _scale
+      FROM brand_daily"""),
+    ("sales_u", """
+      SELECT * FROM sales_base UNION ALL
+      SELECT * REPLACE ('sales/' || CAST(year(date) AS VARCHAR) || '_update.csv' AS _src_path, 1.0 AS _bump)
+      FROM sales_base WHERE day(date) <= 7"""),
+    ("sales_rows", f"""
+      SELECT asin, date, _src_path, _src_row, '  ' || lower(asin) || ' ' AS raw_key, strftime(date, '%m-%d-%Y') AS raw_date,
+             {", ".join(f"{r} * _scale AS {r}_raw" for r in RATES)},
+             CASE WHEN _ord % 97 = 0 THEN NULL ELSE sales + _bump END AS sales, units, orders, 'Product ' || asin AS title
+      FROM sales_u"""),
+    ("pct_max", f"SELECT _src_path, {', '.join(f'max(abs({r}_raw)) AS {r}_mx' for r in RATES)} FROM sales_rows GROUP BY _src_path"),
+    ("sales_std", f"""
+      SELECT s.asin, s.date, s.sales, s.units, s.orders,
+             {", ".join(f"CASE WHEN p.{r}_mx > 1 THEN s.{r}_raw / 100.0 ELSE s.{r}_raw END AS {r}" for r in RATES)},
+             s.title, s._src_path, s._src_row
+      FROM sales_rows s JOIN pct_max p ON p._src_path = s._src_path"""),
+]
+
+
+def file_date_sql(name: str = "name") -> str:
+    return (f"COALESCE(CAST(try_strptime(NULLIF(regexp_extract({name}, '(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), ''), '%Y-%m-%d') AS DATE), "
+            f"CAST(try_strptime(NULLIF(regexp_extract({name}, '([A-Z][a-z]+ \\d{{1,2}}, \\d{{4}})', 1), ''), '%b %d, %Y') AS DATE))")
+
+
+MANIFEST = [
+    ("manifest0", """
+      SELECT ['sellerise', 'returns', 'inventory', 'helium10'][CAST(o_custkey % 4 + 1 AS INTEGER)] AS folder,
+             CASE o_orderkey % 4 WHEN 0 THEN 'My Products' || strftime(o_orderdate, '%Y-%m-%d') || '.xlsx'
+                                 WHEN 1 THEN 'Restock Inventory ' || strftime(o_orderdate, '%b %d, %Y') || '.csv'
+                                 WHEN 2 THEN 'Restock Inventory ' || strftime(o_orderdate, '%B %d, %Y') || '.csv'
+                                 ELSE 'export_' || CAST(o_orderkey AS VARCHAR) || '.csv' END AS name,
+             o_orderkey
+      FROM orders"""),
+    ("manifest", f"""
+      SELECT folder || '/' || CAST(o_orderkey AS VARCHAR) || '/' || name AS path, name, 1 AS depth, folder,
+             {file_date_sql()} AS file_date
+      FROM manifest0"""),
+    ("anchor", "SELECT max(file_date) AS d FROM manifest WHERE folder = 'helium10'"),
+]
+
+
+def snapshot_scores_sql(cfg: Config = CFG, src: str = "snapshot_hist") -> List[tuple]:
+    parts = []
+    n, k = cfg.rolling_window, cfg.rolling_min_periods
+    frame = f"(PARTITION BY asin ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    for m in cfg.snapshot_metrics:
+        d = cfg.direction.get(m, "down")
+        parts.append(f"""SELECT asin, date, '{m}' AS metric, value, roll_mean, z_score,
+               {sev_case(bad('z_score', d), cfg.z_thresholds.get(m, (1.5, 2.0, 3.0)))} AS sev FROM (
+            SELECT *, round((value - roll_mean) / NULLIF(roll_std, 0), {cfg.score_digits}) + 0.0 AS z_score FROM (
+              SELECT asin, date, {m} AS value,
+                     round(CASE WHEN count({m}) OVER {frame} >= {k} THEN avg({m}) OVER {frame} END, {cfg.digits(m)}) + 0.0 AS roll_mean,
+                     round(CASE WHEN count({m}) OVER {frame} >= {k} THEN stddev_samp({m}) OVER {frame} END, {cfg.std_digits(m)}) + 0.0 AS roll_std
+              FROM {src} WHERE {m} IS NOT NULL AND (SELECT count(DISTINCT date) FROM {src}) >= {cfg.snapshot_min_dates}))""")
+    ctes = [("snap_s0", " UNION ALL ".join(parts)), ("snap_s1", "SELECT *, CASE WHEN sev IS NOT NULL THEN 'rolling' END AS trig FROM snap_s0")]
+    prev = "snap_s1"
+    for i, (floor, level) in enumerate(((cfg.review_rating_critical, 3), (cfg.review_rating_warning, 2))):
+        if floor is None:
+            continue
+        mask = f"(metric = 'review_rating' AND value < {lit(floor)})"
+        ctes.append((f"snap_f{i}", f"""SELECT * REPLACE (
+            CASE WHEN {mask} THEN greatest(COALESCE(sev, 0), {level}) ELSE sev END AS sev,
+            COALESCE(trig, CASE WHEN {mask} THEN 'absolute_threshold' END) AS trig) FROM {prev}"""))
+        prev = f"snap_f{i}"
+    ctes.append(("snap_scores", f"SELECT * FROM {prev}"))
+    return ctes
+
+
+SNAP_DETECT_SQL = f"""
+    SELECT s.asin, s.date, FALSE AS yoy_available, s.metric, s.value AS actual_value, s.roll_mean AS expected_value,
+           CAST(NULL AS DOUBLE) AS yoy_baseline, s.z_score, CAST(NULL AS DOUBLE) AS yoy_deviation,
+           {label('s.sev')} AS severity, s.trig AS triggered_by, m.tier, m.title, m.is_hero, m.category_bsr
+    FROM snap_scores s LEFT JOIN meta m ON m.asin = s.asin WHERE s.sev IS NOT NULL"""
+META_SQL = """SELECT asin, arg_min(tier, date) AS tier, CAST(NULL AS VARCHAR) AS title, arg_min(is_hero, date) AS is_hero,
+                     arg_min(category_bsr, date) AS category_bsr FROM master GROUP BY asin"""
+
+
+def _build_ingest(cfg: Config = CFG) -> None:
+    S = SALES
+    _reg("key_normalize", S, "SELECT _src_path, _src_row, raw_key, upper(regexp_replace(raw_key, '^\\s+|\\s+$', '', 'g')) AS asin FROM sales_rows")
+    _reg("date_parse_mdy", S, "SELECT _src_path, _src_row, raw_date, CAST(try_strptime(raw_date, '%m-%d-%Y') AS DATE) AS date FROM sales_rows")
+    _reg("numeric_coerce", S, "SELECT _src_path, _src_row, sales, units FROM sales_rows")
+    _reg("pct_scale_normalize", S, f"SELECT _src_path, _src_row, {', '.join(RATES)} FROM sales_std")
+    _reg("std_sales", S, "SELECT asin, date, sales, units, orders, return_rate, conversion_rate, margin, acos, tacos, title, _src_path, _src_row FROM sales_std")
+    _reg("dedup_keep_last", S, """SELECT asin, date, sales, units, acos, _src_path, _src_row FROM (
+        SELECT *, row_number() OVER (PARTITION BY asin, date ORDER BY _src_path DESC, _src_row DESC) AS rn FROM sales_std) WHERE rn = 1""")
+    _reg("multi_file_union", S, """SELECT _src_path, _src_row, raw_key AS "ASIN", raw_date AS "Date", sales AS "Sales",
+        CASE WHEN _src_path LIKE '%_update%' THEN NULL ELSE orders END AS "Orders",
+        CASE WHEN _src_path LIKE '%_update%' THEN NULL ELSE title END AS "Title" FROM sales_rows""")
+    R = S + RETURNS + INVENTORY + SNAPSHOT
+    _reg("source_stats", R, """
+        SELECT 'sales' AS source, count(*) AS n_rows, count(DISTINCT asin) AS n_asins, min(date) AS min_date, max(date) AS max_date FROM sales_std
+        UNION ALL SELECT 'returns', count(*), count(DISTINCT asin), min(date), max(date) FROM returns_agg
+        UNION ALL SELECT 'inventory', count(*), count(DISTINCT asin), CAST(NULL AS DATE), CAST(NULL AS DATE) FROM inventory
+        UNION ALL SELECT 'snapshot_history', count(*), count(DISTINCT asin), min(date), max(date) FROM snapshot_hist""")
+    _reg("iso_to_date", R, """SELECT "return-date" AS raw, TRY_CAST(substr("return-date", 1, 10) AS DATE) AS date, count(*) AS n
+        FROM returns_raw GROUP BY 1, 2""")
+    _reg("returns_agg", R, "SELECT * FROM returns_agg")
+    _reg("std_returns", R, "SELECT asin, date, return_count FROM returns_agg")
+    _reg("join_returns", R, """SELECT b.asin, b.date, b.sales, r.return_count, r.top_return_reason FROM brand_daily b
+        LEFT JOIN returns_agg r ON r.asin = b.asin AND r.date = b.date""")
+    _reg("std_inventory", R, "SELECT * FROM inventory")
+    _reg("join_inventory", R, "SELECT b.asin, b.date, b.sales, i.* EXCLUDE (asin) FROM brand_daily b LEFT JOIN inventory i ON i.asin = b.asin")
+    _reg("std_snapshot", R, "SELECT * FROM listing")
+    _reg("join_snapshot", R, "SELECT b.asin, b.date, b.sales, l.* EXCLUDE (asin) FROM brand_daily b LEFT JOIN listing l ON l.asin = b.asin")
+    _reg("merge_sources", R, MERGED_SELECT.format(src="brand_daily"))
+    _reg("trailing_revenue", R, f"""SELECT asin, COALESCE(SUM(CAST(round(sales * 10000) AS BIGINT)) / 10000.0, 0.0) AS trailing_12m_revenue
+        FROM brand_daily WHERE date >= CAST((SELECT max(date) FROM brand_daily) - INTERVAL {cfg.trailing_months} MONTH AS DATE) GROUP BY asin""")
+    T = R + [("bt", tiers_sql("brand_daily", cfg))]
+    _reg("assign_tiers", T, "SELECT DISTINCT asin, tier, trailing_12m_revenue, is_hero FROM bt")
+    _reg("tier_counts", T, """SELECT tier, count(*) AS n_asins, CAST(COALESCE(sum(CAST(is_hero AS INTEGER)), 0) AS BIGINT) AS n_hero
+        FROM (SELECT DISTINCT asin, tier, is_hero FROM bt) GROUP BY tier""")
+    _reg("snapshot_gate", SNAPSHOT, f"SELECT count(DISTINCT date) AS n_dates, count(DISTINCT date) >= {cfg.snapshot_min_dates} AS active FROM snapshot_hist")
+    SS = MASTER + snapshot_scores_sql(cfg) + [("meta", META_SQL)]
+    _reg("snapshot_detect", SS, SNAP_DETECT_SQL)
+    _reg("floor_review_rating", SS, f"""SELECT asin, date, value AS actual_value, z_score, {label('sev')} AS severity, trig AS triggered_by
+        FROM snap_scores WHERE metric = 'review_rating' AND sev IS NOT NULL""")
+    _reg("snapshot_meta_join", SS, "SELECT * FROM meta")
+    _reg("all_alerts", SS + detection_ctes("master", cfg) + [("alerts", long_sql("d_scored", cfg)), ("snap_alerts", SNAP_DETECT_SQL)],
+         "SELECT * FROM alerts UNION ALL BY NAME SELECT * FROM snap_alerts")
+    rows = " UNION ALL ".join(f"SELECT {lit(m)} AS metric, {lit(cfg.direction[m])} AS direction, {lit(float(w))} AS watch, "
+                              f"{lit(float(wa))} AS warning, {lit(float(c))} AS critical" for m in M for (w, wa, c) in [cfg.z_thresholds[m]])
+    det = MASTER + detection_ctes("master", cfg)
+    zl = " UNION ALL ".join(f"SELECT asin, date, '{m}' AS metric, {m}_roll_zscore AS z_score FROM d_base" for m in M)
+    _reg("threshold_join", det + [("thr", rows), ("zl", zl)], """SELECT * FROM (
+        SELECT z.asin, z.date, z.metric, z.z_score, CASE
+          WHEN (CASE t.direction WHEN 'both' THEN abs(z.z_score) WHEN 'up' THEN z.z_score ELSE -z.z_score END) >= t.critical THEN 'critical'
+          WHEN (CASE t.direction WHEN 'both' THEN abs(z.z_score) WHEN 'up' THEN z.z_score ELSE -z.z_score END) >= t.warning THEN 'warning'
+          WHEN (CASE t.direction WHEN 'both' THEN abs(z.z_score) WHEN 'up' THEN z.z_score ELSE -z.z_score END) >= t.watch THEN 'watch' END AS severity
+        FROM zl z JOIN thr t ON t.metric = z.metric WHERE z.z_score IS NOT NULL) WHERE severity IS NOT NULL""")
+    F_ = MANIFEST
+    _reg("file_date_extract", F_, "SELECT path, name, file_date FROM manifest")
+    _reg("file_date_prune", F_, "SELECT path, file_date FROM manifest WHERE folder = 'returns' AND file_date = (SELECT d FROM anchor)")
+    _reg("latest_file_date", F_, "SELECT folder, max(file_date) AS latest_date FROM manifest GROUP BY folder")
+    _reg("returns_scan_fallback", F_, """SELECT path, file_date FROM manifest WHERE folder = 'returns' AND (file_date = (SELECT d FROM anchor)
+        OR NOT EXISTS (SELECT 1 FROM manifest WHERE folder = 'returns' AND file_date = (SELECT d FROM anchor)))""")
+    _reg("inventory_scan_fallback", F_ + [("inv", "SELECT * FROM manifest WHERE folder = 'inventory'"),
+                                          ("tgt", "SELECT d + 1 AS d FROM anchor")], """
+        SELECT path, file_date FROM inv WHERE CASE
+          WHEN EXISTS (SELECT 1 FROM inv WHERE file_date = (SELECT d FROM tgt)) THEN file_date = (SELECT d FROM tgt)
+          WHEN EXISTS (SELECT 1 FROM inv WHERE file_date IS NOT NULL) THEN path = (
+            SELECT arg_min(path, depth::VARCHAR || '|' || path) FROM inv WHERE file_date = (SELECT max(file_date) FROM inv))
+          ELSE TRUE END""")
+    _reg("snapshot_scan", F_ + [("h", "SELECT * FROM manifest WHERE folder = 'helium10'")], """
+        SELECT path, file_date FROM h WHERE CASE WHEN EXISTS (SELECT 1 FROM h WHERE file_date IS NOT NULL)
+          THEN file_date = (SELECT max(file_date) FROM h) ELSE TRUE END""")
+    A = alerts_ctes(cfg)
+    _reg("alert_export", A, """SELECT * REPLACE (round(actual_value, 4) AS actual_value, round(expected_value, 4) AS expected_value,
+        round(yoy_baseline, 4) AS yoy_baseline, round(z_score, 4) AS z_score, round(yoy_deviation, 4) AS yoy_deviation),
+        DATE '2001-11-06' AS run_date FROM alerts WHERE date = (SELECT max(date) FROM alerts)""")
+
+
 _build()
 _build_alerts()
+_build_ingest()

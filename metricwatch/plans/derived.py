@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import Config, fixture_config
 from ..operators.detect import detect
 from ..operators.master import assign_tiers, merge_sources
-from ..operators.standardize import standardize_inventory, standardize_returns
+from ..operators.standardize import standardize_inventory, standardize_returns, standardize_snapshot
 from ..sources import fixtures as fx
 
 
 def master(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> DataFrame:
-    """brand_daily_dense ⟕ returns ⟕ inventory, then revenue tiers: the detection input."""
+    """brand_daily_dense ⟕ returns ⟕ inventory ⟕ listing snapshot, then revenue tiers:
+    the detection input (J4 + A3)."""
     cfg = cfg or fixture_config()
     dense = fx.brand_daily_dense(spark, sf_dir)
     ret = standardize_returns(fx.returns_raw(spark, sf_dir))
     inv = standardize_inventory(fx.inventory_raw(spark, sf_dir))
-    return assign_tiers(merge_sources(dense, ret, inv), cfg)
+    lst = standardize_snapshot(fx.listing_raw(spark, sf_dir))
+    return assign_tiers(merge_sources(dense, ret, inv, lst), cfg)
 
 
 def alerts(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> DataFrame:

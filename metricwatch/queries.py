@@ -391,3 +391,276 @@ for _name, _fn in (("backtest_daily", BT.daily), ("backtest_daily_stats", BT.dai
 def q_backtest_by_tier(spark, sf_dir):
     """Criticals per tier with shares."""
     return BT.by_tier(_alerts(spark, sf_dir), BT.tier_table(spark), CFG)
+
+
+# ------------------------------------------------------------------ ingestion (S*, P*, A1, A6, W5)
+
+from .functions import exprs as X  # noqa: E402
+from .operators import master as MS  # noqa: E402
+from .operators import snapshot as SN  # noqa: E402
+from .operators import standardize as ST  # noqa: E402
+from .sources import files as FL  # noqa: E402
+from .sources import fixtures as FX  # noqa: E402
+
+
+@query("key_normalize")
+def q_key_normalize(spark, sf_dir):
+    """Trimmed, upper-cased keys of the raw sales export."""
+    r = FX.sales_raw(spark, sf_dir)
+    return r.select("_src_path", "_src_row", F.col("ASIN").alias("raw_key"), X.key_normalize(F.col("ASIN")).alias("asin"))
+
+
+@query("date_parse_mdy")
+def q_date_parse_mdy(spark, sf_dir):
+    """Strict MM-dd-yyyy parse."""
+    r = FX.sales_raw(spark, sf_dir)
+    return r.select("_src_path", "_src_row", F.col("Date").alias("raw_date"), X.mdy_date(F.col("Date")).alias("date"))
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    """P5: tolerant numeric coercion (junk -> NULL)."""
+    r = FX.sales_raw(spark, sf_dir)
+    return r.select("_src_path", "_src_row", X.try_double(F.col("Sales")).alias("sales"),
+                    X.try_double(F.col("Units")).alias("units"))
+
+
+@query("pct_scale_normalize")
+def q_pct_scale_normalize(spark, sf_dir):
+    """Per-file ÷100 of rate columns whose max |value| exceeds 1."""
+    n = ST.normalize_pct(FX.sales_raw(spark, sf_dir))
+    return n.select("_src_path", "_src_row", *[X.try_double(F.col(c)).alias(ST.SALES_RENAME[c]) for c in ST.SALES_PCT_COLUMNS])
+
+
+@query("std_sales")
+def q_std_sales(spark, sf_dir):
+    """The standardised sales feed (after S11), keyed rows only."""
+    s = ST.standardize_sales(ST.normalize_pct(FX.sales_raw(spark, sf_dir)))
+    return s.select("asin", "date", "sales", "units", "orders", "return_rate", "conversion_rate", "margin", "acos", "tacos",
+                    "title", "_src_path", "_src_row")
+
+
+@query("dedup_keep_last")
+def q_dedup_keep_last(spark, sf_dir):
+    """One row per (asin, date), the last in load order (re-exports win)."""
+    s = ST.standardize_sales(ST.normalize_pct(FX.sales_raw(spark, sf_dir)))
+    return ST.keep_last(s.select("asin", "date", "sales", "units", "acos", "_src_path", "_src_row"), ["asin", "date"])
+
+
+@query("multi_file_union")
+def q_multi_file_union(spark, sf_dir):
+    """Outer union by column name of exports with different column sets
+    (re-export files carry no Orders/Title columns)."""
+    r = FX.sales_raw(spark, sf_dir)
+    base = r.filter(~F.col("_src_path").contains("_update"))
+    upd = r.filter(F.col("_src_path").contains("_update")).drop("Orders", "Title")
+    u = base.unionByName(upd, allowMissingColumns=True)
+    return u.select("_src_path", "_src_row", "ASIN", "Date", X.try_double(F.col("Sales")).alias("Sales"),
+                    X.try_double(F.col("Orders")).alias("Orders"), "Title")
+
+
+@query("source_stats")
+def q_source_stats(spark, sf_dir):
+    """Rows, keys and day range of each standardised feed."""
+    s = ST.standardize_sales(ST.normalize_pct(FX.sales_raw(spark, sf_dir)))
+    r = ST.standardize_returns(FX.returns_raw(spark, sf_dir))
+    i = ST.standardize_inventory(FX.inventory_raw(spark, sf_dir))
+    h = FX.snapshot_hist(spark, sf_dir)
+    return (ST.source_stats(s, "sales").unionByName(ST.source_stats(r, "returns"))
+            .unionByName(ST.source_stats(i, "inventory")).unionByName(ST.source_stats(h, "snapshot_history")))
+
+
+@query("iso_to_date")
+def q_iso_to_date(spark, sf_dir):
+    """Wall-clock day of the ISO return timestamp."""
+    r = FX.returns_raw(spark, sf_dir)
+    return r.select(F.col("return-date").alias("raw"), X.iso_day(F.col("return-date")).alias("date")).groupBy("raw", "date").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("returns_agg")
+def q_returns_agg(spark, sf_dir):
+    """A1: summed quantity and most frequent reason per (asin, day)."""
+    return ST.standardize_returns(FX.returns_raw(spark, sf_dir))
+
+
+@query("std_returns")
+def q_std_returns(spark, sf_dir):
+    """P10: standardised returns (case-insensitive key column, day, aggregate)."""
+    return ST.standardize_returns(FX.returns_raw(spark, sf_dir)).select("asin", "date", "return_count")
+
+
+@query("join_returns")
+def q_join_returns(spark, sf_dir):
+    """Sales ⟕ returns on (asin, date)."""
+    bd = FX.brand_daily(spark, sf_dir).select("asin", "date", "sales")
+    return MS.merge_sources(bd, ST.standardize_returns(FX.returns_raw(spark, sf_dir)))
+
+
+@query("std_inventory")
+def q_std_inventory(spark, sf_dir):
+    """Standardised inventory snapshot, one row per product (keep last)."""
+    return ST.standardize_inventory(FX.inventory_raw(spark, sf_dir))
+
+
+@query("join_inventory")
+def q_join_inventory(spark, sf_dir):
+    """Sales ⟕ inventory on asin."""
+    bd = FX.brand_daily(spark, sf_dir).select("asin", "date", "sales")
+    return MS.merge_sources(bd, inventory=ST.standardize_inventory(FX.inventory_raw(spark, sf_dir)))
+
+
+@query("std_snapshot")
+def q_std_snapshot(spark, sf_dir):
+    """Standardised listing snapshot (case-insensitive key column, keep last)."""
+    return ST.standardize_snapshot(FX.listing_raw(spark, sf_dir))
+
+
+@query("join_snapshot")
+def q_join_snapshot(spark, sf_dir):
+    """Sales ⟕ listing snapshot on asin."""
+    bd = FX.brand_daily(spark, sf_dir).select("asin", "date", "sales")
+    return MS.merge_sources(bd, snapshot=ST.standardize_snapshot(FX.listing_raw(spark, sf_dir)))
+
+
+@query("merge_sources")
+def q_merge_sources(spark, sf_dir):
+    """The merged master before tiers (row count = sales rows)."""
+    bd = FX.brand_daily(spark, sf_dir)
+    return MS.merge_sources(bd, ST.standardize_returns(FX.returns_raw(spark, sf_dir)),
+                            ST.standardize_inventory(FX.inventory_raw(spark, sf_dir)),
+                            ST.standardize_snapshot(FX.listing_raw(spark, sf_dir)))
+
+
+@query("trailing_revenue")
+def q_trailing_revenue(spark, sf_dir):
+    """A2: trailing-12-month revenue per product."""
+    return MS.trailing_revenue(FX.brand_daily(spark, sf_dir), CFG)
+
+
+@query("assign_tiers")
+def q_assign_tiers(spark, sf_dir):
+    """A3: tier, revenue and hero flag per product."""
+    m = MS.assign_tiers(FX.brand_daily(spark, sf_dir), CFG)
+    return m.select("asin", "tier", "trailing_12m_revenue", "is_hero").distinct()
+
+
+@query("tier_counts")
+def q_tier_counts(spark, sf_dir):
+    """A5: products and heroes per tier."""
+    return MS.tier_counts(MS.assign_tiers(FX.brand_daily(spark, sf_dir), CFG))
+
+
+# ------------------------------------------------------------------ snapshot series
+
+def _hist(spark, sf_dir):
+    return FX.snapshot_hist(spark, sf_dir)
+
+
+@query("snapshot_gate")
+def q_snapshot_gate(spark, sf_dir):
+    """Distinct snapshot days and whether detection runs."""
+    h = _hist(spark, sf_dir)
+    return h.agg(F.countDistinct("date").alias("n_dates")).select(
+        "n_dates", (F.col("n_dates") >= CFG.snapshot_min_dates).alias("active"))
+
+
+@query("snapshot_detect")
+def q_snapshot_detect(spark, sf_dir):
+    """Rolling-only alerts on the snapshot metrics, with product metadata."""
+    return SN.snapshot_detect(_hist(spark, sf_dir), derived.master(spark, sf_dir, CFG), CFG)
+
+
+@query("floor_review_rating")
+def q_floor_review_rating(spark, sf_dir):
+    """Review-rating alerts (statistical or floor)."""
+    s = SN.snapshot_scores(_hist(spark, sf_dir), CFG).filter((F.col("metric") == "review_rating") & F.col("sev").isNotNull())
+    return s.select("asin", "date", F.col("value").alias("actual_value"), "z_score",
+                    rank_label(F.col("sev")).alias("severity"), F.col("trig").alias("triggered_by"))
+
+
+@query("snapshot_meta_join")
+def q_snapshot_meta_join(spark, sf_dir):
+    """Per-product metadata taken from the first master row."""
+    return SN.product_meta(derived.master(spark, sf_dir, CFG))
+
+
+@query("all_alerts")
+def q_all_alerts(spark, sf_dir):
+    """Daily alerts ∪ snapshot alerts (outer union of columns)."""
+    m = derived.master(spark, sf_dir, CFG)
+    return SN.all_alerts(D.detect(m, CFG), SN.snapshot_detect(_hist(spark, sf_dir), m, CFG))
+
+
+@query("threshold_join")
+def q_threshold_join(spark, sf_dir):
+    """Rolling severity via a join with the (fixed, one row per metric) threshold table."""
+    rows = [(m, CFG.direction[m], *CFG.z_thresholds[m]) for m in M]
+    thr = spark.createDataFrame(rows, "metric string, direction string, watch double, warning double, critical double")
+    b = _baselines(spark, sf_dir)
+    long = b.select("asin", "date", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"),
+                                                                F.col(f"{m}_roll_zscore").alias("z_score")) for m in M])))
+    j = long.filter(F.col("z_score").isNotNull()).join(F.broadcast(thr), "metric")   # 6 rows: bounded by the metric list
+    bad = (F.when(F.col("direction") == "both", F.abs("z_score"))
+           .when(F.col("direction") == "up", F.col("z_score")).otherwise(-F.col("z_score")))
+    sev = (F.when(bad >= F.col("critical"), F.lit("critical")).when(bad >= F.col("warning"), F.lit("warning"))
+           .when(bad >= F.col("watch"), F.lit("watch")))
+    return j.select("asin", "date", "metric", "z_score", sev.alias("severity")).filter(F.col("severity").isNotNull())
+
+
+# ------------------------------------------------------------------ file listings (S1–S4, S7–S9) on the export manifest
+
+def _manifest(spark, sf_dir, folder=None):
+    m = FX.file_manifest(spark, sf_dir)
+    if folder is not None:
+        m = m.filter(F.col("folder") == folder)
+    return m.select("path", "name", (F.size(F.split("path", "/")) - 2).alias("depth"), "folder",
+                    X.file_date(F.col("name")).alias("file_date"))
+
+
+def _anchor(spark, sf_dir):
+    return FL.latest_date(_manifest(spark, sf_dir, "helium10"))
+
+
+@query("file_date_extract")
+def q_file_date_extract(spark, sf_dir):
+    """The export day in a file name (yyyy-MM-dd, else short 'Mon d, yyyy')."""
+    return _manifest(spark, sf_dir).select("path", "name", "file_date")
+
+
+@query("file_date_prune")
+def q_file_date_prune(spark, sf_dir):
+    """S3: the returns files of the anchor day."""
+    return FL.files_for_date(_manifest(spark, sf_dir, "returns"), _anchor(spark, sf_dir)).select("path", "file_date")
+
+
+@query("latest_file_date")
+def q_latest_file_date(spark, sf_dir):
+    """Newest file day per export folder."""
+    return _manifest(spark, sf_dir).groupBy("folder").agg(F.max("file_date").alias("latest_date"))
+
+
+@query("returns_scan_fallback")
+def q_returns_scan_fallback(spark, sf_dir):
+    """Returns files of the anchor day, else all returns files."""
+    return FL.select_all_or_day(_manifest(spark, sf_dir, "returns"), _anchor(spark, sf_dir)).select("path", "file_date")
+
+
+@query("inventory_scan_fallback")
+def q_inventory_scan_fallback(spark, sf_dir):
+    """Inventory files of the day after the anchor (usually none), else the one newest file."""
+    day = F.date_add(_anchor(spark, sf_dir), 1)
+    return FL.select_day_or_latest_one(_manifest(spark, sf_dir, "inventory"), day).select("path", "file_date")
+
+
+@query("snapshot_scan")
+def q_snapshot_scan(spark, sf_dir):
+    """Every listing-snapshot file of the newest day."""
+    return FL.select_day_or_latest_all(_manifest(spark, sf_dir, "helium10"), None).select("path", "file_date")
+
+
+@query("alert_export")
+def q_alert_export(spark, sf_dir):
+    """The export frame of a run (5 numeric columns rounded to 4 places, run_date)."""
+    a = _alerts(spark, sf_dir)
+    return FL.alerts_export_frame(D.anchor_filter(a), "2001-11-06")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture derivation.
 # ---------------------------------------------------------------------------
-SNAPSHOT_KEYS = 20          # events.user_id % 20 -> 'K0' .. 'K19'
+SNAPSHOT_KEYS = 25          # events.user_id % 25 -> 'BRAND#1' .. 'BRAND#25' (the brand keys)
 NULL_EVERY = 11             # one snapshot metric NULL on every 11th key-day
 JUNK_EVERY = 97             # every 97th sales row carries a junk number
 REPEAT_DAYS = 7             # days 1..7 of each month are re-exported
@@ -150,7 +150,7 @@ def snapshot_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     hole = F.when(n % NULL_EVERY == 0, F.floor(n / NULL_EVERY) % 4)
     cols = ["keyword_avg_rank", "review_rating", "review_count", "organic_top10_count"]
     return g.select(
-        F.concat(F.lit("K"), F.col("_k").cast("string")).alias("asin"),
+        F.concat(F.lit("BRAND#"), (F.col("_k") + 1).cast("string")).alias("asin"),
         "date",
         *[F.when(hole.isNull() | (hole != i), F.col(c)).alias(c) for i, c in enumerate(cols)],
         (F.lit(1000.0) * (F.col("_k") + 1)).alias("category_bsr"),
