@@ -20,7 +20,7 @@ from ..functions.exprs import round_score, safe_div
 
 
 def _frame(cfg: Config, key: str, order: str):
-    w = Window.partitionBy(key).orderBy(order)
+    w = Window.partitionBy(key).orderBy(F.datediff(F.col(order), F.lit("1970-01-01")))
     if cfg.exclude_current:
         return w.rowsBetween(-cfg.rolling_window, -1)
     return w.rowsBetween(-(cfg.rolling_window - 1), Window.currentRow)
@@ -61,7 +61,7 @@ def with_zero_run(df: DataFrame, key: str = "asin", order: str = "date", units:
     Gaps and islands with two windows on the same partitioning: the row number
     minus the row number of the last non-zero row so far.
     """
-    w = Window.partitionBy(key).orderBy(order)
+    w = Window.partitionBy(key).orderBy(F.datediff(F.col(order), F.lit("1970-01-01")))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_zero = F.coalesce(F.col(units), F.lit(0.0)) == 0
     df = df.withColumn("_rn", F.row_number().over(w))
@@ -85,6 +85,41 @@ def yoy_means(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "as
         *[F.round(F.avg(m), cfg.digits(m)).alias(f"{m}_yoy_mean") for m in metrics])
 
 
+def with_yoy_window(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "asin",
+                    order: str = "date") -> DataFrame:
+    """``<m>_yoy_mean`` from a RANGE window on the same (asin ↑day) partitioning as
+    the rolling windows: no join and no extra shuffle.
+
+    One calendar year back is 365 or 366 days (``add_months(date, -12)``; 29 Feb
+    maps to 28 Feb), so the frame [day − 366 − w//2, day − 365 + w//2] always
+    covers the target week; it holds at most 2·(w//2)+2 rows because days are
+    unique per product.  The rows of the frame are collected and the exact week
+    around ``add_months(date, -12)`` is selected inside the row.
+    """
+    if "yoy_available" not in df.columns:
+        df = with_history_span(df, cfg, key, order)
+    half = cfg.yoy_window // 2
+    day = F.datediff(F.col(order), F.lit("1970-01-01"))
+    w = Window.partitionBy(key).orderBy(day).rangeBetween(-(366 + half), -(365 - half))
+    df = df.withColumn("_yoy_rows", F.collect_list(F.struct(F.col(order).alias("d"), *[F.col(m).alias(m) for m in metrics])).over(w))
+    centre = F.add_months(F.col(order), -12)
+    out = []
+    lo, hi = F.date_sub(centre, half), F.date_add(centre, half)
+
+    def in_week(m):
+        return lambda r: (r["d"] >= lo) & (r["d"] <= hi) & r[m].isNotNull()
+
+    def add(m):
+        return lambda acc, r: acc + r[m]
+
+    for m in metrics:
+        vals = F.filter(F.col("_yoy_rows"), in_week(m))
+        total = F.aggregate(vals, F.lit(0.0), add(m))
+        mean = F.when(F.size(vals) > 0, total / F.size(vals))
+        out.append(F.when(F.col("yoy_available"), F.round(mean, cfg.digits(m))).alias(f"{m}_yoy_mean"))
+    return df.select(*[c for c in df.columns if c != "_yoy_rows"], *out)
+
+
 def with_yoy(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "asin",
              order: str = "date", history: DataFrame | None = None) -> DataFrame:
     """Adds ``<m>_yoy_mean``: the same week one *calendar* year earlier

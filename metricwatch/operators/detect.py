@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DETECTION_METRICS, Config
 from ..functions.exprs import bad_score, escalate, rank_label, safe_div, severity_rank
-from .baselines import with_history_span, with_rolling, with_yoy, with_yoy_deviation, with_zero_run
+from .baselines import (with_history_span, with_rolling, with_yoy, with_yoy_deviation, with_yoy_window,
+                        with_zero_run)
 
 CONTEXT_COLUMNS = (("asin", "string"), ("date", "date"), ("tier", "string"), ("title", "string"),
                    ("category_bsr", "double"), ("yoy_available", "boolean"), ("top_return_reason", "string"))
@@ -45,11 +46,13 @@ def present_metrics(df: DataFrame, metrics: Sequence[str] = DETECTION_METRICS) -
 def baselines(master: DataFrame, cfg: Config = DEFAULT, metrics: Sequence[str] | None = None) -> DataFrame:
     """Wide frame with rolling stats, zero-unit run, span and YoY means for every metric."""
     metrics = list(metrics or present_metrics(master))
+    # Every per-product step is a window on the same (asin ↑date) partitioning:
+    # one hash exchange on the product key for the whole detection.
     df = ensure_columns(master, OPTIONAL_INPUTS)
     df = with_rolling(df, metrics, cfg)
     df = with_zero_run(df)
     df = with_history_span(df, cfg)
-    df = with_yoy(df, metrics, cfg)
+    df = with_yoy_window(df, metrics, cfg)
     return with_yoy_deviation(df, metrics, cfg)
 
 

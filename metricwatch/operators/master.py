@@ -50,12 +50,15 @@ def tier_of(revenue, cfg: Config = DEFAULT):
     return e.otherwise(F.lit("less_than_single"))
 
 
-def assign_tiers(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def assign_tiers(df: DataFrame, cfg: Config = DEFAULT, newest=None) -> DataFrame:
     """A3: trailing revenue, tier and ``is_hero`` on every row of the product.
 
     Computed as a window over ``asin`` (no join back), which shares its hash
-    exchange with the detection windows downstream."""
-    cutoff = F.add_months(df.agg(F.max("date")).scalar(), -cfg.trailing_months)
+    exchange with the detection windows downstream.  ``newest`` (a Column, e.g.
+    a scalar subquery over a cheaper source) is the table's newest day; by
+    default it is ``max(date)`` of ``df`` itself."""
+    newest = newest if newest is not None else df.agg(F.max("date")).scalar()
+    cutoff = F.add_months(newest, -cfg.trailing_months)
     wp = Window.partitionBy("asin")
     recent = F.when(F.col("date") >= cutoff, F.round(F.coalesce(F.col("sales"), F.lit(0.0)) * 10000).cast("long"))
     rev = F.sum(recent).over(wp) / F.lit(10000.0)

@@ -68,7 +68,8 @@ BRAND_DAILY = [
 
 DENSE = BRAND_DAILY + [
     ("bd_days", """
-      SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM brand_daily"""),
+      SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS date
+      FROM lineitem"""),
     ("dense", """
       SELECT b.asin, d.date, COALESCE(x.sales, 0.0) AS sales, COALESCE(x.units, 0.0) AS units, x.orders,
              x.return_rate, x.conversion_rate, x.margin, x.acos, x.tacos

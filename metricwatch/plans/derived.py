@@ -19,7 +19,8 @@ def master(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> DataF
     ret = standardize_returns(fx.returns_raw(spark, sf_dir))
     inv = standardize_inventory(fx.inventory_raw(spark, sf_dir))
     lst = standardize_snapshot(fx.listing_raw(spark, sf_dir))
-    return assign_tiers(merge_sources(dense, ret, inv, lst), cfg)
+    _, newest = fx.ship_day_bounds(spark, sf_dir)     # = max(date) of the dense calendar
+    return assign_tiers(merge_sources(dense, ret, inv, lst), cfg, newest=newest)
 
 
 def alerts(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> DataFrame:

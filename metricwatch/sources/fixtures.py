@@ -67,22 +67,23 @@ def brand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def date_range(df: DataFrame) -> tuple:
-    """(min date, max date) of a feed: a two-value driver read."""
-    r = df.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return r["lo"], r["hi"]
+def ship_day_bounds(spark: SparkSession, sf_dir: str):
+    """(first, last) ship day of ``lineitem`` as scalar-subquery columns (a one-column scan)."""
+    li = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+    return li.agg(F.min("d")).scalar(), li.agg(F.max("d")).scalar()
 
 
 def brand_daily_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every brand on every calendar day of the feed; missing days sell 0, rates stay NULL.
+    """Every brand on every calendar day of the ship-date range; missing days sell 0,
+    rates stay NULL.
 
-    The calendar is generated per brand with ``sequence`` (a Generate node),
-    not by a cross join.
+    The calendar is generated per brand with ``sequence`` (a Generate node) from
+    two scalar subqueries, not by a cross join or a driver round trip.
     """
     bd = brand_daily(spark, sf_dir)
-    lo, hi = date_range(bd)
+    lo, hi = ship_day_bounds(spark, sf_dir)
     days = (bd.select("asin").distinct()
-            .select("asin", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date")))
+            .select("asin", F.explode(F.sequence(lo, hi)).alias("date")))
     out = days.join(bd, ["asin", "date"], "left")
     return out.select(
         "asin", "date",
