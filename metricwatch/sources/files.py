@@ -95,6 +95,12 @@ def select_day_or_latest_all(listing: DataFrame, day) -> DataFrame:
     return listing.filter(F.when(n_dated > 0, F.col("file_date") == target).otherwise(F.lit(True)))
 
 
+def _norm(path: str) -> str:
+    """file:/x, file:///x -> /x (the listing and the scan metadata spell local paths differently)."""
+    import re
+    return re.sub(r"^file:/+", "/", path)
+
+
 def _paths(listing: DataFrame) -> List[str]:
     """Paths of a (file-name) listing: bounded by the number of export files."""
     return [r["path"] for r in listing.select("path").orderBy("depth", "path").collect()]
@@ -115,7 +121,8 @@ def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     groups = {}
     for r in heads:
         groups.setdefault((r["utf8"], r["header"]), []).append(r["path"])
-    depth = {r["path"]: r["depth"] for r in listing.select("path", "depth").collect()}
+    first = listing.select("path", "depth").first()
+    root_slashes = _norm(first["path"]).count("/") - first["depth"] - 1
     frames = []
     for (utf8, _header), ps in groups.items():
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
@@ -127,9 +134,11 @@ def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    dmap = F.create_map(*[x for p, d in depth.items() for x in (F.lit(p), F.lit(d))])
     w = Window.partitionBy("_src_path").orderBy("_mid")
-    out = out.withColumn("_src_depth", F.coalesce(F.try_element_at(dmap, F.col("_src_path")), F.lit(0)))
+    # the scan reports URL-encoded paths; '/' is never encoded, so the depth is the slash count below the root
+    key = F.regexp_replace(F.col("_src_path"), "^file:/+", "/")
+    slashes = F.length(key) - F.length(F.regexp_replace(key, "/", ""))
+    out = out.withColumn("_src_depth", (slashes - F.lit(root_slashes) - 1).cast("int"))
     return out.withColumn("_src_row", F.row_number().over(w).cast("long")).drop("_mid")
 
 
