@@ -554,7 +554,7 @@ def alert_stage_ctes(cfg: Config = CFG) -> List[tuple]:
         ("flags", """SELECT date, asin, array_to_string(list_sort(list(DISTINCT metric)), ',') AS flags
                      FROM capped WHERE severity <> 'improvement' GROUP BY date, asin"""),
         ("with_flags", "SELECT c.*, f.flags FROM capped c LEFT JOIN flags f ON f.date = c.date AND f.asin = c.asin"),
-        ("summary", f"""SELECT date, {", ".join(f"count_if(severity = {lit(s)}) AS n_{s}" for s in SEVERITY_ORDER)},
+        ("summary", f"""SELECT date, {", ".join(f"CAST(count_if(severity = {lit(s)}) AS BIGINT) AS n_{s}" for s in SEVERITY_ORDER)},
                         count(*) AS n_total, count(DISTINCT asin) AS n_asins FROM capped GROUP BY date"""),
     ]
 
@@ -570,8 +570,8 @@ def lookback_sql(cfg: Config = CFG) -> str:
 
 
 def pivot_sql(by: str) -> str:
-    cnt = ", ".join(f"count_if(severity = {lit(s)}) AS {s}" for s in ("critical", "warning", "watch"))
-    return f"SELECT {by}, {cnt}, count_if(severity = 'critical') + count_if(severity = 'warning') + count_if(severity = 'watch') AS total FROM lb GROUP BY {by}"
+    cnt = ", ".join(f"CAST(count_if(severity = {lit(s)}) AS BIGINT) AS {s}" for s in ("critical", "warning", "watch"))
+    return f"SELECT {by}, {cnt}, CAST(count_if(severity = 'critical') AS BIGINT) + CAST(count_if(severity = 'warning') AS BIGINT) + CAST(count_if(severity = 'watch') AS BIGINT) AS total FROM lb GROUP BY {by}"
 
 
 def _build_alerts(cfg: Config = CFG) -> None:
@@ -636,13 +636,13 @@ def _build_alerts(cfg: Config = CFG) -> None:
         WHERE severity = 'critical' AND tier IS NOT NULL GROUP BY asin, tier ORDER BY critical_count DESC, asin LIMIT 10""")
     _reg("backtest_floor_audit", L, f"""SELECT *, CASE WHEN total > 0 THEN by_floor * 100.0 / total END AS pct_floor,
         CASE WHEN total > 0 THEN by_stats * 100.0 / total END AS pct_stats FROM (
-        SELECT count(*) AS total, count_if(triggered_by = 'absolute_threshold') AS by_floor,
-               count_if(NOT COALESCE(triggered_by = 'absolute_threshold', FALSE)) AS by_stats,
-               {", ".join(f"count_if(triggered_by = 'absolute_threshold' AND severity = {lit(s)}) AS floor_{s}" for s in ("critical", "warning", "watch"))}
+        SELECT count(*) AS total, CAST(count_if(triggered_by = 'absolute_threshold') AS BIGINT) AS by_floor,
+               CAST(count_if(NOT COALESCE(triggered_by = 'absolute_threshold', FALSE)) AS BIGINT) AS by_stats,
+               {", ".join(f"CAST(count_if(triggered_by = 'absolute_threshold' AND severity = {lit(s)}) AS BIGINT) AS floor_{s}" for s in ("critical", "warning", "watch"))}
         FROM lb WHERE metric = 'return_rate')""")
     _reg("backtest_range", A, f"""SELECT min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS n_days,
         count(DISTINCT CASE WHEN date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days} THEN date END) AS n_days_lookback,
-        count(*) AS n_alerts, count_if(date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}) AS n_alerts_lookback FROM alerts""")
+        count(*) AS n_alerts, CAST(count_if(date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}) AS BIGINT) AS n_alerts_lookback FROM alerts""")
 
 
 
@@ -803,6 +803,8 @@ def _build_ingest(cfg: Config = CFG) -> None:
     _reg("snapshot_scan", F_ + [("h", "SELECT * FROM manifest WHERE folder = 'helium10'")], """
         SELECT path, file_date FROM h WHERE CASE WHEN EXISTS (SELECT 1 FROM h WHERE file_date IS NOT NULL)
           THEN file_date = (SELECT max(file_date) FROM h) ELSE TRUE END""")
+    _reg("snapshot_append", SNAPSHOT, "SELECT * EXCLUDE (date), date AS snapshot_date FROM snapshot_hist")
+    _reg("snapshot_history", SNAPSHOT, f"SELECT asin, date AS snapshot_date, {', '.join(cfg.snapshot_metrics)} FROM snapshot_hist")
     A = alerts_ctes(cfg)
     _reg("alert_export", A, """SELECT * REPLACE (round(actual_value, 4) AS actual_value, round(expected_value, 4) AS expected_value,
         round(yoy_baseline, 4) AS yoy_baseline, round(z_score, 4) AS z_score, round(yoy_deviation, 4) AS yoy_deviation),

@@ -664,3 +664,36 @@ def q_alert_export(spark, sf_dir):
     """The export frame of a run (5 numeric columns rounded to 4 places, run_date)."""
     a = _alerts(spark, sf_dir)
     return FL.alerts_export_frame(D.anchor_filter(a), "2001-11-06")
+
+
+# ------------------------------------------------------------------ snapshot store
+
+def _store(spark, sf_dir):
+    """A fresh store folder under the shared checkpoint folder (a local temp folder only
+    when the session names none, as in local runs)."""
+    import tempfile
+    import uuid
+
+    from .session import checkpoint_dir
+    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="metricwatch-ckpt-"))
+    return f"{base.rstrip('/')}/snapshot_store_{uuid.uuid4().hex}"
+
+
+@query("snapshot_append")
+def q_snapshot_append(spark, sf_dir):
+    """Land every day of the listing history into a store partitioned by snapshot day,
+    twice (the second landing is a no-op), and read the store back."""
+    store = _store(spark, sf_dir)
+    hist = _hist(spark, sf_dir).withColumnRenamed("date", "snapshot_date")
+    FL.append_new_days(spark, hist, store)
+    FL.append_new_days(spark, hist.withColumn("review_count", F.lit(-1.0)), store)   # same days: skipped
+    return FL.read_snapshot_history(spark, store)
+
+
+@query("snapshot_history")
+def q_snapshot_history(spark, sf_dir):
+    """The accumulated store as a (asin, snapshot_date) series."""
+    store = _store(spark, sf_dir)
+    FL.append_new_days(spark, _hist(spark, sf_dir).withColumnRenamed("date", "snapshot_date"), store)
+    h = FL.read_snapshot_history(spark, store)
+    return h.select("asin", "snapshot_date", *[m for m in CFG.snapshot_metrics])
