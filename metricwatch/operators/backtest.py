@@ -29,8 +29,14 @@ def _pivot(df: DataFrame, by: str) -> DataFrame:
 
 
 def daily(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """A10: date × severity counts over the look-back."""
-    return _pivot(lookback(alerts, cfg), "date")
+    """A10: date × severity counts over the look-back.
+
+    The pivot over all days is small (one row per day); the look-back cut is
+    applied to it, with the newest day taken from the same pivot, so the
+    subquery and the report share one exchange (and one detection run)."""
+    p = _pivot(alerts, "date")
+    newest = p.agg(F.max("date")).scalar()
+    return p.filter(F.col("date") >= F.date_sub(newest, cfg.lookback_days))
 
 
 def daily_stats(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

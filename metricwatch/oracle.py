@@ -73,7 +73,7 @@ DENSE = BRAND_DAILY + [
     ("dense", """
       SELECT b.asin, d.date, COALESCE(x.sales, 0.0) AS sales, COALESCE(x.units, 0.0) AS units, x.orders,
              x.return_rate, x.conversion_rate, x.margin, x.acos, x.tacos
-      FROM (SELECT DISTINCT asin FROM brand_daily) b CROSS JOIN bd_days d
+      FROM (SELECT DISTINCT upper(p_brand) AS asin FROM part) b CROSS JOIN bd_days d
       LEFT JOIN brand_daily x ON x.asin = b.asin AND x.date = d.date"""),
 ]
 

@@ -18,9 +18,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # let joins use an existing partitioning on a subset of their keys (the
-        # product key), so per-product pipelines shuffle once
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.driver.memory", os.environ.get("METRICWATCH_DRIVER_MEMORY", "8g"))
     )
     return builder.getOrCreate()

@@ -68,22 +68,27 @@ def brand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ship_day_bounds(spark: SparkSession, sf_dir: str):
-    """(first, last) ship day of ``lineitem`` as scalar-subquery columns (a one-column scan)."""
+    """(first, last) ship day of ``lineitem`` as columns of one scalar subquery (a one-column scan)."""
     li = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
-    return li.agg(F.min("d")).scalar(), li.agg(F.max("d")).scalar()
+    b = li.agg(F.struct(F.min("d").alias("lo"), F.max("d").alias("hi"))).scalar()
+    return b.getField("lo"), b.getField("hi")
+
+
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product keys of the catalogue (``part`` brands)."""
+    return table(spark, sf_dir, "part").select(F.upper("p_brand").alias("asin")).distinct()
 
 
 def brand_daily_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every brand on every calendar day of the ship-date range; missing days sell 0,
-    rates stay NULL.
+    """Every catalogue product on every calendar day of the ship-date range; missing days
+    sell 0, rates stay NULL.
 
-    The calendar is generated per brand with ``sequence`` (a Generate node) from
-    two scalar subqueries, not by a cross join or a driver round trip.
+    The calendar is generated per product with ``sequence`` (a Generate node) from a
+    scalar subquery, not by a cross join or a driver round trip.
     """
     bd = brand_daily(spark, sf_dir)
     lo, hi = ship_day_bounds(spark, sf_dir)
-    days = (bd.select("asin").distinct()
-            .select("asin", F.explode(F.sequence(lo, hi)).alias("date")))
+    days = catalogue(spark, sf_dir).select("asin", F.explode(F.sequence(lo, hi)).alias("date"))
     out = days.join(bd, ["asin", "date"], "left")
     return out.select(
         "asin", "date",
