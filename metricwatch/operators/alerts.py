@@ -125,7 +125,10 @@ def capped(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def tier_sorted(alerts: DataFrame) -> DataFrame:
-    """O1: position of each alert of a day in (tier rank, asin, metric) order."""
+    """O1: position of each alert of a day in (tier rank, asin, metric) order.
+
+    Meant for a day's digest rows (after ``capped``), whose size per day is bounded
+    by the caps; (asin, metric) is unique within a day, so the order is total."""
     w = Window.partitionBy("date").orderBy(*tier_order_cols())
     return alerts.select("*", tier_rank(F.col("tier")).alias("tier_rank"), F.row_number().over(w).alias("position"))
 

@@ -582,7 +582,7 @@ def _build_alerts(cfg: Config = CFG) -> None:
     _reg("alert_suppress", A, "SELECT * FROM suppressed")
     _reg("alert_caps", A, "SELECT * FROM capped")
     _reg("tier_sort", A, f"""SELECT date, asin, metric, severity, tier, {tier_rank_sql()} AS tier_rank,
-        CAST(row_number() OVER (PARTITION BY date ORDER BY {tier_rank_sql()}, asin, metric) AS INTEGER) AS position FROM alerts""")
+        CAST(row_number() OVER (PARTITION BY date ORDER BY {tier_rank_sql()}, asin, metric) AS INTEGER) AS position FROM capped""")
     _reg("top_alerts", A, f"SELECT date, position, asin, metric, severity, tier FROM ({top_sql('capped', cfg)})")
     _reg("cross_metric_flags", A, "SELECT * FROM flags")
     _reg("fmt_value", A, f"""SELECT {keys}, {fmt_sql('actual_value')} AS actual_fmt, {fmt_sql('expected_value')} AS expected_fmt,

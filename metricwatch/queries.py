@@ -240,8 +240,9 @@ def q_alert_caps(spark, sf_dir):
 
 @query("tier_sort")
 def q_tier_sort(spark, sf_dir):
-    """O1: position of each alert of a day in tier order."""
-    return AL.tier_sorted(_alerts(spark, sf_dir)).select("date", "asin", "metric", "severity", "tier", "tier_rank", "position")
+    """O1: display position of each digest row of a day in tier order (capped rows: a day's
+    group is bounded by the caps)."""
+    return AL.tier_sorted(_capped(spark, sf_dir)).select("date", "asin", "metric", "severity", "tier", "tier_rank", "position")
 
 
 @query("top_alerts")

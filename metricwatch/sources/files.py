@@ -129,17 +129,32 @@ def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
               .option("encoding", "UTF-8" if utf8 else "ISO-8859-1").option("ignoreCorruptFiles", True)
               .csv(ps))
         df = df.select("*", F.col("_metadata.file_path").alias("_src_path"),
+                       F.col("_metadata.file_block_start").alias("_blk"),
                        F.monotonically_increasing_id().alias("_mid"))
         frames.append(df)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    w = Window.partitionBy("_src_path").orderBy("_mid")
     # the scan reports URL-encoded paths; '/' is never encoded, so the depth is the slash count below the root
     key = F.regexp_replace(F.col("_src_path"), "^file:/+", "/")
     slashes = F.length(key) - F.length(F.regexp_replace(key, "/", ""))
     out = out.withColumn("_src_depth", (slashes - F.lit(root_slashes) - 1).cast("int"))
-    return out.withColumn("_src_row", F.row_number().over(w).cast("long")).drop("_mid")
+    return with_row_in_file(out).drop("_blk", "_mid")
+
+
+def with_row_in_file(df: DataFrame) -> DataFrame:
+    """``_src_row``: 1-based position of each row inside its file, exact even when a file
+    is read as several splits, without sorting any file in one task.
+
+    Inside a split, ``monotonically_increasing_id`` is contiguous; splits of a file are
+    ordered by their byte offset (``_blk``).  A per-(file, split) table of row counts
+    (one row per split) gives each split's offset by a running sum over the file's
+    splits, and is joined back on (file, split)."""
+    blocks = df.groupBy("_src_path", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy("_src_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    j = df.join(blocks.drop("_n"), ["_src_path", "_blk"])
+    return j.withColumn("_src_row", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long")).drop("_before", "_first")
 
 
 def write_snapshot(df: DataFrame, store: str, snapshot_date, date_col: str = "snapshot_date") -> int:

@@ -97,3 +97,20 @@ def test_available_now_landing_replays_to_same_store(spark, tmp_dir):
     q.awaitTermination(120)
     again = sorted(tuple(r) for r in FL.read_snapshot_history(spark, store).select("asin", "snapshot_date").collect())
     assert again == first
+
+
+def test_row_in_file_exact_across_splits(spark, tmp_dir):
+    _write(f"{tmp_dir}/big 2026-01-01.csv", "asin,n\n" + "".join(f"A{i % 7},{i}\n" for i in range(1, 401)))
+    _write(f"{tmp_dir}/small 2026-01-02.csv", "asin,n\nB,1\nB,2\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = FL.read_csv_files(spark, FL.list_files(spark, tmp_dir))
+        assert df.rdd.getNumPartitions() > 1
+        rows = df.select("_src_path", "n", "_src_row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(rows) == 402
+    assert all(int(r["n"]) == r["_src_row"] for r in rows)
