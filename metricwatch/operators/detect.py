@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DETECTION_METRICS, Config
-from ..functions.exprs import bad_score, escalate, rank_label, safe_div, severity_rank
+from ..functions.exprs import bad_score, escalate, nan_to_null, rank_label, safe_div, severity_rank
 from .baselines import (with_history_span, with_rolling, with_yoy, with_yoy_deviation, with_yoy_window,
                         with_zero_run)
 
@@ -49,6 +49,8 @@ def baselines(master: DataFrame, cfg: Config = DEFAULT, metrics: Sequence[str] |
     # Every per-product step is a window on the same (asin ↑date) partitioning:
     # one hash exchange on the product key for the whole detection.
     df = ensure_columns(master, OPTIONAL_INPUTS)
+    # NaN is a missing value, never a number (Spark would sort it above every cut)
+    df = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in list(metrics) + ["units", "available_units"]})
     df = with_rolling(df, metrics, cfg)
     df = with_zero_run(df)
     df = with_history_span(df, cfg)
@@ -56,10 +58,6 @@ def baselines(master: DataFrame, cfg: Config = DEFAULT, metrics: Sequence[str] |
     return with_yoy_deviation(df, metrics, cfg)
 
 
-def _cuts(table: Dict, m: str, default=None):
-    return table.get(m, default)
-
-
 def severity_columns(m: str, cfg: Config, suppress: bool = True) -> Dict[str, Column]:
     """Rolling severity (D1), YoY severity (D4) with suppressors D5–D8, combined."""
     d = cfg.direction.get(m, "up")

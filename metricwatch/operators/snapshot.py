@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.exprs import bad_score, escalate, rank_label, round_score, safe_div, severity_rank
+from ..functions.exprs import bad_score, escalate, nan_to_null, rank_label, round_score, safe_div, severity_rank
 from .detect import ALERT_FIELDS, CONTEXT_COLUMNS, ensure_columns
 
 
@@ -35,7 +35,7 @@ def snapshot_gate(history: DataFrame, cfg: Config = DEFAULT) -> Column:
 
 def unpivot_history(history: DataFrame, metrics: Sequence[str]) -> DataFrame:
     present = [m for m in metrics if m in history.columns]
-    structs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in present]
+    structs = [F.struct(F.lit(m).alias("metric"), nan_to_null(F.col(m).cast("double")).alias("value")) for m in present]
     return history.select("asin", "date", F.inline(F.array(*structs))).filter(F.col("value").isNotNull())
 
 
