@@ -6,7 +6,7 @@ Everything here returns a ``pyspark.sql.Column`` built from
 
 from __future__ import annotations
 
-from typing import Iterable, Optional, Sequence, Tuple
+from typing import Iterable, Optional, Tuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.exprs import bad_score, escalate, nan_to_null, rank_label, round_score, safe_div, severity_rank
-from .detect import ALERT_FIELDS, CONTEXT_COLUMNS, ensure_columns
+from .detect import ensure_columns
 
 
 def _per_metric(metrics: Sequence[str], make) -> Column:

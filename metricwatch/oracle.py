@@ -27,9 +27,10 @@ def lit(v) -> str:
     return repr(float(v)) if isinstance(v, float) else str(v)
 
 
-def rounded(sql: str, doubles: Iterable[str] = (), digits: int = 6) -> str:
+def rounded(sql: str, doubles: Iterable[str] = ()) -> str:
     """Results are compared unrounded: every double is either exact fixture
-    arithmetic or a statistic rounded on a fixed grid inside the plan."""
+    arithmetic or a statistic rounded on a fixed grid inside the plan (the
+    ``doubles`` lists document which columns are floating point)."""
     return sql
 
 

@@ -10,7 +10,7 @@ filters and window functions over the listing.
 from __future__ import annotations
 
 import os
-from typing import Iterable, List, Optional
+from typing import Iterable, List
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
