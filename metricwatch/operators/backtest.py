@@ -7,6 +7,8 @@ fixed and no distinct-values job runs first.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,22 +23,33 @@ def lookback(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return alerts.filter(F.col("date") >= F.date_sub(newest, cfg.lookback_days))
 
 
-def _pivot(df: DataFrame, by: str) -> DataFrame:
+def counts(alerts: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+    """Alert counts per (day, dims, severity): the reports' shared pre-aggregate.
+
+    It is small (one row per day and dimension value) and partially aggregated
+    before its shuffle; every report filters and folds it further."""
+    return alerts.groupBy("date", *dims, "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+def recent(pre: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """The look-back slice of a pre-aggregate.  The newest day is taken from the same
+    pre-aggregate, so the scalar subquery and the report share one exchange (and
+    detection runs once)."""
+    newest = pre.agg(F.max("date")).scalar()
+    return pre.filter(F.col("date") >= F.date_sub(newest, cfg.lookback_days))
+
+
+def _pivot(pre: DataFrame, by: str) -> DataFrame:
     """Counts per severity (0-filled) and their total; rows whose alerts are all
     improvements stay, with zeros."""
-    p = df.groupBy(by).agg(*[F.count_if(F.col("severity") == s).alias(s) for s in SEV])
+    p = pre.groupBy(by).agg(*[F.sum(F.when(F.col("severity") == s, F.col("n")).otherwise(F.lit(0))).alias(s)
+                              for s in SEV])
     return p.withColumn("total", sum(F.col(s) for s in SEV))
 
 
 def daily(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """A10: date × severity counts over the look-back.
-
-    The pivot over all days is small (one row per day); the look-back cut is
-    applied to it, with the newest day taken from the same pivot, so the
-    subquery and the report share one exchange (and one detection run)."""
-    p = _pivot(alerts, "date")
-    newest = p.agg(F.max("date")).scalar()
-    return p.filter(F.col("date") >= F.date_sub(newest, cfg.lookback_days))
+    """A10: date × severity counts over the look-back."""
+    return _pivot(recent(counts(alerts), cfg), "date")
 
 
 def daily_stats(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -56,12 +69,12 @@ def verdict(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def by_metric(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Metric × severity counts (sort by total desc for display)."""
-    return _pivot(lookback(alerts, cfg), "metric")
+    return _pivot(recent(counts(alerts, ["metric"]), cfg), "metric")
 
 
 def by_trigger(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """triggered_by × severity counts."""
-    return _pivot(lookback(alerts, cfg), "triggered_by")
+    return _pivot(recent(counts(alerts, ["triggered_by"]), cfg), "triggered_by")
 
 
 def by_tier(alerts: DataFrame, tiers: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -69,7 +82,8 @@ def by_tier(alerts: DataFrame, tiers: DataFrame, cfg: Config = DEFAULT) -> DataF
 
     ``tiers`` is the fixed five-row tier list; the grouped side holds at most
     one row per tier value, and the total is a scalar subquery."""
-    crit = lookback(alerts, cfg).filter(F.col("severity") == "critical").groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
+    crit = (recent(counts(alerts, ["tier"]), cfg).filter(F.col("severity") == "critical")
+            .groupBy("tier").agg(F.sum("n").alias("n")))
     j = tiers.join(crit, "tier", "left").select("tier", F.coalesce(F.col("n"), F.lit(0)).alias("critical_count"))
     total = crit.filter(F.col("tier").isin(*TIER_ORDER)).agg(F.sum("n")).scalar()
     return j.select("tier", "critical_count",
@@ -79,20 +93,23 @@ def by_tier(alerts: DataFrame, tiers: DataFrame, cfg: Config = DEFAULT) -> DataF
 
 def noisiest(alerts: DataFrame, cfg: Config = DEFAULT, n: int = 10) -> DataFrame:
     """Top-n products by criticals (NULL tier dropped); ties broken by asin."""
-    c = (lookback(alerts, cfg).filter((F.col("severity") == "critical") & F.col("tier").isNotNull())
-         .groupBy("asin", "tier").agg(F.count(F.lit(1)).alias("critical_count")))
+    c = (recent(counts(alerts, ["asin", "tier"]), cfg)
+         .filter((F.col("severity") == "critical") & F.col("tier").isNotNull())
+         .groupBy("asin", "tier").agg(F.sum("n").alias("critical_count")))
     return c.orderBy(F.col("critical_count").desc(), F.col("asin")).limit(n)
 
 
 def floor_audit(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Return-rate alerts: total, from the absolute floor, from the rest (improvements
     count as rest), shares, and the severity split of the floor ones."""
-    rr = lookback(alerts, cfg).filter(F.col("metric") == "return_rate")
-    absolute = F.col("triggered_by") == "absolute_threshold"
-    a = rr.agg(F.count(F.lit(1)).alias("total"),
-               F.count_if(absolute).alias("by_floor"),
-               F.count_if(~F.coalesce(absolute, F.lit(False))).alias("by_stats"),
-               *[F.count_if(absolute & (F.col("severity") == s)).alias(f"floor_{s}") for s in SEV])
+    rr = recent(counts(alerts, ["metric", "triggered_by"]), cfg).filter(F.col("metric") == "return_rate")
+    absolute = F.coalesce(F.col("triggered_by") == "absolute_threshold", F.lit(False))
+    n = F.col("n")
+    a = rr.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total"),
+               F.coalesce(F.sum(F.when(absolute, n)), F.lit(0)).alias("by_floor"),
+               F.coalesce(F.sum(F.when(~absolute, n)), F.lit(0)).alias("by_stats"),
+               *[F.coalesce(F.sum(F.when(absolute & (F.col("severity") == s), n)), F.lit(0)).alias(f"floor_{s}")
+                 for s in SEV])
     return a.select("*",
                     F.when(F.col("total") > 0, F.col("by_floor") * 100.0 / F.col("total")).alias("pct_floor"),
                     F.when(F.col("total") > 0, F.col("by_stats") * 100.0 / F.col("total")).alias("pct_stats"))
@@ -100,13 +117,15 @@ def floor_audit(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def date_range(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """first/last alert day, days with alerts overall and in the look-back."""
-    newest = alerts.agg(F.max("date")).scalar()
+    pre = counts(alerts)
+    newest = pre.agg(F.max("date")).scalar()
     cutoff = F.date_sub(newest, cfg.lookback_days)
-    return alerts.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-                      F.countDistinct("date").alias("n_days"),
-                      F.countDistinct(F.when(F.col("date") >= cutoff, F.col("date"))).alias("n_days_lookback"),
-                      F.count(F.lit(1)).alias("n_alerts"),
-                      F.count_if(F.col("date") >= cutoff).alias("n_alerts_lookback"))
+    recent_day = F.col("date") >= cutoff
+    return pre.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+                   F.countDistinct("date").alias("n_days"),
+                   F.countDistinct(F.when(recent_day, F.col("date"))).alias("n_days_lookback"),
+                   F.sum("n").alias("n_alerts"),
+                   F.coalesce(F.sum(F.when(recent_day, F.col("n"))), F.lit(0)).alias("n_alerts_lookback"))
 
 
 def tier_table(spark) -> DataFrame:
