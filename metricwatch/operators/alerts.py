@@ -61,6 +61,45 @@ METRIC_LABELS = (
 )
 SEVERITY_ORDER = ("critical", "warning", "watch", "improvement")
 
+# Cross-metric hints: "<metric>" is the default for a metric, "<metric>+<other>"
+# applies when <other> is also flagged for the product ("+acos+tacos": both).
+HINTS = {
+    "margin+acos+tacos": "Ad spend likely driver — both ACoS and TACoS also flagged for this product.",
+    "margin+tacos": "Ad spend likely driver — TACoS also flagged for this product.",
+    "margin+acos": "Ad spend likely driver — ACoS also flagged for this product.",
+    "margin": "Check COGS or FBA fees — ad spend looks stable.",
+    "sales+conversion_rate": "Listing or pricing issue — conversion rate also down.",
+    "sales": "Check inventory levels, listing visibility, or ad spend.",
+    "return_rate+reason": "Top return reason on record: {reason}.",
+    "return_rate": "Check FBA returns report for this ASIN.",
+    "acos+sales": "ACoS rising while sales also declining — check bid strategy or targeting.",
+    "acos": "Review keyword bids and ad targeting.",
+    "tacos+sales": "TACoS rising as sales decline — ad spend not generating enough revenue.",
+    "tacos": "Check campaign budgets relative to total revenue.",
+    "conversion_rate+sales": "Both conversion and sales down — likely listing or pricing issue.",
+    "conversion_rate": "Check listing content, images, or recent pricing changes.",
+    "keyword_avg_rank": "Check ad spend on key terms and listing relevance.",
+    "review_rating": "Check recent reviews for quality or fulfilment complaints.",
+    "review_count": "Check for unusual review activity or Amazon review removals.",
+    "organic_top10_count": "Check listing content changes and keyword targeting.",
+}
+
+# Plain-English sentences (placeholders in braces).
+SENTENCES = {
+    "absolute": "{label} for {product} has hit a business-critical threshold at {actual}. "
+                "This triggers an alert regardless of trend.",
+    "yoy": "{label} for {product} is {actual} — {diff} {side} the same week last year ({yoy}). "
+           "The 14-day average was {expected}.",
+    "zscore": "{label} for {product} is {actual}{move}, {z} standard deviations {side} its 14-day average of "
+              "{expected}. This is an unusual move for this product.",
+    "fallback": "{label} for {product} is {actual} vs expected {expected}.",
+    "reason": " Top return reason: {reason}.",
+    "impact": " ~${impact}/day in lost margin.",
+    "move_up": " (increased unusually fast)",
+    "move_down": " (decreased unusually fast)",
+    "no_alerts": "{prefix} {day} | No alerts today",
+}
+
 
 def _in(c: Column, values: Sequence[str]) -> Column:
     return c.isin(*values)
@@ -231,35 +270,34 @@ def metric_label(c: Column) -> Column:
                       F.initcap(F.regexp_replace(c, "_", " ")))
 
 
+def fill(template: str, **parts) -> Column:
+    """A text template with ``{name}`` placeholders as one ``concat`` of literals and columns."""
+    import re
+    pieces = []
+    for i, tok in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            pieces.append(parts[tok])
+        elif tok:
+            pieces.append(F.lit(tok))
+    return F.concat(*pieces) if pieces else F.lit("")
+
+
 def pointed_reason(flags: Column) -> Column:
     """One cross-metric hint per alert (``flags``: comma list of the product's flagged metrics)."""
     has = lambda m: F.array_contains(F.split(F.coalesce(flags, F.lit("")), ","), F.lit(m))
     metric, reason = F.col("metric"), F.col("top_return_reason")
-    return (F.when(metric == "margin",
-                   F.when(has("tacos") & has("acos"), F.lit("Ad spend likely driver — both ACoS and TACoS also flagged for this product."))
-                   .when(has("tacos"), F.lit("Ad spend likely driver — TACoS also flagged for this product."))
-                   .when(has("acos"), F.lit("Ad spend likely driver — ACoS also flagged for this product."))
-                   .otherwise(F.lit("Check COGS or FBA fees — ad spend looks stable.")))
-            .when(metric == "sales",
-                  F.when(has("conversion_rate"), F.lit("Listing or pricing issue — conversion rate also down."))
-                  .otherwise(F.lit("Check inventory levels, listing visibility, or ad spend.")))
-            .when(metric == "return_rate",
-                  F.when(reason.isNotNull(), F.concat(F.lit("Top return reason on record: "), reason, F.lit(".")))
-                  .otherwise(F.lit("Check FBA returns report for this ASIN.")))
-            .when(metric == "acos",
-                  F.when(has("sales"), F.lit("ACoS rising while sales also declining — check bid strategy or targeting."))
-                  .otherwise(F.lit("Review keyword bids and ad targeting.")))
-            .when(metric == "tacos",
-                  F.when(has("sales"), F.lit("TACoS rising as sales decline — ad spend not generating enough revenue."))
-                  .otherwise(F.lit("Check campaign budgets relative to total revenue.")))
-            .when(metric == "conversion_rate",
-                  F.when(has("sales"), F.lit("Both conversion and sales down — likely listing or pricing issue."))
-                  .otherwise(F.lit("Check listing content, images, or recent pricing changes.")))
-            .when(metric == "keyword_avg_rank", F.lit("Check ad spend on key terms and listing relevance."))
-            .when(metric == "review_rating", F.lit("Check recent reviews for quality or fulfilment complaints."))
-            .when(metric == "review_count", F.lit("Check for unusual review activity or Amazon review removals."))
-            .when(metric == "organic_top10_count", F.lit("Check listing content changes and keyword targeting."))
-            .otherwise(F.lit("")))
+    out = F.when(F.lit(False), F.lit(""))
+    for key, text in HINTS.items():
+        m, *others = key.split("+")
+        if others == ["reason"]:
+            cond, value = (metric == m) & reason.isNotNull(), fill(text, reason=reason)
+        else:
+            cond = metric == m
+            for o in others:
+                cond = cond & has(o)
+            value = F.lit(text)
+        out = out.when(cond, value)
+    return out.otherwise(F.lit(""))
 
 
 def margin_impact() -> Column:
@@ -272,34 +310,28 @@ def margin_impact() -> Column:
 def explanation(flags: Column) -> Column:
     """Plain-English sentence (absolute → YoY → z-score → fallback) plus the hints."""
     metric = F.col("metric")
-    label = metric_label(metric)
-    product = F.coalesce(F.col("title"), F.col("asin"))
-    actual, expected = fmt_value(F.col("actual_value"), metric), fmt_value(F.col("expected_value"), metric)
+    base = dict(label=metric_label(metric), product=F.coalesce(F.col("title"), F.col("asin")),
+                actual=fmt_value(F.col("actual_value"), metric), expected=fmt_value(F.col("expected_value"), metric))
     reason_sfx = F.when((metric == "return_rate") & F.col("top_return_reason").isNotNull(),
-                        F.concat(F.lit(" Top return reason: "), F.col("top_return_reason"), F.lit("."))).otherwise(F.lit(""))
+                        fill(SENTENCES["reason"], reason=F.col("top_return_reason"))).otherwise(F.lit(""))
     pointed = pointed_reason(flags)
     causes = F.when(pointed != "", F.concat(F.lit(" "), pointed)).otherwise(F.lit(""))
     imp = margin_impact()
-    impact_sfx = F.when(imp.isNotNull(), F.concat(F.lit(" ~$"), _grouped(imp, 0), F.lit("/day in lost margin."))).otherwise(F.lit(""))
+    impact_sfx = F.when(imp.isNotNull(), fill(SENTENCES["impact"], impact=_grouped(imp, 0))).otherwise(F.lit(""))
     z = F.col("z_score")
     move = F.when(metric.isin("review_rating", "review_count") & z.isNotNull(),
-                  F.when(z > 0, F.lit(" (increased unusually fast)")).otherwise(F.lit(" (decreased unusually fast)"))).otherwise(F.lit(""))
+                  F.when(z > 0, F.lit(SENTENCES["move_up"])).otherwise(F.lit(SENTENCES["move_down"]))).otherwise(F.lit(""))
     diff = F.col("actual_value") - F.col("yoy_baseline")
     abs_diff = (F.when(_in(metric, PCT_METRICS), F.concat(_num(F.abs(diff) * 100, 1), F.lit("pp")))
                 .when(_in(metric, DOLLAR_METRICS), F.concat(F.lit("$"), _grouped(F.abs(diff), 2)))
                 .otherwise(_grouped(F.abs(diff), 2)))
-    absolute = F.concat(label, F.lit(" for "), product, F.lit(" has hit a business-critical threshold at "), actual,
-                        F.lit(". This triggers an alert regardless of trend."), reason_sfx, causes)
-    yoy = F.concat(label, F.lit(" for "), product, F.lit(" is "), actual, F.lit(" — "), abs_diff,
-                   F.when(diff >= 0, F.lit(" above")).otherwise(F.lit(" below")), F.lit(" the same week last year ("),
-                   fmt_value(F.col("yoy_baseline"), metric), F.lit("). The 14-day average was "), expected, F.lit("."),
-                   impact_sfx, reason_sfx, causes)
-    zs = F.concat(label, F.lit(" for "), product, F.lit(" is "), actual, move, F.lit(", "), _num(F.abs(z), 1),
-                  F.lit(" standard deviations "), F.when(z > 0, F.lit("above")).otherwise(F.lit("below")),
-                  F.lit(" its 14-day average of "), expected, F.lit(". This is an unusual move for this product."),
-                  reason_sfx, causes)
-    fallback = F.concat(label, F.lit(" for "), product, F.lit(" is "), actual, F.lit(" vs expected "), expected,
-                        F.lit("."), reason_sfx)
+    absolute = F.concat(fill(SENTENCES["absolute"], **base), reason_sfx, causes)
+    yoy = F.concat(fill(SENTENCES["yoy"], **base, diff=abs_diff,
+                        side=F.when(diff >= 0, F.lit("above")).otherwise(F.lit("below")),
+                        yoy=fmt_value(F.col("yoy_baseline"), metric)), impact_sfx, reason_sfx, causes)
+    zs = F.concat(fill(SENTENCES["zscore"], **base, move=move, z=_num(F.abs(z), 1),
+                       side=F.when(z > 0, F.lit("above")).otherwise(F.lit("below"))), reason_sfx, causes)
+    fallback = F.concat(fill(SENTENCES["fallback"], **base), reason_sfx)
     trig = F.col("triggered_by")
     return (F.when(trig == "absolute_threshold", absolute)
             .when(trig.isin("yoy", "both") & F.col("yoy_baseline").isNotNull() & F.col("actual_value").isNotNull(), yoy)

@@ -414,9 +414,9 @@ def _build() -> None:
 
 # --------------------------------------------------------------------------- alerts / digest / backtest
 
-from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, METRIC_LABELS, PCT_METRICS,  # noqa: E402
-                               RANK_METRICS, RATING_METRICS, SEVERITY_ORDER, SHORT_TRIGGERS, TIER_LABELS,
-                               TRIGGER_LABELS)
+from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, HINTS, METRIC_LABELS, PCT_METRICS,  # noqa: E402
+                               RANK_METRICS, RATING_METRICS, SENTENCES, SEVERITY_ORDER, SHORT_TRIGGERS,
+                               TIER_LABELS, TRIGGER_LABELS)
 from .config import TIER_ORDER  # noqa: E402
 
 
@@ -474,28 +474,29 @@ def display_deviation_sql() -> str:
             f"ELSE {s} || {_grouped(diff, 2)} END)")
 
 
+def fill_sql(template: str, **parts) -> str:
+    """A text template with ``{name}`` placeholders as one ``||`` chain."""
+    import re
+    pieces = []
+    for i, tok in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            pieces.append(f"({parts[tok]})")
+        elif tok:
+            pieces.append(lit(tok))
+    return "(" + " || ".join(pieces) + ")" if pieces else "''"
+
+
 def pointed_sql(flags: str = "flags") -> str:
     has = lambda m: f"list_contains(string_split(COALESCE({flags}, ''), ','), {lit(m)})"
-    return f"""(CASE
-      WHEN metric = 'margin' THEN (CASE WHEN {has('tacos')} AND {has('acos')} THEN 'Ad spend likely driver — both ACoS and TACoS also flagged for this product.'
-           WHEN {has('tacos')} THEN 'Ad spend likely driver — TACoS also flagged for this product.'
-           WHEN {has('acos')} THEN 'Ad spend likely driver — ACoS also flagged for this product.'
-           ELSE 'Check COGS or FBA fees — ad spend looks stable.' END)
-      WHEN metric = 'sales' THEN (CASE WHEN {has('conversion_rate')} THEN 'Listing or pricing issue — conversion rate also down.'
-           ELSE 'Check inventory levels, listing visibility, or ad spend.' END)
-      WHEN metric = 'return_rate' THEN (CASE WHEN top_return_reason IS NOT NULL THEN 'Top return reason on record: ' || top_return_reason || '.'
-           ELSE 'Check FBA returns report for this ASIN.' END)
-      WHEN metric = 'acos' THEN (CASE WHEN {has('sales')} THEN 'ACoS rising while sales also declining — check bid strategy or targeting.'
-           ELSE 'Review keyword bids and ad targeting.' END)
-      WHEN metric = 'tacos' THEN (CASE WHEN {has('sales')} THEN 'TACoS rising as sales decline — ad spend not generating enough revenue.'
-           ELSE 'Check campaign budgets relative to total revenue.' END)
-      WHEN metric = 'conversion_rate' THEN (CASE WHEN {has('sales')} THEN 'Both conversion and sales down — likely listing or pricing issue.'
-           ELSE 'Check listing content, images, or recent pricing changes.' END)
-      WHEN metric = 'keyword_avg_rank' THEN 'Check ad spend on key terms and listing relevance.'
-      WHEN metric = 'review_rating' THEN 'Check recent reviews for quality or fulfilment complaints.'
-      WHEN metric = 'review_count' THEN 'Check for unusual review activity or Amazon review removals.'
-      WHEN metric = 'organic_top10_count' THEN 'Check listing content changes and keyword targeting.'
-      ELSE '' END)"""
+    whens = []
+    for key, text in HINTS.items():
+        m, *others = key.split("+")
+        if others == ["reason"]:
+            whens.append(f"WHEN metric = {lit(m)} AND top_return_reason IS NOT NULL THEN {fill_sql(text, reason='top_return_reason')}")
+        else:
+            cond = " AND ".join([f"metric = {lit(m)}"] + [has(o) for o in others])
+            whens.append(f"WHEN {cond} THEN {lit(text)}")
+    return "(CASE " + " ".join(whens) + " ELSE '' END)"
 
 
 MARGIN_IMPACT = ("(CASE WHEN metric = 'margin' AND triggered_by IN ('yoy', 'both') AND sales_roll_mean > 0 "
@@ -504,28 +505,28 @@ MARGIN_IMPACT = ("(CASE WHEN metric = 'margin' AND triggered_by IN ('yoy', 'both
 
 
 def explanation_sql(flags: str = "flags") -> str:
-    label = map_sql("metric", METRIC_LABELS)
-    product = "COALESCE(title, asin)"
-    actual, expected = fmt_sql("actual_value"), fmt_sql("expected_value")
-    reason = "(CASE WHEN metric = 'return_rate' AND top_return_reason IS NOT NULL THEN ' Top return reason: ' || top_return_reason || '.' ELSE '' END)"
+    base = dict(label=map_sql("metric", METRIC_LABELS), product="COALESCE(title, asin)",
+                actual=fmt_sql("actual_value"), expected=fmt_sql("expected_value"))
+    reason = (f"(CASE WHEN metric = 'return_rate' AND top_return_reason IS NOT NULL THEN "
+              f"{fill_sql(SENTENCES['reason'], reason='top_return_reason')} ELSE '' END)")
     pointed = pointed_sql(flags)
     causes = f"(CASE WHEN {pointed} <> '' THEN ' ' || {pointed} ELSE '' END)"
-    impact = f"(CASE WHEN {MARGIN_IMPACT} IS NOT NULL THEN ' ~$' || {_grouped(MARGIN_IMPACT, 0)} || '/day in lost margin.' ELSE '' END)"
-    move = ("(CASE WHEN metric IN ('review_rating', 'review_count') AND z_score IS NOT NULL THEN "
-            "(CASE WHEN z_score > 0 THEN ' (increased unusually fast)' ELSE ' (decreased unusually fast)' END) ELSE '' END)")
+    impact = (f"(CASE WHEN {MARGIN_IMPACT} IS NOT NULL THEN {fill_sql(SENTENCES['impact'], impact=_grouped(MARGIN_IMPACT, 0))} "
+              f"ELSE '' END)")
+    move = (f"(CASE WHEN metric IN ('review_rating', 'review_count') AND z_score IS NOT NULL THEN "
+            f"(CASE WHEN z_score > 0 THEN {lit(SENTENCES['move_up'])} ELSE {lit(SENTENCES['move_down'])} END) ELSE '' END)")
     diff = "(actual_value - yoy_baseline)"
     abs_diff = (f"(CASE WHEN metric IN {_inlist(PCT_METRICS)} THEN {_num('abs(' + diff + ') * 100', 1)} || 'pp' "
                 f"WHEN metric IN {_inlist(DOLLAR_METRICS)} THEN '$' || {_grouped('abs(' + diff + ')', 2)} "
                 f"ELSE {_grouped('abs(' + diff + ')', 2)} END)")
-    absolute = (f"{label} || ' for ' || {product} || ' has hit a business-critical threshold at ' || {actual} || "
-                f"'. This triggers an alert regardless of trend.' || {reason} || {causes}")
-    yoy = (f"{label} || ' for ' || {product} || ' is ' || {actual} || ' — ' || {abs_diff} || "
-           f"(CASE WHEN {diff} >= 0 THEN ' above' ELSE ' below' END) || ' the same week last year (' || "
-           f"{fmt_sql('yoy_baseline')} || '). The 14-day average was ' || {expected} || '.' || {impact} || {reason} || {causes}")
-    zs = (f"{label} || ' for ' || {product} || ' is ' || {actual} || {move} || ', ' || {_num('abs(z_score)', 1)} || "
-          f"' standard deviations ' || (CASE WHEN z_score > 0 THEN 'above' ELSE 'below' END) || "
-          f"' its 14-day average of ' || {expected} || '. This is an unusual move for this product.' || {reason} || {causes}")
-    fallback = f"{label} || ' for ' || {product} || ' is ' || {actual} || ' vs expected ' || {expected} || '.' || {reason}"
+    absolute = f"{fill_sql(SENTENCES['absolute'], **base)} || {reason} || {causes}"
+    yoy_side = f"CASE WHEN {diff} >= 0 THEN 'above' ELSE 'below' END"
+    z_side = "CASE WHEN z_score > 0 THEN 'above' ELSE 'below' END"
+    yoy = (fill_sql(SENTENCES["yoy"], **base, diff=abs_diff, side=yoy_side, yoy=fmt_sql("yoy_baseline"))
+           + f" || {impact} || {reason} || {causes}")
+    zs = (fill_sql(SENTENCES["zscore"], **base, move=move, z=_num("abs(z_score)", 1), side=z_side)
+          + f" || {reason} || {causes}")
+    fallback = f"{fill_sql(SENTENCES['fallback'], **base)} || {reason}"
     return (f"(CASE WHEN triggered_by = 'absolute_threshold' THEN {absolute} "
             f"WHEN triggered_by IN ('yoy', 'both') AND yoy_baseline IS NOT NULL AND actual_value IS NOT NULL THEN {yoy} "
             f"WHEN z_score IS NOT NULL THEN {zs} ELSE {fallback} END)")
@@ -610,7 +611,7 @@ def _build_alerts(cfg: Config = CFG) -> None:
     _reg("data_through", A, f"""SELECT date, CAST(date + {cfg.data_lag_days} AS DATE) AS run_date, date AS data_through,
         CAST(date + {cfg.data_lag_days} - {cfg.data_lag_days} AS DATE) AS data_through_default FROM (SELECT DISTINCT date FROM alerts)""")
     _reg("digest", A, f"""SELECT d.date,
-        CASE WHEN COALESCE(s.n_total, 0) = 0 THEN '{cfg.subject_prefix} ' || strftime(d.date, '%Y-%m-%d') || ' | No alerts today'
+        CASE WHEN COALESCE(s.n_total, 0) = 0 THEN {fill_sql(SENTENCES['no_alerts'], prefix=lit(cfg.subject_prefix), day="strftime(d.date, '%Y-%m-%d')")}
              ELSE {subject_sql(cfg).replace('date', 's.date').replace("s.s.date", "s.date")} END AS subject,
         COALESCE(s.n_total, 0) AS n_rows, COALESCE(s.n_asins, 0) AS n_asins
         FROM (SELECT DISTINCT date FROM master) d LEFT JOIN summary s ON s.date = d.date""")

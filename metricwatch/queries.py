@@ -361,7 +361,7 @@ def q_digest(spark, sf_dir):
     rd = F.date_format("date", "yyyy-MM-dd")
     empty = F.coalesce(F.col("n_total"), F.lit(0)) == 0
     return j.select("date",
-                    F.when(empty, F.concat(F.lit(f"{CFG.subject_prefix} "), rd, F.lit(" | No alerts today")))
+                    F.when(empty, AL.fill(AL.SENTENCES["no_alerts"], prefix=F.lit(CFG.subject_prefix), day=rd))
                     .otherwise(AL.subject(j, CFG)).alias("subject"),
                     F.coalesce(F.col("n_total"), F.lit(0)).alias("n_rows"),
                     F.coalesce(F.col("n_asins"), F.lit(0)).alias("n_asins"))
