@@ -23,14 +23,27 @@ def lookback(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return alerts.filter(F.col("date") >= F.date_sub(newest, cfg.lookback_days))
 
 
+REPORT_DIMS = ("metric", "triggered_by", "tier")
+
+
 def counts(alerts: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     """Alert counts per (day, dims, severity): the reports' shared pre-aggregate.
 
     It is small (one row per day and dimension value) and partially aggregated
-    before its shuffle; every report filters and folds it further."""
+    before its shuffle; every report filters and folds it further.  ``alerts``
+    may itself be such a count table (column ``n``, e.g. ``report_counts``
+    materialised once with ``checkpoint()``); it is then re-folded."""
+    if "n" in alerts.columns:
+        return alerts.groupBy("date", *dims, "severity").agg(F.sum("n").alias("n"))
     return alerts.groupBy("date", *dims, "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
+def report_counts(alerts: DataFrame) -> DataFrame:
+    """The finest pre-aggregate all reports but A16 fold: per (day, metric, trigger, tier,
+    severity) — at most a few hundred rows per day, whatever the alert volume."""
+    return counts(alerts, REPORT_DIMS)
+
+
 def recent(pre: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """The look-back slice of a pre-aggregate.  The newest day is taken from the same
     pre-aggregate, so the scalar subquery and the report share one exchange (and

@@ -24,6 +24,7 @@ from ..operators import detect as D
 from ..operators import master as MS
 from ..operators import snapshot as SN
 from ..operators import standardize as ST
+from ..session import checkpoint_dir
 from ..sources import files as FL
 
 FOLDERS = ("sellerise", "returns", "inventory", "helium10")
@@ -70,6 +71,8 @@ def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEF
                  export_path: Optional[str] = None, checkpoint: bool = True) -> Dict[str, object]:
     """L1: detection over the full history, one anchored day's digest."""
     run_date = run_date or dt.date.today()
+    if checkpoint:
+        checkpoint_dir(spark)            # the shared folder named by the cluster; error if none
     raw = load_sources(spark, folders)
     master = build_master(raw, cfg)
     if checkpoint:
@@ -102,11 +105,16 @@ def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEF
 def run_backtest(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEFAULT,
                  checkpoint: bool = True) -> Dict[str, DataFrame]:
     """L2: detection over all dates, then the look-back reports A10–A18."""
+    if checkpoint:
+        checkpoint_dir(spark)
     master = build_master(load_sources(spark, folders), cfg)
     alerts = D.flagged_rows(D.detect(master, cfg))
     if checkpoint:
         alerts = alerts.checkpoint()
-    return {"daily": BT.daily(alerts, cfg), "daily_stats": BT.daily_stats(alerts, cfg), "verdict": BT.verdict(alerts, cfg),
-            "by_metric": BT.by_metric(alerts, cfg), "by_trigger": BT.by_trigger(alerts, cfg),
-            "by_tier": BT.by_tier(alerts, BT.tier_table(spark), cfg), "noisiest": BT.noisiest(alerts, cfg),
-            "floor_audit": BT.floor_audit(alerts, cfg), "range": BT.date_range(alerts, cfg)}
+    pre = BT.report_counts(alerts)
+    if checkpoint:
+        pre = pre.checkpoint()
+    return {"daily": BT.daily(pre, cfg), "daily_stats": BT.daily_stats(pre, cfg), "verdict": BT.verdict(pre, cfg),
+            "by_metric": BT.by_metric(pre, cfg), "by_trigger": BT.by_trigger(pre, cfg),
+            "by_tier": BT.by_tier(pre, BT.tier_table(spark), cfg), "noisiest": BT.noisiest(alerts, cfg),
+            "floor_audit": BT.floor_audit(pre, cfg), "range": BT.date_range(pre, cfg)}
