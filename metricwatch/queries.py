@@ -202,6 +202,16 @@ from .operators import alerts as AL  # noqa: E402
 from .operators import backtest as BT  # noqa: E402
 
 
+def _materialized(spark, df):
+    """Cut lineage with a reliable checkpoint into the shared ``spark.checkpoint.dir``
+    (a local temp folder only when the session names none)."""
+    import tempfile
+
+    from .session import checkpoint_dir
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="metricwatch-ckpt-"))
+    return df.checkpoint(eager=True)
+
+
 def _alerts(spark, sf_dir):
     return derived.alerts(spark, sf_dir, CFG)
 
@@ -222,8 +232,9 @@ def q_flagged_rows(spark, sf_dir):
 
 @query("anchor_filter")
 def q_anchor_filter(spark, sf_dir):
-    """The alerts of the anchor day (newest day)."""
-    return D.anchor_filter(_alerts(spark, sf_dir))
+    """The alerts of the anchor day (newest alert day; the alerts are materialised once so
+    the newest-day subquery does not rerun detection)."""
+    return D.anchor_filter(_materialized(spark, _alerts(spark, sf_dir)))
 
 
 @query("alert_suppress")
@@ -379,17 +390,7 @@ def q_severity_breakdown(spark, sf_dir):
 @query("lookback_window")
 def q_lookback_window(spark, sf_dir):
     """Alerts inside the 180-day look-back."""
-    return BT.lookback(_alerts(spark, sf_dir), CFG)
-
-
-def _materialized(spark, df):
-    """Cut lineage with a reliable checkpoint into the shared ``spark.checkpoint.dir``
-    (a local temp folder only when the session names none)."""
-    import tempfile
-
-    from .session import checkpoint_dir
-    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="metricwatch-ckpt-"))
-    return df.checkpoint(eager=True)
+    return BT.lookback(_materialized(spark, _alerts(spark, sf_dir)), CFG)
 
 
 def _report_counts(spark, sf_dir):
@@ -687,7 +688,7 @@ def q_snapshot_scan(spark, sf_dir):
 @query("alert_export")
 def q_alert_export(spark, sf_dir):
     """The export frame of a run (5 numeric columns rounded to 4 places, run_date)."""
-    a = _alerts(spark, sf_dir)
+    a = _materialized(spark, _alerts(spark, sf_dir))
     return FL.alerts_export_frame(D.anchor_filter(a), "2001-11-06")
 
 
