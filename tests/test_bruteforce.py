@@ -70,3 +70,13 @@ def test_baselines_match_direct_computation(spark, seed):
         assert _close(e["std"], g["sales_roll_std"], 1e-4)
         assert _close(e["yoy"], g["sales_yoy_mean"], 1e-6)
         assert g["zero_run"] == e["run"]
+
+
+def test_window_yoy_equals_join_yoy(spark):
+    from metricwatch.operators.baselines import with_yoy, with_yoy_window
+    pdf = _random_master(7)
+    sdf = spark.createDataFrame(pdf, "asin string, date date, sales double, units double")
+    a = {(r["asin"], r["date"]): r["sales_yoy_mean"] for r in with_yoy_window(sdf, ["sales"], DEFAULT).collect()}
+    b = {(r["asin"], r["date"]): r["sales_yoy_mean"] for r in with_yoy(sdf, ["sales"], DEFAULT).collect()}
+    assert a.keys() == b.keys()
+    assert all(_close(a[k], b[k], 1e-9) for k in a)
