@@ -28,7 +28,7 @@ def main() -> None:
     from metricwatch.session import local_session
     from metricwatch.queries import REGISTRY
 
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * int(cpus))),
                           app="metricwatch-bench")
     spark.sparkContext.setLogLevel("ERROR")
     out = {}
