@@ -10,6 +10,7 @@ filters and window functions over the listing.
 from __future__ import annotations
 
 import os
+import re
 from typing import Iterable, List
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -106,6 +107,35 @@ def _paths(listing: DataFrame) -> List[str]:
     return [r["path"] for r in listing.select("path").orderBy("depth", "path").collect()]
 
 
+def file_heads(spark: SparkSession, paths: List[str]) -> DataFrame:
+    """Per file: its header line (BOM removed) and whether it decodes as UTF-8.
+
+    A line-split text scan, folded per file by a partial aggregate: no file is
+    loaded whole into one task.  The header is the first line of the split at
+    offset 0; a file is non-UTF-8 when any of its lines is not valid UTF-8."""
+    t = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_block_start").alias("_blk"),
+        "value", F.monotonically_increasing_id().alias("_mid"))
+    first = F.col("_blk") == 0
+    g = t.groupBy("_p").agg(F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_mid"))).alias("header"),
+                            F.max((~F.is_valid_utf8(F.col("value"))).cast("int")).alias("_bad"))
+    # scan paths come back URL-encoded; map them to the listing's spelling
+    enc = {_encoded(p): p for p in paths}
+    lookup = F.create_map(*[x for k, v in enc.items() for x in (F.lit(k), F.lit(v))])
+    return g.select(F.coalesce(F.try_element_at(lookup, F.col("_p")), F.col("_p")).alias("path"),
+                    F.regexp_replace(F.col("header"), "^\ufeff", "").alias("header"),
+                    (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("utf8"))
+
+
+def _encoded(path: str) -> str:
+    """The scan's spelling of a listed path (URL-encoded, e.g. a space as %20)."""
+    from urllib.parse import quote
+    m = re.match(r"^([a-z][a-z0-9+.-]*:/*)(.*)$", path)
+    if m:
+        return m.group(1) + quote(m.group(2), safe="/:@!$&'()*+,;=-._~")
+    return quote(path, safe="/:@!$&'()*+,;=-._~")
+
+
 def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     """Read every listed CSV as text columns; UTF-8 (BOM stripped) or Latin-1 per file;
     files with different headers are outer-unioned by column name.  Each row keeps
@@ -115,11 +145,8 @@ def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     paths = _paths(listing)
     if not paths:
         return spark.createDataFrame([], "_src_path string, _src_depth int, _src_row long")
-    raw = spark.read.format("binaryFile").load(paths)
-    heads = raw.select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"),
-                       F.substring_index(F.col("content").cast("string"), "\n", 1).alias("header")).collect()
     groups = {}
-    for r in heads:
+    for r in file_heads(spark, paths).collect():          # one row per file
         groups.setdefault((r["utf8"], r["header"]), []).append(r["path"])
     first = listing.select("path", "depth").first()
     root_slashes = _norm(first["path"]).count("/") - first["depth"] - 1
