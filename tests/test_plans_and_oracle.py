@@ -78,3 +78,35 @@ def test_matches_duckdb_oracle(spark, name):
     idx = [names.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=str)
     assert got == want
+
+
+def test_invariants_on_the_fixture(spark):
+    from metricwatch.config import fixture_config
+    from metricwatch.operators import alerts as AL
+    from metricwatch.operators import detect as D
+    from metricwatch.plans import derived
+    cfg = fixture_config()
+    m = derived.master(spark, SF, cfg)
+    assert m.count() == m.select("asin", "date").distinct().count()          # master key unique
+    a = D.detect(m, cfg)
+    caps = AL.capped(a, cfg).groupBy("date", "severity").count().collect()
+    assert all(r["count"] <= cfg.caps[r["severity"]] for r in caps)         # caps hold per day
+    # escalation never lowers: the final severity is at least the statistical one
+    w = D.scored(m, cfg)
+    for mname in ("return_rate", "margin", "sales", "acos"):
+        lowered = w.filter(F.col(f"{mname}_roll_sev").isNotNull() & F.col(f"{mname}_sev").isNotNull()
+                           & (F.col(f"{mname}_sev") < F.col(f"{mname}_roll_sev")))
+        assert lowered.count() == 0
+
+
+def test_day_filter_stays_above_the_windows(spark):
+    from metricwatch.config import fixture_config
+    from metricwatch.operators import detect as D
+    from metricwatch.plans import derived
+    cfg = fixture_config()
+    day = D.anchor_filter(D.detect(derived.master(spark, SF, cfg), cfg), "1998-08-02")
+    plan = day._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    first_window = min(i for i, l in enumerate(lines) if "Window [" in l)
+    filters = [i for i, l in enumerate(lines) if "Filter" in l and "1998-08-02" in l]
+    assert filters and all(i < first_window for i in filters)
