@@ -125,6 +125,8 @@ class Config:
     snapshot_metrics: Tuple[str, ...] = SNAPSHOT_METRICS
     review_rating_warning: Optional[float] = 3.5
     review_rating_critical: Optional[float] = None
+    # feeds
+    distinct_return_rows: bool = False     # opt-in: drop repeated rows of cumulative return exports
     # digest
     suppress_less_than_single: bool = True
     suppress_watch_for_less_than_single: bool = False

@@ -121,9 +121,14 @@ def standardize_sales(raw: DataFrame) -> DataFrame:
     return df.dropna(subset=["asin", "date"])
 
 
-def standardize_returns(raw: DataFrame) -> DataFrame:
+def standardize_returns(raw: DataFrame, distinct_rows: bool = False) -> DataFrame:
     """P10 + A1: one row per (asin, day): summed quantity and the most frequent reason
-    (NULLs ignored, ties -> smallest, all NULL -> NULL)."""
+    (NULLs ignored, ties -> smallest, all NULL -> NULL).
+
+    Cumulative exports read together repeat rows, which the reference counts again;
+    ``distinct_rows=True`` drops exact duplicate rows first (opt-in)."""
+    if distinct_rows:
+        raw = raw.drop(*[c for c in ORDER_COLUMNS if c in raw.columns]).distinct()
     key = find_column(raw, "asin")
     df = raw.select(key_normalize(F.col(key)).alias("asin"), iso_day(F.col("return-date")).alias("date"),
                     F.col("quantity").try_cast("long").alias("quantity"), F.col("reason").cast("string").alias("reason"))

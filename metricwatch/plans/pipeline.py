@@ -54,7 +54,8 @@ def load_sources(spark: SparkSession, folders: Dict[str, str]) -> Dict[str, obje
 def build_master(raw: Dict[str, object], cfg: Config = DEFAULT) -> DataFrame:
     """Standardise the feeds, merge (J4), keep the last row per (asin, date) (W5), tiers (A3)."""
     sales = ST.standardize_sales(ST.normalize_pct(raw["sellerise"]))
-    returns = ST.standardize_returns(raw["returns"]) if _has_rows_schema(raw.get("returns")) else None
+    returns = (ST.standardize_returns(raw["returns"], cfg.distinct_return_rows)
+               if _has_rows_schema(raw.get("returns")) else None)
     inventory = ST.standardize_inventory(raw["inventory"]) if _has_rows_schema(raw.get("inventory")) else None
     snapshot = ST.standardize_snapshot(raw["helium10"]) if _has_rows_schema(raw.get("helium10")) else None
     merged = MS.merge_sources(sales, returns, inventory, snapshot)

@@ -98,3 +98,10 @@ def test_formatting_matches_python(spark):
     assert got == want
     got = [r[0] for r in df.select(AL.fmt_value(F.col("x"), F.lit("acos"))).collect()]
     assert got == ["N/A" if v is None else f"{v * 100:.1f}%" for v in vals]
+
+
+def test_distinct_returns_opt_in(spark):
+    rows = [("a1", "2024-01-01T10:00:00", 2, "x")] * 2
+    raw = spark.createDataFrame(rows, "asin string, `return-date` string, quantity long, reason string")
+    assert ST.standardize_returns(raw).first()["return_count"] == 4
+    assert ST.standardize_returns(raw, distinct_rows=True).first()["return_count"] == 2
