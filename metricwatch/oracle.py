@@ -195,13 +195,17 @@ def detection_ctes(src: str = "master", cfg: Config = CFG, metrics: Sequence[str
     n, k = cfg.rolling_window, cfg.rolling_min_periods
     frame = f"(PARTITION BY {key} ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     roll = ", ".join(
-        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN avg({m}) OVER {frame} END, {cfg.digits(m)}) + 0.0 AS {m}_roll_mean, "
+        f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN list_sum(list({m}) OVER {frame}) / count({m}) OVER {frame} END, "
+        f"{cfg.digits(m)}) + 0.0 AS {m}_roll_mean, "
         f"round(CASE WHEN count({m}) OVER {frame} >= {k} THEN stddev_samp({m}) OVER {frame} END, {cfg.std_digits(m)}) + 0.0 AS {m}_roll_std"
         for m in metrics)
     zs = ", ".join(f"round(({m} - {m}_roll_mean) / NULLIF({m}_roll_std, 0), {cfg.score_digits}) + 0.0 AS {m}_roll_zscore"
                    for m in metrics)
     half = cfg.yoy_window // 2
-    yoy_avgs = ", ".join(f"round(avg(h.{m}), {cfg.digits(m)}) + 0.0 AS {m}_yoy_mean" for m in metrics)
+    # the week's values are summed in day order (as the Spark plan does), so the mean does not
+    # depend on how the engine combines partial aggregates
+    yoy_avgs = ", ".join(f"round(list_sum(list(h.{m} ORDER BY h.date)) / NULLIF(count(h.{m}), 0), {cfg.digits(m)}) + 0.0"
+                         f" AS {m}_yoy_mean" for m in metrics)
     ctes = [
         ("d_roll", f"""
           SELECT *, {roll},
@@ -710,7 +714,8 @@ def snapshot_scores_sql(cfg: Config = CFG, src: str = "snapshot_hist") -> List[t
                {sev_case(bad('z_score', d), cfg.z_thresholds.get(m, (1.5, 2.0, 3.0)))} AS sev FROM (
             SELECT *, round((value - roll_mean) / NULLIF(roll_std, 0), {cfg.score_digits}) + 0.0 AS z_score FROM (
               SELECT asin, date, {m} AS value,
-                     round(CASE WHEN count({m}) OVER {frame} >= {k} THEN avg({m}) OVER {frame} END, {cfg.digits(m)}) + 0.0 AS roll_mean,
+                     round(CASE WHEN count({m}) OVER {frame} >= {k} THEN list_sum(list({m}) OVER {frame}) / count({m}) OVER {frame} END,
+                           {cfg.digits(m)}) + 0.0 AS roll_mean,
                      round(CASE WHEN count({m}) OVER {frame} >= {k} THEN stddev_samp({m}) OVER {frame} END, {cfg.std_digits(m)}) + 0.0 AS roll_std
               FROM {src} WHERE {m} IS NOT NULL AND (SELECT count(DISTINCT date) FROM {src}) >= {cfg.snapshot_min_dates}))""")
     ctes = [("snap_s0", " UNION ALL ".join(parts)), ("snap_s1", "SELECT *, CASE WHEN sev IS NOT NULL THEN 'rolling' END AS trig FROM snap_s0")]
