@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from typing import Dict, Iterable, List, Sequence
 
-from .config import DETECTION_METRICS, SNAPSHOT_METRICS, Config, fixture_config
+from .config import DETECTION_METRICS, TIER_ORDER, Config, fixture_config
+from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, HINTS, METRIC_LABELS, PCT_METRICS, RANK_METRICS,
+                               RATING_METRICS, SENTENCES, SEVERITY_ORDER, SHORT_TRIGGERS, TIER_LABELS, TRIGGER_LABELS)
 
 CFG = fixture_config()
 M = DETECTION_METRICS
@@ -418,10 +420,6 @@ def _build() -> None:
 
 # --------------------------------------------------------------------------- alerts / digest / backtest
 
-from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, HINTS, METRIC_LABELS, PCT_METRICS,  # noqa: E402
-                               RANK_METRICS, RATING_METRICS, SENTENCES, SEVERITY_ORDER, SHORT_TRIGGERS,
-                               TIER_LABELS, TRIGGER_LABELS)
-from .config import TIER_ORDER  # noqa: E402
 
 
 def _inlist(vals) -> str:

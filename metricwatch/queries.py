@@ -12,9 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import DETECTION_METRICS, fixture_config
+from .functions import exprs as X
 from .functions.exprs import rank_label
+from .operators import alerts as AL
+from .operators import backtest as BT
 from .operators import detect as D
+from .operators import master as MS
+from .operators import snapshot as SN
+from .operators import standardize as ST
 from .plans import derived
+from .sources import files as FL
 from .sources import fixtures as FX
 
 CFG = fixture_config()
@@ -198,8 +205,6 @@ def q_detect_day(spark, sf_dir):
 
 # ------------------------------------------------------------------ alerts, digest (P13–P16, W7, O*, E*, A8–A9)
 
-from .operators import alerts as AL  # noqa: E402
-from .operators import backtest as BT  # noqa: E402
 
 
 def _materialized(spark, df):
@@ -421,12 +426,6 @@ def q_backtest_by_tier(spark, sf_dir):
 
 # ------------------------------------------------------------------ ingestion (S*, P*, A1, A6, W5)
 
-from .functions import exprs as X  # noqa: E402
-from .operators import master as MS  # noqa: E402
-from .operators import snapshot as SN  # noqa: E402
-from .operators import standardize as ST  # noqa: E402
-from .sources import files as FL  # noqa: E402
-from .sources import fixtures as FX  # noqa: E402
 
 
 @query("key_normalize")
