@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, secret_scan, token_counts
+from . import (cap_filters, exact_dedup, language_id, masked_lm, mixing, packing, secret_scan,
+               token_counts)
 from .common import table
 
 QUERIES = {}
@@ -38,3 +39,18 @@ def op7_secret_scan(spark, sf_dir):
 @query
 def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_masked_lm(spark, sf_dir):
+    return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_cap_filters(spark, sf_dir):
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
