@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (cap_filters, exact_dedup, language_id, masked_lm, mixing, packing, secret_scan,
+from . import (cap_filters, exact_dedup, language_id, masked_lm, mixing, ngram_join, packing, secret_scan,
                token_counts)
 from .common import table
 
@@ -54,3 +54,8 @@ def op9_masked_lm(spark, sf_dir):
 @query
 def op8_cap_filters(spark, sf_dir):
     return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
