@@ -65,3 +65,19 @@ def word_count(col: str = "text") -> Column:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bits of the map in ``likely_in``; its size bounds what is broadcast (1 MB of bits).
+MAP_BITS = 1 << 23
+
+
+def likely_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` occurs in ``ids``, and a few others: a cheap cut before an exact join.
+
+    The keys are hashed into a bit map of ``MAP_BITS`` bits (131,072 rows of 64 at most), which is broadcast.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    word, place = F.floor(spot / 64).alias("__word"), (spot % 64).cast("int").alias("__place")
+    bits = ids.select(word, place).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __place)")).alias("__bits"))
+    return df.select("*", word, place).join(F.broadcast(bits), "__word").filter(
+        F.expr("shiftright(__bits, __place) & 1") == 1).select(*df.columns)

@@ -33,15 +33,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import cut, parallelism
+from .common import cut, likely_in, parallelism
 from .components import components
 
 WORDS = 5
 PERCENT = 75
 #: N-grams that a task gathers before it sends them on.
 CHUNK = 2_000_000
-#: Bits of the map of documents that have shared n-grams; its size bounds what is broadcast (1 MB of bits).
-MAP_BITS = 1 << 23
 _TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -149,19 +147,9 @@ def shared_counts(docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- 2. sets of the documents that are left
 
-def _marked(ids: DataFrame) -> DataFrame:
-    """(word, bits): a bit map of hashed doc_ids; MAP_BITS / 64 rows at most."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    ids = ids.select(F.floor(spot / 64).alias("word"), (spot % 64).cast("int").alias("place"))
-    return ids.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-
-
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, grams) of the documents in ``ids``. Others are dropped by the bit map before anything is shuffled."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    bits = F.broadcast(_marked(ids))            # bounded by MAP_BITS
-    some = docs.select("doc_id", "text", F.floor(spot / 64).alias("word"), (spot % 64).cast("int").alias("place")).join(
-        bits, "word").filter(F.expr("shiftright(bits, place) & 1") == 1).select("doc_id", "text")
+    """(doc_id, grams) of the documents in ``ids``. Others are dropped by a bit map before anything is shuffled."""
+    some = likely_in(docs.select("doc_id", "text"), ids, "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

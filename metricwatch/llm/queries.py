@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (cap_filters, exact_dedup, language_id, masked_lm, mixing, ngram_join, packing, secret_scan,
-               token_counts)
+from . import (cap_filters, exact_dedup, language_id, line_dedup, masked_lm, mixing, ngram_join, packing,
+               secret_scan, token_counts)
 from .common import table
 
 QUERIES = {}
@@ -59,3 +59,15 @@ def op8_cap_filters(spark, sf_dir):
 @query
 def op5_ngram_join(spark, sf_dir):
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """Language ID, line de-duplication, n-gram join, mixing, packing over ``documents``."""
+    from corpus_pipeline import run
+    return run(spark, sf_dir)
