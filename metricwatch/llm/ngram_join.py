@@ -184,9 +184,10 @@ def _columns(pdf: pd.DataFrame, blocks: int):
 
 def rare_columns(reps: DataFrame) -> DataFrame:
     """The shared n-grams among the rarest |x| - ceil(0.75 |x|) + 1 of each set that can have a partner: gram, rep,
-    n (set size), held (n-grams kept of the set) and own (n-grams that no other set has, in thousandths)."""
+    n (set size), rank (of the n-gram among the set's kept ones, rarest first), held (n-grams kept of the set) and own
+    (n-grams that no other set has, in thousandths)."""
     blocks = blocks_of(reps.sparkSession)
-    names = ["gram", "rep", "n", "held", "own"]
+    names = ["gram", "rep", "n", "rank", "held", "own"]
     chunks = reps.select(F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("chunk"), "rep", "grams")
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -208,8 +209,8 @@ def rare_columns(reps: DataFrame) -> DataFrame:
                 rest = n - -(-n * PERCENT // 100) + 1 - alone
                 if rest > 0:
                     pick = np.lexsort((s, df))[alone:alone + rest]
-                    out.append(pd.DataFrame({"gram": s[pick], "rep": rep, "n": n, "held": len(pick),
-                                             "own": 1000 * alone // n}))
+                    out.append(pd.DataFrame({"gram": s[pick], "rep": rep, "n": n, "rank": 1 + np.arange(len(pick)),
+                                             "held": len(pick), "own": 1000 * alone // n}))
         return pd.concat(out) if out else pd.DataFrame({c: [] for c in names}).astype("int64")
 
     asked = chunks.groupBy("chunk").applyInPandas(ask, "chunk int, block int, grams binary, counts binary")
@@ -230,10 +231,10 @@ def _overlap_needed(a: Column, b: Column) -> Column:
     return F.ceil(PERCENT * (a + b) / (100 + PERCENT))
 
 
-def _reachable(k: Column, a: Column, b: Column) -> Column:
-    """Whether k common n-grams among the kept ones can lead to the overlap needed: common n-grams up to the kept
-    one that ends first are all kept by both, and behind it a set of n has ceil(0.75 n) - 1 more."""
-    return k + F.ceil(PERCENT * F.greatest(a, b) / 100) - 1 >= _overlap_needed(a, b)
+def _kept_needed(a: Column, b: Column) -> Column:
+    """The least number of common n-grams among those kept: common n-grams up to the kept one that ends first are all
+    kept by both sets, and behind it a set of n has only ceil(0.75 n) - 1 more."""
+    return F.greatest(F.lit(1), _overlap_needed(a, b) - F.ceil(PERCENT * F.greatest(a, b) / 100) + 1)
 
 
 def verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -257,20 +258,27 @@ def _pivot_pairs(cols: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(cols: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different provisional components whose common columns, counted, can reach the overlap needed."""
-    c = cols.join(labels, "rep", "left").select("gram", "rep", "n", "held", F.coalesce("label", "rep").alias("label"))
+    """Pairs of different provisional components whose kept n-grams have the overlap needed of them.
+
+    Two sets that need k common kept n-grams have one of them among the first held - k + 1 of either, so they meet in
+    a rare column; the overlap of all kept ones is counted for the pairs that met.
+    """
+    c = cols.join(labels, "rep", "left").select("gram", "rep", "n", "rank", "held", F.coalesce("label", "rep").alias("label"))
     per = c.groupBy("gram", "label").count().groupBy("gram").agg(
         F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
         "gram", F.col("top.label").alias("major"))
     mixed = cut(c.join(per, "gram"))
-    few = mixed.filter("label <> major").select("gram", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "held", "label")])
-    n, m = F.col("n"), F.col("n_")
-    j = few.join(mixed, "gram").filter(
-        (F.col("label") != F.col("label_")) & _close(n, m) & _reachable(F.least("held", "held_"), n, m)
+    few = mixed.filter("label <> major").select("gram", *[F.col(x).alias(f"{x}_") for x in ("rep", "n", "rank", "held", "label")])
+    need = _kept_needed(F.col("n"), F.col("n_"))
+    met = few.join(mixed, "gram").filter(
+        (F.col("label") != F.col("label_")) & _close(F.col("n"), F.col("n_"))
+        & (F.col("rank") <= F.col("held") - need + 1) & (F.col("rank_") <= F.col("held_") - need + 1)
         & ((F.col("label") == F.col("major")) | (F.col("rep") < F.col("rep_"))))
-    met = j.groupBy(F.greatest("rep", "rep_").alias("a"), F.least("rep", "rep_").alias("b")).agg(
-        F.count("*").alias("k"), F.min(n + m).alias("both"), F.min(F.greatest(n, m)).alias("larger"))
-    return met.filter(_reachable(F.col("k"), F.col("larger"), F.col("both") - F.col("larger"))).select("a", "b")
+    pairs = met.select(F.greatest("rep", "rep_").alias("a"), F.least("rep", "rep_").alias("b")).distinct()
+    kept = cols.groupBy("rep").agg(F.max("n").alias("n"), F.collect_list("gram").alias("kept"))    # bounded by the set
+    j = pairs.join(kept.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("kept").alias("ka")), "a").join(
+        kept.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("kept").alias("kb")), "b")
+    return j.filter(F.size(F.array_intersect("ka", "kb")) >= _kept_needed(F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:
