@@ -3,9 +3,10 @@
 A line's shingles are its substrings of ``SHINGLE`` characters (the whole line if shorter); two lines are alike when
 the Jaccard similarity of their shingle sets reaches ``PERCENT`` %. Candidates come from MinHash signatures of
 ``BANDS`` x ``ROWS`` values: lines that agree in all rows of a band meet in its bucket (a pair at the threshold is
-found with probability 1 - (1 - 0.75^3)^8 = 0.99). A MinHash value is the least of the shingle hashes XOR a mask.
-Lines under ``SHORT`` characters are signed over all shingles, lines of 75 % of that or more over those shingles that
-start where no ASCII letter or digit precedes, a sample by content; two alike lines always share one of the two.
+found with probability 1 - (1 - 0.75^3)^8 = 0.99). A MinHash value is the least 32-bit shingle hash XOR a mask.
+Lines under ``SHORT`` characters, or with few blanks, are signed over all shingles; longer ones over a sample by
+content, those that start at the line's words. Near the borders a line has both signatures, so that alike lines share
+one.
 
 Equal lines are first counted as one. In a bucket all lines are verified against its least line; then lines outside
 the bucket's largest provisional component against all others of the bucket, so a bucket never emits all its pairs.
@@ -31,8 +32,9 @@ SHINGLE = 9
 PERCENT = 75
 BANDS, ROWS = 8, 3
 SHORT = 64
+AGREE = 12             # of the 24 signature values, before a pair is verified
+SPARSE = 32            # characters per blank beyond which a line is signed over all its shingles
 _ALL = r"(?s)(?=(.{%d}))" % SHINGLE
-_SAMPLE = r"(?s)(?<![A-Za-z0-9])(?=(.{%d}))" % SHINGLE
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -43,34 +45,45 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def _masks() -> list[int]:
     rng = random.Random(4)
-    return [rng.getrandbits(64) - (1 << 63) for _ in range(BANDS * ROWS)]
-
-
-def _hashes(line: Column, pattern: str) -> Column:
-    """Hashes of the shingles that the pattern finds; of the whole line if it finds none."""
-    found = F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda s: F.xxhash64(s))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(line)))
-
-
-def _bands(hashes: Column, tag: int) -> Column:
-    """The band values of a line; the tag keeps the two kinds of signature apart."""
-    least = [F.array_min(F.transform(hashes, _xor(m))) for m in _masks()]
-    return F.array(*[F.xxhash64(F.lit(tag * BANDS + b), *least[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)])
-
-
-def _xor(mask: int):
-    return lambda h: h.bitwiseXOR(F.lit(mask))
+    return [rng.getrandbits(32) - (1 << 31) for _ in range(BANDS * ROWS)]
 
 
 def signed(lines: DataFrame) -> DataFrame:
-    """Adds ``bands``: the buckets that the line falls into."""
-    size = F.char_length("line")
-    short, long = size < SHORT, 100 * size >= PERCENT * SHORT
-    h = lines.withColumn("h_all", F.when(short, _hashes(F.col("line"), _ALL))).withColumn(
-        "h_some", F.when(long, _hashes(F.col("line"), _SAMPLE)))
-    none = F.array().cast("array<bigint>")
-    return h.withColumn("bands", F.concat(F.when(short, _bands(F.col("h_all"), 0)).otherwise(none),
-                                          F.when(long, _bands(F.col("h_some"), 1)).otherwise(none))).drop("h_all", "h_some")
+    """(line_id, kind, mins): the signature of each distinct line, one row per kind of signature.
+
+    Shingles are exploded and their minima taken in one generated aggregate, whose partial step sees all shingles of
+    a line in the task that cut it.
+    """
+    size, words = F.char_length("line"), F.col("words")
+    lines = lines.select("line_id", "line", F.split("line", " ").alias("words"))
+    every = lines.filter((size < SHORT) | (F.size(words) * SPARSE < size)).select(
+        "line_id", "line", F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)).alias("found")).select(
+        "line_id", F.lit(0).alias("kind"),
+        F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line"))).alias("shingle"))
+    some = lines.filter((100 * size >= PERCENT * SHORT) & (100 * F.size(words) * SPARSE >= PERCENT * size)).select(
+        "line_id", "words", F.posexplode("words").alias("i", "w")).select(
+        "line_id", F.lit(1).alias("kind"),
+        F.substring(F.concat_ws(" ", "w", F.get("words", F.col("i") + 1), F.get("words", F.col("i") + 2)), 1, SHINGLE).alias("shingle"))
+    rows = every.unionAll(some)
+    rows = rows.select("line_id", "kind", F.xxhash64("shingle").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
+    rows = rows.select("line_id", "kind", (F.col("h") - F.lit(1 << 31)).cast("int").alias("h"))
+    least = rows.groupBy("line_id", "kind").agg(*[
+        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(_masks())])
+    return least.select("line_id", "kind", F.array(*[f"m{j}" for j in range(BANDS * ROWS)]).alias("mins"))
+
+
+def _buckets() -> Column:
+    return F.array(*[F.xxhash64(F.col("kind") * BANDS + b, *[F.col("mins")[b * ROWS + r] for r in range(ROWS)])
+                     for b in range(BANDS)])
+
+
+def plausible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) of ``pairs`` (a, b, kind) whose signatures agree in ``AGREE`` values or more: of a pair
+    at the threshold 18 of 24 agree on average, and fewer than 12 with a probability of 0.002."""
+    one = lambda x: signatures.select(F.col("line_id").alias(x), "kind", F.col("mins").alias(f"m{x}"))
+    j = pairs.join(one("a"), ["a", "kind"]).join(one("b"), ["b", "kind"])
+    same = sum(((F.col("ma")[k] == F.col("mb")[k]).cast("int") for k in range(BANDS * ROWS)), F.lit(0))
+    return j.filter(same >= AGREE).select("a", "b").distinct()
 
 
 def _shingles(line: Column) -> Column:
@@ -87,37 +100,38 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return j.filter(100 * F.col("o") >= PERCENT * (F.col("s") - F.col("o"))).select("a", "b")
 
 
-def line_links(lines: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Verified links (a, b) between line ids; ``distinct`` holds line_id and bands of the distinct lines."""
-    rows = distinct.select("line_id", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.min("line_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    met = cut(rows.join(full.select("bucket", "pivot"), "bucket"))
-    pairs = met.filter("line_id <> pivot").select(F.col("line_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    asked = met.select("line_id").distinct()
+def line_links(lines: DataFrame) -> DataFrame:
+    """Verified links (a, b) between line ids."""
+    signatures = cut(signed(lines))
+    rows = signatures.select("line_id", "kind", F.explode(_buckets()).alias("bucket"))
+    full = cut(rows.groupBy("bucket").agg(F.min("line_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select(
+        "bucket", "pivot"))
+    met = cut(likely_in(rows, full, "bucket").join(full, "bucket"))
+    asked = cut(met.select("line_id").distinct())
+    signatures = cut(likely_in(signatures, asked, "line_id").join(asked, "line_id", "left_semi"))
     texts = cut(likely_in(lines.select("line_id", "line"), asked, "line_id").groupBy("line_id").agg(
         F.min("line").alias("line")).join(asked, "line_id", "left_semi"))
-    first = cut(verified(pairs, texts))
+    pairs = met.filter("line_id <> pivot").select(F.col("line_id").alias("a"), F.col("pivot").alias("b"), "kind").distinct()
+    first = cut(verified(plausible(pairs, signatures), texts))
     label = components(first).select(F.col("node").alias("line_id"), F.col("component").alias("label"))
-    c = met.select("bucket", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
+    c = met.select("bucket", "kind", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
     major = c.groupBy("bucket", "label").count().groupBy("bucket").agg(
         F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
         "bucket", F.col("top.label").alias("major"))
     mixed = cut(c.join(major, "bucket"))
     few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), F.col("label").alias("x_label"))
     cross = few.join(mixed, "bucket").filter("label <> x_label").select(
-        F.greatest("x", "line_id").alias("a"), F.least("x", "line_id").alias("b")).distinct()
-    return first.unionAll(verified(cross.join(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")),
-                                              ["a", "b"], "left_anti"), texts))
+        F.greatest("x", "line_id").alias("a"), F.least("x", "line_id").alias("b"), "kind").distinct()
+    return first.unionAll(verified(plausible(cross, signatures), texts))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, keep_doc_id, keep_line_no, group_size, kept) per line that isn't blank."""
     lines = lines_of(docs)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no")
-    distinct = cut(signed(lines).groupBy("line_id").agg(F.min(place).alias("first"), F.count("*").alias("n"),
-                                                        F.any_value("bands").alias("bands")))
-    top = components(line_links(lines, distinct)).select(F.col("node").alias("line_id"), "component")
-    d = distinct.select("line_id", "first", "n").join(top, "line_id", "left").withColumn(
+    top = components(line_links(lines)).select(F.col("node").alias("line_id"), "component")
+    distinct = lines.groupBy("line_id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    d = distinct.join(top, "line_id", "left").withColumn(
         "component", F.coalesce("component", "line_id"))
     groups = d.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("group_size"))
     known = d.select("line_id", "component").join(groups, "component").select("line_id", "keep", "group_size")
