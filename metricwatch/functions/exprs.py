@@ -73,8 +73,8 @@ def tier_rank(tier: Column) -> Column:
 
 
 def key_normalize(c: Column) -> Column:
-    """strip() + upper(): leading/trailing whitespace of any kind, then upper case."""
-    return F.upper(F.regexp_replace(c.cast("string"), r"^\s+|\s+$", ""))
+    """strip() + upper(): leading/trailing Unicode white space (non-breaking too), then upper case."""
+    return F.upper(F.regexp_replace(c.cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
 
 
 def try_double(c: Column) -> Column:
@@ -93,8 +93,8 @@ def file_date(name: Column) -> Column:
 
 
 def mdy_date(c: Column) -> Column:
-    """Strict MM-dd-yyyy text -> date, anything else -> NULL."""
-    return F.try_to_date(c.cast("string"), "MM-dd-yyyy")
+    """MM-dd-yyyy text (month and day may lack the leading zero) -> date, anything else -> NULL."""
+    return F.try_to_date(c.cast("string"), "M-d-yyyy")
 
 
 def iso_day(c: Column) -> Column:

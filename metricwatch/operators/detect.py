@@ -240,40 +240,9 @@ def anchor_filter(alerts: DataFrame, anchor=None) -> DataFrame:
     return alerts.filter(F.col("date") == day)
 
 
-def detect_day(master: DataFrame, day, cfg: Config = DEFAULT, metrics: Sequence[str] | None = None) -> DataFrame:
-    """D24 with look-back pruning: the alerts of one day without scoring all history.
-
-    Exact because every input of day D's verdict lies in a bounded slice:
-    the last ``rolling_window`` rows up to D (row frame; a product's zero-unit
-    run is also capped there unless the run is longer — handled below), the
-    YoY week around D − 1 year, and each product's min/max day for the span.
-    """
+def detect_day(master: DataFrame, day=None, cfg: Config = DEFAULT, metrics: Sequence[str] | None = None) -> DataFrame:
+    """The alerts of one day (the newest by default), from the same plan as ``detect``: one partitioning by product
+    serves all baselines, and rows of other days are dropped before they are made long."""
     metrics = list(metrics or present_metrics(master))
-    d = F.lit(day).cast("date")
-    df = ensure_columns(master, OPTIONAL_INPUTS)
-    # span on full history (two scalars per product via a grouped aggregate)
-    span = df.groupBy("asin").agg(
-        (F.datediff(F.max("date"), F.min("date")) >= F.lit(cfg.min_history_days)).alias("yoy_available"),
-        F.max(F.when((F.col("date") <= d) & (F.coalesce(F.col("units"), F.lit(0.0)) != 0), F.col("date"))).alias("_last_nz"))
-    upto = df.filter(F.col("date") <= d)
-    # rows that can reach day D through the row frame: the last N rows of each product up to D
-    from pyspark.sql import Window
-    w_desc = Window.partitionBy("asin").orderBy(F.col("date").desc())
-    tail = (upto.withColumn("_back", F.row_number().over(w_desc))
-            .filter(F.col("_back") <= F.lit(cfg.rolling_window)).drop("_back"))
-    tail = tail.join(span, "asin", "left")
-    df2 = with_rolling(tail, metrics, cfg)
-    # zero-unit run at D: rows after the last non-zero row up to D
-    zr = upto.join(span.select("asin", "_last_nz"), "asin", "left").filter(
-        F.col("_last_nz").isNull() | (F.col("date") > F.col("_last_nz"))).groupBy("asin").agg(
-        F.count(F.lit(1)).alias("_zr_n"), F.max("date").alias("_zr_max"))
-    df2 = df2.filter(F.col("date") == d).join(zr, "asin", "left").withColumn(
-        "zero_run", F.when(F.col("_zr_max") == d, F.col("_zr_n")).otherwise(F.lit(0))).drop("_zr_n", "_zr_max", "_last_nz")
-    # YoY week of D − 1 year from the full history
-    c = F.add_months(d, -12)
-    half = cfg.yoy_window // 2
-    week = df.filter((F.col("date") >= F.date_sub(c, half)) & (F.col("date") <= F.date_add(c, half)))
-    df2 = with_yoy(df2, metrics, cfg, history=week)
-    df2 = with_yoy_deviation(df2, metrics, cfg)
-    df2 = with_floors(with_severities(df2, metrics, cfg), metrics, cfg)
-    return to_long(df2, metrics, cfg)
+    d = F.lit(day).cast("date") if day is not None else master.agg(F.max("date")).scalar()
+    return to_long(scored(master, cfg, metrics).filter(F.col("date") == d), metrics, cfg)

@@ -59,7 +59,7 @@ SNAPSHOT_KEEP = {
 }
 SNAPSHOT_TYPES = {v: "double" for k, v in SNAPSHOT_KEEP.items() if v != "asin"}
 
-ORDER_COLUMNS = ("_src_depth", "_src_path", "_src_row")
+ORDER_COLUMNS = ("_src_entry", "_src_depth", "_src_path", "_src_row")
 
 
 def find_column(df: DataFrame, name: str, required: bool = True):
@@ -72,8 +72,14 @@ def find_column(df: DataFrame, name: str, required: bool = True):
     return None
 
 
+def named(c: str):
+    """The column of exactly this name, which may hold dots."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def load_order(df: DataFrame):
-    """Load-order key: folder depth, then file path, then row inside the file."""
+    """Load-order key: entry name and sub-entry name where the reader gives them, else folder depth and file path;
+    then row inside the file."""
     return F.struct(*[F.col(c) for c in ORDER_COLUMNS if c in df.columns])
 
 
@@ -87,18 +93,18 @@ def normalize_pct(df: DataFrame, columns: Sequence[str] = SALES_PCT_COLUMNS, by:
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    mx = df.groupBy(by).agg(*[F.max(F.abs(try_double(F.col(c)))).alias(f"_mx{i}") for i, c in enumerate(cols)])
+    mx = df.groupBy(by).agg(*[F.max(F.abs(try_double(named(c)))).alias(f"_mx{i}") for i, c in enumerate(cols)])
     j = df.join(mx, by, "left")
     out = []
     for c in df.columns:
         if c in cols:
             i = cols.index(c)
-            scaled = try_double(F.col(c)) / F.lit(100.0)
+            scaled = try_double(named(c)) / F.lit(100.0)
             if dict(df.dtypes)[c] == "string":   # keep the column's type; text round-trips exactly
                 scaled = scaled.cast("string")
-            out.append(F.when(F.col(f"_mx{i}") > 1, scaled).otherwise(F.col(c)).alias(c))
+            out.append(F.when(F.col(f"_mx{i}") > 1, scaled).otherwise(named(c)).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(named(c))
     return j.select(*out)
 
 
@@ -109,13 +115,13 @@ def standardize_sales(raw: DataFrame) -> DataFrame:
     for c in raw.columns:
         new = SALES_RENAME.get(c, c)
         if new == "asin":
-            e = F.when(F.col(c).isNotNull(), key_normalize(F.col(c)))
+            e = F.when(named(c).isNotNull(), key_normalize(named(c)))
         elif new == "date":
-            e = mdy_date(F.col(c))
+            e = mdy_date(named(c))
         elif new in SALES_NUMERIC:
-            e = try_double(F.col(c))
+            e = try_double(named(c))
         else:
-            e = F.col(c)
+            e = named(c)
         sel.append(e.alias(new))
     df = raw.select(*sel)
     return df.dropna(subset=["asin", "date"])
@@ -131,7 +137,7 @@ def standardize_returns(raw: DataFrame, distinct_rows: bool = False) -> DataFram
         raw = raw.drop(*[c for c in ORDER_COLUMNS if c in raw.columns]).distinct()
     key = find_column(raw, "asin")
     df = raw.select(key_normalize(F.col(key)).alias("asin"), iso_day(F.col("return-date")).alias("date"),
-                    F.col("quantity").try_cast("long").alias("quantity"), F.col("reason").cast("string").alias("reason"))
+                    try_double(F.col("quantity")).try_cast("long").alias("quantity"), F.col("reason").cast("string").alias("reason"))
     df = df.dropna(subset=["asin", "date"])
     return returns_agg(df)
 

@@ -53,7 +53,10 @@ def load_sources(spark: SparkSession, folders: Dict[str, str]) -> Dict[str, obje
 
 def build_master(raw: Dict[str, object], cfg: Config = DEFAULT) -> DataFrame:
     """Standardise the feeds, merge (J4), keep the last row per (asin, date) (W5), tiers (A3)."""
-    sales = ST.standardize_sales(ST.normalize_pct(raw["sellerise"]))
+    feed = raw["sellerise"]
+    if not _has_rows_schema(feed):           # no export yet: a typed empty master
+        feed = feed.select("*", *[F.lit(None).cast("string").alias(c) for c in ST.SALES_RENAME])
+    sales = ST.standardize_sales(ST.normalize_pct(feed))
     returns = (ST.standardize_returns(raw["returns"], cfg.distinct_return_rows)
                if _has_rows_schema(raw.get("returns")) else None)
     inventory = ST.standardize_inventory(raw["inventory"]) if _has_rows_schema(raw.get("inventory")) else None
@@ -64,7 +67,8 @@ def build_master(raw: Dict[str, object], cfg: Config = DEFAULT) -> DataFrame:
 
 
 def _has_rows_schema(df) -> bool:
-    return df is not None and len(df.columns) > 3
+    """Whether a feed has columns of its own; the reader gives only its ``_src`` columns where there is no file."""
+    return df is not None and any(not c.startswith("_src_") for c in df.columns)
 
 
 def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEFAULT,
@@ -83,7 +87,7 @@ def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEF
     alerts = D.detect(master, cfg)
     if snapshot_store:
         hist = FL.read_snapshot_history(spark, snapshot_store)
-        if "snapshot_date" in hist.columns and len(hist.columns) > 2:
+        if set(hist.columns) - {"asin", "snapshot_date"}:
             alerts = SN.all_alerts(alerts, SN.snapshot_detect(hist.withColumnRenamed("snapshot_date", "date"), master, cfg))
     flagged = D.flagged_rows(alerts)
     if checkpoint:

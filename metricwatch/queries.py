@@ -21,6 +21,7 @@ from .operators import master as MS
 from .operators import snapshot as SN
 from .operators import standardize as ST
 from .plans import derived
+from .session import checkpoint_dir, warehouse_checkpoints
 from .sources import files as FL
 from .sources import fixtures as FX
 
@@ -197,10 +198,9 @@ def q_yoy_available(spark, sf_dir):
 
 @query("detect_day")
 def q_detect_day(spark, sf_dir):
-    """One day's alerts with look-back pruning (newest day of the feed)."""
+    """One day's alerts (newest day of the feed)."""
     m = derived.master(spark, sf_dir, CFG)
-    day = m.agg(F.max("date")).first()[0]
-    return D.detect_day(m, day, CFG, M)
+    return D.detect_day(m, None, CFG, M)
 
 
 # ------------------------------------------------------------------ alerts, digest (P13–P16, W7, O*, E*, A8–A9)
@@ -208,12 +208,8 @@ def q_detect_day(spark, sf_dir):
 
 
 def _materialized(spark, df):
-    """Cut lineage with a reliable checkpoint into the shared ``spark.checkpoint.dir``
-    (a local temp folder only when the session names none)."""
-    import tempfile
-
-    from .session import checkpoint_dir
-    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="metricwatch-ckpt-"))
+    """Cut lineage with a reliable checkpoint into the shared folder."""
+    checkpoint_dir(spark, fallback=warehouse_checkpoints(spark))
     return df.checkpoint(eager=True)
 
 
@@ -694,13 +690,8 @@ def q_alert_export(spark, sf_dir):
 # ------------------------------------------------------------------ snapshot store
 
 def _store(spark, sf_dir):
-    """A fresh store folder under the shared checkpoint folder (a local temp folder only
-    when the session names none, as in local runs)."""
-    import tempfile
-    import uuid
-
-    from .session import checkpoint_dir
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="metricwatch-ckpt-"))
+    """A fresh store folder under the shared checkpoint folder."""
+    base = checkpoint_dir(spark, fallback=warehouse_checkpoints(spark))
     return f"{base.rstrip('/')}/snapshot_store_{uuid.uuid4().hex}"
 
 

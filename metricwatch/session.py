@@ -37,6 +37,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return configured
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is unset; pass a shared folder as fallback")
-    spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def warehouse_checkpoints(spark: SparkSession) -> str:
+    """A checkpoint folder beside the session's tables, which all executors share; for sessions that name none."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"

@@ -18,14 +18,26 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import file_date
 
-CSV_GLOBS = ("*.csv",)
+CSV_ENDINGS = (".csv",)
 
 
-def list_files(spark: SparkSession, folder: str, patterns: Iterable[str] = CSV_GLOBS) -> DataFrame:
-    """Files directly in ``folder`` and one sub-folder level down (dot-entries skipped).
+def _no_scheme(path: Column) -> Column:
+    """file:/x, file:///x -> /x (the listing and the scan metadata spell local paths differently)."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _glob_safe(folder: str) -> str:
+    """The folder's own name as a glob: its special characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", folder)
+
 
-    Columns: path, name, depth (0 = top level), file_date (S2)."""
-    globs = [os.path.join(folder, p) for p in patterns] + [os.path.join(folder, "*", p) for p in patterns]
+def list_files(spark: SparkSession, folder: str, endings: Iterable[str] = CSV_ENDINGS) -> DataFrame:
+    """Files directly in ``folder`` and one sub-folder level down (dot-entries skipped), by ending in any case.
+
+    Columns: path, name, depth (0 = top level), entry (names below the folder, whose order is the load order),
+    file_date (S2)."""
+    base = _glob_safe(folder.rstrip("/"))
+    globs = [f"{base}/*", f"{base}/*/*"]
     frames = []
     for g in globs:
         try:
@@ -34,16 +46,19 @@ def list_files(spark: SparkSession, folder: str, patterns: Iterable[str] = CSV_G
             if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
                 raise
     if not frames:
-        return spark.createDataFrame([], "path string, name string, depth int, file_date date")
+        return spark.createDataFrame([], "path string, name string, depth int, entry array<string>, file_date date")
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f)
-    root = "file:" + os.path.abspath(folder) if not folder.startswith(("file:", "hdfs:", "s3", "gs:", "abfs")) else folder
-    rel = F.regexp_replace(F.col("path"), "^" + root.rstrip("/").replace(".", r"\.") + "/", "")
-    name = F.element_at(F.split(rel, "/"), -1)
-    depth = F.size(F.split(rel, "/")) - 1
-    return (df.select("path", name.alias("name"), depth.cast("int").alias("depth"))
-            .filter(~F.col("name").startswith(".") & ~rel.contains("/."))
+    root = re.sub("^file:/+", "/", folder if re.match("[a-z][a-z0-9+.-]*:/", folder) else os.path.abspath(folder)).rstrip("/")
+    rel = F.substring(_no_scheme(F.col("path")), len(root) + 2, 2**31 - 1)      # the prefix goes by length
+    df = df.distinct().select("path", F.split(rel, "/").alias("entry"))
+    name = F.element_at("entry", -1)
+    wanted = F.lit(False)
+    for e in endings:
+        wanted = wanted | F.lower(name).endswith(e.lower())
+    return (df.filter(wanted & (F.size("entry") <= 2) & ~F.exists("entry", lambda x: x.startswith(".")))
+            .select("path", name.alias("name"), (F.size("entry") - 1).cast("int").alias("depth"), "entry")
             .withColumn("file_date", file_date(F.col("name"))))
 
 
@@ -71,6 +86,11 @@ def select_all_or_day(listing: DataFrame, day) -> DataFrame:
     return listing.filter((F.col("file_date") == d) | ~has_day)
 
 
+def _load_key(listing: DataFrame) -> Column:
+    """Entries of a folder, files and sub-folders together, go by name; listings without ``entry`` by depth and path."""
+    return F.col("entry") if "entry" in listing.columns else F.struct("depth", "path")
+
+
 def select_day_or_latest_one(listing: DataFrame, day) -> DataFrame:
     """S8 (inventory): the day's files; else the single most recently dated file (ties:
     first in load order); else, when nothing is dated, every file.
@@ -81,7 +101,7 @@ def select_day_or_latest_one(listing: DataFrame, day) -> DataFrame:
     dated = listing.filter(F.col("file_date").isNotNull())
     newest = dated.agg(F.max("file_date")).scalar()
     first_newest = (dated.filter(F.col("file_date") == newest)
-                    .agg(F.min_by(F.col("path"), F.struct("depth", "path"))).scalar())
+                    .agg(F.min_by(F.col("path"), _load_key(listing))).scalar())
     keep = (F.when(n_day > 0, F.col("file_date") == d)
             .when(newest.isNotNull(), F.col("path") == first_newest)
             .otherwise(F.lit(True)))
@@ -96,19 +116,19 @@ def select_day_or_latest_all(listing: DataFrame, day) -> DataFrame:
     return listing.filter(F.when(n_dated > 0, F.col("file_date") == target).otherwise(F.lit(True)))
 
 
-def _norm(path: str) -> str:
-    """file:/x, file:///x -> /x (the listing and the scan metadata spell local paths differently)."""
-    import re
-    return re.sub(r"^file:/+", "/", path)
-
-
 def _paths(listing: DataFrame) -> List[str]:
     """Paths of a (file-name) listing: bounded by the number of export files."""
-    return [r["path"] for r in listing.select("path").orderBy("depth", "path").collect()]
+    return [r["path"] for r in listing.orderBy(_load_key(listing)).select("path").collect()]
+
+
+def _decoded(path: Column) -> Column:
+    """The listing's spelling of a scanned path (the scan URL-encodes it, and leaves '+' as it is)."""
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
 
 
 def file_heads(spark: SparkSession, paths: List[str]) -> DataFrame:
-    """Per file: its header line (BOM removed) and whether it decodes as UTF-8.
+    """Per file: its header line (BOM removed), whether it decodes as UTF-8, and whether a quoted field holds a line
+    break (a line with an odd number of quotes).
 
     A line-split text scan, folded per file by a partial aggregate: no file is
     loaded whole into one task.  The header is the first line of the split at
@@ -118,42 +138,33 @@ def file_heads(spark: SparkSession, paths: List[str]) -> DataFrame:
         "value", F.monotonically_increasing_id().alias("_mid"))
     first = F.col("_blk") == 0
     g = t.groupBy("_p").agg(F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_mid"))).alias("header"),
-                            F.max((~F.is_valid_utf8(F.col("value"))).cast("int")).alias("_bad"))
-    # scan paths come back URL-encoded; map them to the listing's spelling
-    enc = {_encoded(p): p for p in paths}
-    lookup = F.create_map(*[x for k, v in enc.items() for x in (F.lit(k), F.lit(v))])
-    return g.select(F.coalesce(F.try_element_at(lookup, F.col("_p")), F.col("_p")).alias("path"),
+                            F.max((~F.is_valid_utf8(F.col("value"))).cast("int")).alias("_bad"),
+                            F.max(F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("_open"))
+    return g.select(_decoded(F.col("_p")).alias("path"),
                     F.regexp_replace(F.col("header"), "^\ufeff", "").alias("header"),
-                    (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("utf8"))
-
-
-def _encoded(path: str) -> str:
-    """The scan's spelling of a listed path (URL-encoded, e.g. a space as %20)."""
-    from urllib.parse import quote
-    m = re.match(r"^([a-z][a-z0-9+.-]*:/*)(.*)$", path)
-    if m:
-        return m.group(1) + quote(m.group(2), safe="/:@!$&'()*+,;=-._~")
-    return quote(path, safe="/:@!$&'()*+,;=-._~")
+                    (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("utf8"), (F.col("_open") == 1).alias("multi"))
 
 
 def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     """Read every listed CSV as text columns; UTF-8 (BOM stripped) or Latin-1 per file;
-    files with different headers are outer-unioned by column name.  Each row keeps
-    ``_src_path``, ``_src_depth`` and ``_src_row`` (position inside its file).
+    files with different headers are outer-unioned by column name.  Quotes inside a field are doubled; files whose
+    fields hold line breaks are read whole, one per task.  Each row keeps ``_src_entry`` (names below the folder, the
+    load order), ``_src_path``, ``_src_depth`` and ``_src_row`` (position inside its file).
 
-    Broken rows do not stop the load (PERMISSIVE); unreadable files are skipped."""
+    Broken rows do not stop the load (PERMISSIVE); unreadable files are skipped.  No file: only the ``_src`` columns."""
     paths = _paths(listing)
     if not paths:
-        return spark.createDataFrame([], "_src_path string, _src_depth int, _src_row long")
+        return spark.createDataFrame([], "_src_path string, _src_depth int, _src_row long, _src_entry array<string>")
     groups = {}
     for r in file_heads(spark, paths).collect():          # one row per file
-        groups.setdefault((r["utf8"], r["header"]), []).append(r["path"])
-    first = listing.select("path", "depth").first()
-    root_slashes = _norm(first["path"]).count("/") - first["depth"] - 1
+        groups.setdefault((r["utf8"], r["header"], r["multi"]), []).append(r["path"])
+    first = listing.select(_no_scheme(F.col("path")).alias("path"), "depth").first()
+    root_parts = first["path"].count("/") - first["depth"]      # names above the listed folder's entries
     frames = []
-    for (utf8, _header), ps in groups.items():
+    for (utf8, _header, multi), ps in groups.items():
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
               .option("encoding", "UTF-8" if utf8 else "ISO-8859-1").option("ignoreCorruptFiles", True)
+              .option("quote", '"').option("escape", '"').option("multiLine", bool(multi))
               .csv(ps))
         df = df.select("*", F.col("_metadata.file_path").alias("_src_path"),
                        F.col("_metadata.file_block_start").alias("_blk"),
@@ -162,10 +173,9 @@ def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    # the scan reports URL-encoded paths; '/' is never encoded, so the depth is the slash count below the root
-    key = F.regexp_replace(F.col("_src_path"), "^file:/+", "/")
-    slashes = F.length(key) - F.length(F.regexp_replace(key, "/", ""))
-    out = out.withColumn("_src_depth", (slashes - F.lit(root_slashes) - 1).cast("int"))
+    names = F.split(_decoded(_no_scheme(F.col("_src_path"))), "/")
+    out = out.withColumn("_src_entry", F.slice(names, root_parts + 1, 2**31 - 1))
+    out = out.withColumn("_src_depth", (F.size("_src_entry") - 1).cast("int"))
     return with_row_in_file(out).drop("_blk", "_mid")
 
 
@@ -187,8 +197,8 @@ def with_row_in_file(df: DataFrame) -> DataFrame:
 def write_snapshot(df: DataFrame, store: str, snapshot_date, date_col: str = "snapshot_date") -> int:
     """Append one day's listing snapshot to a store partitioned by ``snapshot_date``.
 
-    Idempotent per day: rows whose day already exists in the store are dropped by a
-    left-anti join against the store's days, so writing the same day twice keeps
+    Idempotent: rows whose (day, product) already exists in the store are dropped by a
+    left-anti join, so writing the same day twice keeps
     the first copy.  Returns 1 when written, 0 when skipped."""
     spark = df.sparkSession
     new = df.withColumn(date_col, F.lit(snapshot_date).cast("date"))
@@ -196,9 +206,12 @@ def write_snapshot(df: DataFrame, store: str, snapshot_date, date_col: str = "sn
 
 
 def append_new_days(spark: SparkSession, new: DataFrame, store: str, date_col: str = "snapshot_date") -> int:
+    """Append the rows whose (day, product) the store doesn't hold yet, so that a day's later files, or the rest of a
+    landing that broke off, still arrive; frames without a product column go by day."""
+    keys = [date_col, *[c for c in new.columns if c.lower() == "asin"]]
     try:
-        have = spark.read.parquet(store).select(date_col).distinct()
-        new = new.join(have, date_col, "left_anti")
+        have = spark.read.parquet(store).select(*keys).distinct()
+        new = new.join(have, keys, "left_anti")
     except Exception as e:  # noqa: BLE001 - first write: no store yet
         if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e) and "does not exist" not in str(e):
             raise

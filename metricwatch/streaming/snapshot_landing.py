@@ -2,7 +2,7 @@
 
 New export files dropped in a landing folder are picked up once each
 (the stream checkpoint remembers processed files), stamped with their
-snapshot day and appended to the snapshot store, skipping days the store
+snapshot day and appended to the snapshot store, skipping products of a day that the store
 already holds.  ``Trigger.AvailableNow`` processes the backlog and stops,
 so a scheduled run and a replay produce the same store.
 """
@@ -32,9 +32,11 @@ def land_snapshots(spark: SparkSession, landing: str, schema: StructType, store:
         src = src.withColumn(date_col, file_date(F.element_at(F.split(F.col("_src_path"), "/"), -1)))
 
     def _batch(batch: DataFrame, _epoch: int) -> None:
-        # per day, the first file of the batch in path order is the one landed
-        first = batch.groupBy(date_col).agg(F.min("_src_path").alias("_first"))
-        rows = batch.join(first, date_col).filter(F.col("_src_path") == F.col("_first")).drop("_first", "_src_path")
+        # a day may come in several files; of a product exported twice the first file in path order counts
+        keys = [date_col, *[c for c in batch.columns if c.lower() == "asin"]]
+        first = batch.groupBy(*keys).agg(F.min("_src_path").alias("_first"))
+        same = [batch[k].eqNullSafe(first[k]) for k in keys] + [batch["_src_path"] == first["_first"]]
+        rows = batch.join(first, same, "left_semi").drop("_src_path")
         append_new_days(spark, rows.filter(F.col(date_col).isNotNull()), store, date_col)
 
     return (src.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
