@@ -6,6 +6,7 @@ Each query reads the driver tables (through ``plans.derived`` /
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable, Dict, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
