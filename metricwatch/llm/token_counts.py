@@ -14,12 +14,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from .bpe import default_path, encoder
+from .common import cut
 
 BLOCK = 1024
 
 
 def length_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """(length, docs): how many documents have each encoded length."""
+    """(length, docs): how many documents have each encoded length; encoded once, as the table reads it twice."""
     path = tokenizer or default_path()
 
     def count(batches):
@@ -29,7 +30,7 @@ def length_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
         yield pd.DataFrame({"length": list(seen.keys()), "docs": list(seen.values())}, dtype="int64")
 
     part = docs.select("text").mapInPandas(count, "length long, docs long")
-    return part.groupBy("length").agg(F.sum("docs").alias("docs"))
+    return cut(part.groupBy("length").agg(F.sum("docs").alias("docs")))
 
 
 def context_table(hist: DataFrame) -> DataFrame:
