@@ -159,6 +159,12 @@ class Config:
 DEFAULT = Config()
 
 
+def conversion_drop_config() -> Config:
+    """The fixture parameters with the conversion-drop floor (D12, off by default) on, over rates as fractions."""
+    return fixture_config().with_(conversion_drop_warning=0.30, conversion_drop_critical=0.50,
+                                  conversion_drop_min_mean=0.001)
+
+
 def fixture_config() -> Config:
     """Parameters for the TPC-H-derived fixtures (FIXTURES.md §3)."""
     return DEFAULT.with_(

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Dict, Iterable, List, Sequence
 
-from .config import DETECTION_METRICS, TIER_ORDER, Config, fixture_config
+from .config import DETECTION_METRICS, TIER_ORDER, Config, conversion_drop_config, fixture_config
 from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, HINTS, METRIC_LABELS, PCT_METRICS, RANK_METRICS,
                                RATING_METRICS, SENTENCES, SEVERITY_ORDER, SHORT_TRIGGERS, TIER_LABELS, TRIGGER_LABELS)
 
@@ -400,13 +400,14 @@ def _build() -> None:
                                           "severity"))
     _reg("zero_run_length", det, "SELECT asin, date, units, CAST(zero_run AS INTEGER) AS zero_run FROM d_base", ["units"])
     for name, only, ms in (("floor_return_rate", ["return_rate"], ["return_rate"]),
-                           ("floor_conversion_drop", ["conversion_drop"], ["conversion_rate"]),
                            ("floor_margin", ["margin"], ["margin"]),
                            ("floor_zero_sales", ["zero_sales"], ["sales"]),
                            ("floor_acos_spike", ["acos_spike"], ["acos"]),
                            ("acos_gate", ["acos_spike", "acos_clear"], ["acos"])):
         d2 = MASTER + detection_ctes("master", CFG, only=only)
         _reg(name, d2, _stack("d_scored", {"severity": label("{m}_sev"), "triggered_by": "{m}_trig"}, "severity", ms))
+    _reg("floor_conversion_drop", MASTER + detection_ctes("master", conversion_drop_config(), only=["conversion_drop"]),
+         _stack("d_scored", {"severity": label("{m}_sev"), "triggered_by": "{m}_trig"}, "severity", ["conversion_rate"]))
     _reg("absolute_overrides", det, "SELECT asin, date, " + ", ".join(
         f"{label(m + '_sev')} AS {m}_severity, {m}_trig AS {m}_triggered_by" for m in M) + " FROM d_scored")
     _reg("long_alerts", det + [("a", long_sql("d_scored", CFG, improvements=False))], "SELECT * FROM a", ALERT_DOUBLES)

@@ -12,7 +12,7 @@ from typing import Callable, Dict, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import DETECTION_METRICS, fixture_config
+from .config import DETECTION_METRICS, conversion_drop_config, fixture_config
 from .functions import exprs as X
 from .functions.exprs import rank_label
 from .operators import alerts as AL
@@ -151,9 +151,9 @@ def q_zero_run_length(spark, sf_dir):
     return _baselines(spark, sf_dir).select("asin", "date", "units", "zero_run")
 
 
-def _floor_query(only, metrics):
+def _floor_query(only, metrics, cfg=CFG):
     def run(spark, sf_dir):
-        w = D.with_floors(D.with_severities(_baselines(spark, sf_dir), M, CFG), M, CFG, only=only)
+        w = D.with_floors(D.with_severities(_baselines(spark, sf_dir), M, cfg), M, cfg, only=only)
         w = w.select("asin", "date", *[c for m in metrics for c in (rank_label(F.col(f"{m}_sev")).alias(f"{m}_s"),
                                                                     F.col(f"{m}_trig"))])
         return _long(w, metrics, {"severity": "_s", "triggered_by": "_trig"}, "severity")
@@ -161,13 +161,14 @@ def _floor_query(only, metrics):
 
 
 for _name, _only, _ms in (("floor_return_rate", ["return_rate"], ["return_rate"]),
-                          ("floor_conversion_drop", ["conversion_drop"], ["conversion_rate"]),
                           ("floor_margin", ["margin"], ["margin"]),
                           ("floor_zero_sales", ["zero_sales"], ["sales"]),
                           ("floor_acos_spike", ["acos_spike"], ["acos"]),
                           ("acos_gate", ["acos_spike", "acos_clear"], ["acos"])):
     query(_name)(_floor_query(_only, _ms))
 
+query("floor_conversion_drop")(_floor_query(["conversion_drop"], ["conversion_rate"], conversion_drop_config()))
+
 
 @query("absolute_overrides")
 def q_absolute_overrides(spark, sf_dir):
@@ -311,8 +312,7 @@ def q_trigger_labels(spark, sf_dir):
 
 
 def _with_flags(spark, sf_dir):
-    c = _capped(spark, sf_dir)
-    return c.join(_flags(c), ["date", "asin"], "left")
+    return AL.with_flags(_capped(spark, sf_dir))
 
 
 @query("pointed_reason")
@@ -383,10 +383,9 @@ def q_digest(spark, sf_dir):
 @query("severity_breakdown")
 def q_severity_breakdown(spark, sf_dir):
     """Value counts of severity and of triggered_by over all alerts."""
-    a = _alerts(spark, sf_dir)
-    s = a.groupBy(F.lit("severity").alias("dimension"), F.col("severity").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    t = a.groupBy(F.lit("triggered_by").alias("dimension"), F.col("triggered_by").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return s.unionByName(t)
+    both = [F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in ("severity", "triggered_by")]
+    return _alerts(spark, sf_dir).select(F.inline(F.array(*both))).groupBy("dimension", "value").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("lookback_window")
@@ -609,8 +608,8 @@ def q_snapshot_meta_join(spark, sf_dir):
 
 @query("all_alerts")
 def q_all_alerts(spark, sf_dir):
-    """Daily alerts ∪ snapshot alerts (outer union of columns)."""
-    m = derived.master(spark, sf_dir, CFG)
+    """Daily alerts ∪ snapshot alerts (outer union of columns); both sides read one written master."""
+    m = _materialized(spark, derived.master(spark, sf_dir, CFG))
     return SN.all_alerts(D.detect(m, CFG), SN.snapshot_detect(_hist(spark, sf_dir), m, CFG))
 
 
