@@ -6,8 +6,9 @@ import math
 from pyspark.sql import functions as F
 
 from metricwatch.config import DEFAULT
-from metricwatch.operators import detect as D
+from metricwatch.operators import alerts as AL, detect as D
 from metricwatch.operators.baselines import with_rolling, with_zero_run
+from metricwatch.queries import REGISTRY
 
 D0 = dt.date(2023, 1, 1)
 
@@ -191,3 +192,20 @@ def test_escalation_never_lowers_and_alerts_disjoint_from_improvements(spark):
     dup = a.groupBy("asin", "date", "metric").count().filter("count > 1").count()
     assert dup == 0
     assert a.filter(F.abs("z_score") > 13 / math.sqrt(14) + 1e-6).count() == 0
+
+
+def test_conversion_drop_floor_fires(spark):
+    got = REGISTRY["floor_conversion_drop"](spark, "/root/testdata/sf0.001")
+    rows = {r["triggered_by"]: r["count"] for r in got.groupBy("triggered_by").count().collect()}
+    assert rows["absolute_threshold"] > 0
+
+
+def test_flags_beside_alerts_equal_the_join(spark):
+    rows = [("A", "2025-01-01", "sales", "critical"), ("A", "2025-01-01", "margin", "watch"),
+            ("A", "2025-01-01", "acos", "improvement"), ("B", "2025-01-01", "sales", "improvement"),
+            ("A", "2025-01-02", "tacos", "warning")]
+    df = spark.createDataFrame(rows, "asin string, date string, metric string, severity string")
+    joined = df.join(AL.cross_metric_flags(df), ["date", "asin"], "left").select(*df.columns, "flags")
+    got = sorted(map(tuple, AL.with_flags(df).select(*df.columns, "flags").collect()), key=str)
+    assert got == sorted(map(tuple, joined.collect()), key=str)
+    assert ("B", "2025-01-01", "sales", "improvement", None) in got
