@@ -3,8 +3,10 @@
 Filter directions are all concatenations of a code word for the first half of the dimensions with one for the second;
 a vector passes every direction whose inner product with it reaches ``alpha``. These are found by list decoding: per
 half only code words that can still reach the sum are combined. Vectors meet in the filters that both pass and are
-verified by their cosine in double precision. The number of directions and ``alpha`` follow from the number of
-vectors, so that a filter holds a few vectors on average at any size.
+verified by their cosine in double precision. The number of directions and ``alpha`` follow per dimension from the
+number of vectors: ``alpha`` is set by the exact tail of the inner product, so that a filter holds a few unrelated
+vectors at any size, and the directions are made more until ``RECALL`` of seeded random pairs at the threshold share
+one. Where that takes more than ``MOST`` directions a vector, filters are made wider instead.
 
 Large groups need no pairs: identical vectors are one representative with a count; vectors within half the threshold's
 angle of their filter's mean direction (a ball) are all linked with each other by the triangle inequality, so only
@@ -20,8 +22,8 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, ceil, cos, sqrt
-from statistics import NormalDist
+from functools import lru_cache
+from math import acos, ceil, cos, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -32,21 +34,75 @@ from .common import cut
 from .components import components
 
 THRESHOLD = 0.95
-FILTERS = 40           # directions that a vector passes, about
+RECALL, PAIRS = 0.98, 1000    # of so many random pairs at the threshold, the share that meets in a filter
+FILTERS, MOST = 40, 160       # directions that a vector passes, about: at first, and at most
 CROWD = 8              # unrelated vectors in a filter, about
 BLOCK = 1024           # vectors on either side of a block of comparisons
 BALL = 32              # vectors that share a best filter before a ball is tried
 MARGIN = 1e-9          # kept from the half angle, for rounding
 
 
+def _component(dim: int, cells: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Values (ascending) and weights of one component of a random unit vector."""
+    if dim < 2:
+        return (np.array([-1.0, 1.0]), np.array([0.5, 0.5])) if dim else (np.zeros(1), np.ones(1))
+    angle = (np.arange(cells, 0, -1) - 0.5) * pi / cells
+    weight = np.sin(angle) ** (dim - 2)
+    return np.cos(angle), weight / weight.sum()
+
+
+def _reach(dim: int, share: float) -> float:
+    """The sum of inner products of both halves that a random unit vector reaches with a probability of ``share``."""
+    half, other = dim // 2, dim - dim // 2
+    (u, wu), (z, wz) = _component(half), _component(other)
+    above = np.append(np.cumsum(wz[::-1])[::-1], 0.0)
+    edges = np.concatenate([[-1.0], (z[1:] + z[:-1]) / 2, [1.0]])
+    angle = (np.arange(256) + 0.5) * pi / 512 if half else np.zeros(1)
+    log_w = (half - 1) * np.log(np.sin(angle)) + (other - 1) * np.log(np.cos(angle)) if half else angle
+    w = np.exp(log_w - log_w.max())
+    a, b = np.sin(angle)[:, None], np.cos(angle)[:, None]       # lengths of the halves
+    least, most = -sqrt(2), sqrt(2)
+    for _ in range(50):
+        mid = (least + most) / 2
+        if w @ (np.interp((mid - a * u) / b, edges, above) @ wu) > share * w.sum():
+            least = mid
+        else:
+            most = mid
+    return least
+
+
+@lru_cache(maxsize=256)
+def code_size(dim: int, vectors: int, threshold: float = THRESHOLD) -> tuple[int, float]:
+    """Code words per half and ``alpha`` with which ``RECALL`` holds among ``vectors`` vectors."""
+    rng = np.random.default_rng(dim + 1)
+    x, y = rng.normal(size=(2, PAIRS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = threshold * x + sqrt(max(1 - threshold ** 2, 0)) * y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
+    u, w = _component(dim)
+    share = max(CROWD / max(vectors, 1), w[u >= threshold].sum())       # no less than the links' own share
+    while dim > 1 and share < 0.5:
+        reach, filters = _reach(dim, share), FILTERS
+        while filters <= MOST:
+            size = max(8, ceil(sqrt(filters / share))), reach
+            code = ProductCode(dim, vectors, threshold, size)
+            met = sum(len(np.intersect1d(p, q)) > 0 for k in range(0, PAIRS, code.rows)
+                      for p, q in zip(code.decode(x[k:k + code.rows])[0], code.decode(y[k:k + code.rows])[0]))
+            if met >= RECALL * PAIRS:
+                return size
+            filters *= 1.2
+        share *= 4
+    return 1, -2.0                              # one direction, which all pass
+
+
 class ProductCode:
-    """Directions (c1[i], c2[j]) / sqrt(2) for a dimension; deterministic."""
+    """Directions (c1[i], c2[j]) / sqrt(2) for a dimension; deterministic for a ``size``, which is worked out once for
+    all tasks."""
 
-    def __init__(self, dim: int, vectors: int):
-        share = min(CROWD / max(vectors, 1), 0.02)
-        self.words = max(8, ceil(sqrt(FILTERS / share)))
-        self.reach = NormalDist().inv_cdf(1 - share) / sqrt(dim) * sqrt(2) if dim > 1 else 0.5
+    def __init__(self, dim: int, vectors: int, threshold: float = THRESHOLD, size: tuple[int, float] | None = None):
+        self.words, self.reach = size or code_size(dim, vectors, threshold)
         self.half = dim // 2
+        self.rows = max(8, min(1024, (1 << 22) // self.words))      # decoded at a time
         rng = np.random.default_rng(dim)
         self.codes = []
         for n in (self.half, dim - self.half):
@@ -78,15 +134,20 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _decoded(reps: DataFrame, vectors: int) -> DataFrame:
+def _decoded(reps: DataFrame, threshold: float) -> DataFrame:
     """Adds the unit vector, its filters and its best filter; filter ids carry the dimension."""
+    held = reps.groupBy(F.size("v").alias("dim")).count().filter("count > 1").collect()     # one row per dimension
+    sizes = {r["dim"]: code_size(r["dim"], r["count"], threshold) for r in held}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes: dict[int, ProductCode] = {}
         for pdf in batches:
             for dim, part in pdf.groupby(pdf["v"].map(len)):
-                code = codes.setdefault(dim, ProductCode(dim, vectors))
-                for at in range(0, len(part), 1024):
-                    p = part.iloc[at:at + 1024]
+                if dim not in codes:
+                    codes[dim] = ProductCode(dim, len(part), threshold, sizes.get(dim, (1, -2.0)))
+                code = codes[dim]
+                for at in range(0, len(part), code.rows):
+                    p = part.iloc[at:at + code.rows]
                     x = _unit(p["v"])
                     passed, best = code.decode(x)
                     yield pd.DataFrame({"rep": p["rep"], "copies": p["copies"], "unit": list(x),
@@ -212,7 +273,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = vectors.select("vec_id", F.when(usable(F.col("embedding")) & F.col("vec_id").isNotNull(),
                                            F.col("embedding")).alias("v"))
     reps = cut(rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    vecs = cut(_with_balls(_decoded(reps, reps.count()), threshold))
+    vecs = cut(_with_balls(_decoded(reps, threshold), threshold))
     found = cut(_filter_links(vecs, threshold))
     balls = vecs.filter("ball is not null").groupBy("ball").agg(F.sum("copies").alias("held"), F.min("rep").alias("least"))
     inside = vecs.select("rep", "copies", "ball").join(balls, "ball", "left")

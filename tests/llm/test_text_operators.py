@@ -327,6 +327,19 @@ def test_vectors_against_brute_force(spark):
     assert cap_filters.near_vectors(empty).count() == 0
 
 
+@pytest.mark.parametrize("dim, vectors", [(64, 2_000), (64, 1_000_000), (32, 100_000), (16, 100_000), (4, 100_000)])
+def test_pairs_at_the_threshold_meet_at_any_number_of_vectors(dim, vectors):
+    rng = np.random.default_rng(11)
+    x, y = rng.normal(size=(2, 400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.951 * x + np.sqrt(1 - 0.951 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    code = cap_filters.ProductCode(dim, vectors)
+    a, b = code.decode(x)[0], code.decode(y)[0]
+    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)]) >= 0.95
+    assert 30 <= np.mean([len(p) for p in a]) <= 1.2 * cap_filters.MOST
+
+
 # ------------------------------------------------------------------ 9 language model
 
 def test_pseudo_likelihood_prefers_the_order_of_the_corpus(spark, edge, none):
