@@ -4,13 +4,12 @@ A line's shingles are its substrings of ``SHINGLE`` characters (the whole line i
 the Jaccard similarity of their shingle sets reaches ``PERCENT`` %. Candidates come from MinHash signatures of
 ``BANDS`` x ``ROWS`` values: lines that agree in all rows of a band meet in its bucket (a pair at the threshold is
 found with probability 1 - (1 - 0.75^3)^8 = 0.99). A MinHash value is the least 32-bit shingle hash XOR a mask.
-Lines under ``SHORT`` characters, or with few blanks, are signed over all shingles; longer ones over a sample by
-content, those that start at the line's words. Near the borders a line has both signatures, so that alike lines share
-one.
+Every line is signed over all its shingles.
 
 Equal lines are first counted as one. In a bucket all lines are verified against its least line; then lines outside
 the bucket's largest provisional component against all others of the bucket, so a bucket never emits all its pairs.
-Verification is the exact Jaccard similarity. Groups are the components of verified links (distributed union-find).
+Of these only pairs go that can't reach the threshold: each line has a bit map of its shingles, and every bit in which
+two maps differ is a shingle that one line has and the other lacks. Verification is the exact Jaccard similarity. Groups are the components of verified links (distributed union-find).
 The first line by (doc_id, line number) of a group stays.
 
 Blank lines are never compared and always stay. Null or empty text has no lines. Lines of a null doc_id come after all
@@ -31,9 +30,7 @@ from .components import components
 SHINGLE = 9
 PERCENT = 75
 BANDS, ROWS = 8, 3
-SHORT = 64
-AGREE = 12             # of the 24 signature values, before a pair is verified
-SPARSE = 32            # characters per blank beyond which a line is signed over all its shingles
+MAPS = 4               # words of 64 bits in a line's bit map of shingles
 _ALL = r"(?s)(?=(.{%d}))" % SHINGLE
 
 
@@ -49,41 +46,35 @@ def _masks() -> list[int]:
 
 
 def signed(lines: DataFrame) -> DataFrame:
-    """(line_id, kind, mins): the signature of each distinct line, one row per kind of signature.
+    """(line_id, mins, n, map0, ...): the signature, number of shingles and bit map of each distinct line.
 
     Shingles are exploded and their minima taken in one generated aggregate, whose partial step sees all shingles of
     a line in the task that cut it.
     """
-    size, words = F.char_length("line"), F.col("words")
-    lines = lines.select("line_id", "line", F.split("line", " ").alias("words"))
-    every = lines.filter((size < SHORT) | (F.size(words) * SPARSE < size)).select(
-        "line_id", "line", F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)).alias("found")).select(
-        "line_id", F.lit(0).alias("kind"),
-        F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line"))).alias("shingle"))
-    some = lines.filter((100 * size >= PERCENT * SHORT) & (100 * F.size(words) * SPARSE >= PERCENT * size)).select(
-        "line_id", "words", F.posexplode("words").alias("i", "w")).select(
-        "line_id", F.lit(1).alias("kind"),
-        F.substring(F.concat_ws(" ", "w", F.get("words", F.col("i") + 1), F.get("words", F.col("i") + 2)), 1, SHINGLE).alias("shingle"))
-    rows = every.unionAll(some)
-    rows = rows.select("line_id", "kind", F.xxhash64("shingle").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
-    rows = rows.select("line_id", "kind", (F.col("h") - F.lit(1 << 31)).cast("int").alias("h"))
-    least = rows.groupBy("line_id", "kind").agg(*[
-        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(_masks())])
-    return least.select("line_id", "kind", F.array(*[f"m{j}" for j in range(BANDS * ROWS)]).alias("mins"))
+    found = lines.select("line_id", "line", F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)).alias("found"))
+    rows = found.select("line_id", F.explode(
+        F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line"))).alias("shingle"))
+    rows = rows.select("line_id", F.xxhash64("shingle").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
+    rows = rows.select("line_id", (F.col("h") - F.lit(1 << 31)).cast("int").alias("h"))
+    least = rows.groupBy("line_id").agg(*[
+        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(_masks())], F.count("*").alias("n"), *[
+        F.bit_or(F.expr(f"if((h & {64 * MAPS - 64}) = {64 * k}, shiftleft(1L, h & 63), 0L)")).alias(f"map{k}") for k in range(MAPS)])
+    return least.select("line_id", F.array(*[f"m{j}" for j in range(BANDS * ROWS)]).alias("mins"), "n", *_maps())
 
 
-def _buckets() -> Column:
-    return F.array(*[F.xxhash64(F.col("kind") * BANDS + b, *[F.col("mins")[b * ROWS + r] for r in range(ROWS)])
-                     for b in range(BANDS)])
+def _maps(prefix: str = "") -> list[str]:
+    return [f"{prefix}map{k}" for k in range(MAPS)]
+
 
+def can_reach() -> Column:
+    """False where a line and ``x_`` line can't reach the threshold: shingles of one only are at most
+    (100 - PERCENT) / (100 + PERCENT) of both lines' then, and no fewer than the bits that differ."""
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(x))) for m, x in zip(_maps(), _maps("x_"))), F.lit(0))
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n") + F.col("x_n"))
 
-def plausible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) of ``pairs`` (a, b, kind) whose signatures agree in ``AGREE`` values or more: of a pair
-    at the threshold 18 of 24 agree on average, and fewer than 12 with a probability of 0.002."""
-    one = lambda x: signatures.select(F.col("line_id").alias(x), "kind", F.col("mins").alias(f"m{x}"))
-    j = pairs.join(one("a"), ["a", "kind"]).join(one("b"), ["b", "kind"])
-    same = sum(((F.col("ma")[k] == F.col("mb")[k]).cast("int") for k in range(BANDS * ROWS)), F.lit(0))
-    return j.filter(same >= AGREE).select("a", "b").distinct()
+
+def _buckets() -> Column:
+    return F.array(*[F.xxhash64(F.lit(b), *[F.col("mins")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])
 
 
 def _shingles(line: Column) -> Column:
@@ -102,27 +93,27 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def line_links(lines: DataFrame) -> DataFrame:
     """Verified links (a, b) between line ids."""
-    signatures = cut(signed(lines))
-    rows = signatures.select("line_id", "kind", F.explode(_buckets()).alias("bucket"))
+    signatures = cut(signed(lines).withColumn("mins", _buckets()).withColumnRenamed("mins", "buckets"))
+    rows = signatures.select("line_id", F.explode("buckets").alias("bucket"))
     full = cut(rows.groupBy("bucket").agg(F.min("line_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select(
         "bucket", "pivot"))
     met = cut(likely_in(rows, full, "bucket").join(full, "bucket"))
     asked = cut(met.select("line_id").distinct())
-    signatures = cut(likely_in(signatures, asked, "line_id").join(asked, "line_id", "left_semi"))
     texts = cut(likely_in(lines.select("line_id", "line"), asked, "line_id").groupBy("line_id").agg(
         F.min("line").alias("line")).join(asked, "line_id", "left_semi"))
-    pairs = met.filter("line_id <> pivot").select(F.col("line_id").alias("a"), F.col("pivot").alias("b"), "kind").distinct()
-    first = cut(verified(plausible(pairs, signatures), texts))
+    pairs = met.filter("line_id <> pivot").select(F.col("line_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    first = cut(verified(pairs, texts))
     label = components(first).select(F.col("node").alias("line_id"), F.col("component").alias("label"))
-    c = met.select("bucket", "kind", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
+    c = met.select("bucket", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
     major = c.groupBy("bucket", "label").count().groupBy("bucket").agg(
         F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
         "bucket", F.col("top.label").alias("major"))
-    mixed = cut(c.join(major, "bucket"))
-    few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), F.col("label").alias("x_label"))
-    cross = few.join(mixed, "bucket").filter("label <> x_label").select(
-        F.greatest("x", "line_id").alias("a"), F.least("x", "line_id").alias("b"), "kind").distinct()
-    return first.unionAll(verified(plausible(cross, signatures), texts))
+    mixed = cut(c.join(major, "bucket").join(signatures.drop("buckets"), "line_id"))
+    few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), *[
+        F.col(k).alias(f"x_{k}") for k in ("label", "n", *_maps())])
+    cross = few.join(mixed, "bucket").filter((F.col("label") != F.col("x_label")) & can_reach()).select(
+        F.greatest("x", "line_id").alias("a"), F.least("x", "line_id").alias("b")).distinct()
+    return first.unionAll(verified(cross, texts))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:

@@ -196,6 +196,24 @@ def test_lines_against_all_pairs(spark, edge, none):
     assert line_dedup.without_repeats(edge).columns == edge.columns
 
 
+def test_alike_lines_with_few_blanks_are_found(spark):
+    """Log fields, and long lines of few words: each pair is alike by its full shingle sets."""
+    rng, pairs = np.random.default_rng(6), []
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    for _ in range(150):
+        f = [word(23) for _ in range(6)]
+        pairs.append((" ".join(f), " ".join(["#" + f[0][1:], "#" + f[1][1:], *f[2:]])))
+        one = " ".join(word(n) for n in (29, 29, 30))
+        pairs.append((one, one[:40] + "#" + one[41:]))
+    docs = spark.createDataFrame([(2 * k + j, x) for k, p in enumerate(pairs) for j, x in enumerate(p)], "doc_id long, text string")
+    shingles = lambda s: {s[k:k + 9] for k in range(len(s) - 8)}
+    alike = [100 * len(shingles(a) & shingles(b)) >= 75 * len(shingles(a) | shingles(b)) for a, b in pairs]
+    size = {r["doc_id"]: r["group_size"] for r in line_dedup.line_groups(docs).select("doc_id", "group_size").collect()}
+    found = [size[2 * k] == size[2 * k + 1] == 2 for k in range(len(pairs))]
+    assert sum(alike) >= 250 and not any(f and not a for f, a in zip(found, alike))
+    assert sum(found) >= 0.96 * sum(alike)
+
+
 # ------------------------------------------------------------------ 5 n-grams
 
 def ngram_brute(rows):
