@@ -3,8 +3,8 @@
 Documents are encoded, closed with an end id, and indexed in shards: a shard is a run of documents of one task of
 about ``SHARD_TOKENS`` tokens, so memory is bounded and nothing is shuffled. In a shard, parts of a document longer
 than a window fill windows of their own; what is left (shorter than a window) is indexed with BM25 over its token
-ids. A seed opens a window, the index returns its unused neighbours, and the best of them are put in one after the
-other. The last one is cut to fit; its rest opens the next window as seed. So every window is full except the
+ids. A seed opens a window, the index scores its unused neighbours over all the seed's distinct terms, and the best of
+them are put in one after the other. The last one is cut to fit; its rest opens the next window as seed. So every window is full except the
 shard's last, whose tokens are cut into sequences of power-of-two lengths, which need no padding.
 
 A document may be cut into pieces; every id lies in exactly one piece. Null or empty text is the end id alone.
@@ -27,8 +27,6 @@ from .bpe import default_path, encoder
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-#: Of a seed the rarest so many distinct terms are looked up.
-QUERY_TERMS = 12
 K1, B = 1.2, 0.75
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -48,21 +46,20 @@ class Bm25Shard:
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1)) if self.n else sizes
         self.weight = (np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        order = np.lexsort((np.repeat(df, df), self.doc))           # per document: its rarest terms first
+        order = np.argsort(self.doc, kind="stable")
         at = np.searchsorted(self.doc[order], np.arange(self.n + 1))
-        rank = np.repeat(np.arange(len(self.terms)), df)[order]
-        self.rare = [rank[a:min(b, a + QUERY_TERMS)] for a, b in zip(at[:-1], at[1:])]
+        rank, shared = np.repeat(np.arange(len(self.terms)), df)[order], (np.repeat(df, df) > 1)[order]
+        self.ranks = [rank[a:b][shared[a:b]] for a, b in zip(at[:-1], at[1:])]      # per document: terms others have too
         self.score = np.zeros(self.n, dtype=np.float32)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused parts that share a term with the seed, best first (ties: earlier first)."""
-        runs = [slice(self.first[t], self.last[t]) for t in self.rare[seed]]
+        runs = [slice(a, b) for a, b in zip(self.first[self.ranks[seed]], self.last[self.ranks[seed]])]
         if not runs:
             return np.zeros(0, np.int64)
         docs = np.concatenate([self.doc[r] for r in runs])
         np.add.at(self.score, docs, np.concatenate([self.weight[r] for r in runs]))
-        found = np.unique(docs)
-        found = found[unused[found]]
+        found = np.flatnonzero((self.score > 0) & unused)
         found = found[np.argsort(-self.score[found], kind="stable")]
         self.score[docs] = 0
         return found

@@ -289,6 +289,24 @@ def test_neighbours_share_rare_terms():
     assert index.neighbours(0, unused).tolist() == [2, 1] and not index.score.any()
 
 
+def test_neighbours_are_scored_over_all_terms():
+    rng = np.random.default_rng(8)
+    parts = [np.concatenate([rng.integers(0, 150, 80), 1000 * (k + 1) + np.arange(15)]).astype("<u2") for k in range(30)]
+    index = packing.Bm25Shard(parts)                                # 15 terms of each are its own
+    df = {t: sum(t in set(p.tolist()) for p in parts) for p in parts for t in p.tolist()}
+    mean = np.mean([len(p) for p in parts])
+
+    def bm25(q, p):
+        return sum(np.log1p((30 - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(p) / mean))
+                   for t in set(q.tolist()) if (tf := (p == t).sum()))
+    for seed in range(30):
+        unused = rng.random(30) < 0.8
+        unused[seed] = False
+        got = index.neighbours(seed, unused)
+        assert sorted(got.tolist()) == np.flatnonzero(unused).tolist()
+        assert (np.diff([bm25(parts[seed], parts[d]) for d in got]) <= 1e-4).all()
+
+
 # ------------------------------------------------------------------ 7 secrets
 
 ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
