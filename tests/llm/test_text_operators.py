@@ -393,6 +393,24 @@ def test_pseudo_likelihood_prefers_the_order_of_the_corpus(spark, edge, none):
     assert masked_lm.pseudo_likelihood(none).count() == 0
 
 
+def test_rare_words_share_the_mass_of_their_type(spark):
+    words = [f"word{k}x" for k in range(500)]                         # one class; 20 of them types of their own
+    docs = spark.createDataFrame([(k, " ".join(words)) for k in range(2)] + [(9, "word7x " * 30)], "doc_id long, text string")
+    types, flat = masked_lm.fit(docs, vocabulary=20, rounds=1)
+    probe = spark.createDataFrame([(0, "word7x"), (1, words[-1]), (2, "zqjvkwpx"), (2, "word499x word499x"), (None, "")],
+                                  "doc_id long, text string")
+    net = masked_lm.WindowNetwork(len(types.cls), flat)
+    got = {(r["doc_id"], r["n_words"]): r["log_prob"] for r in masked_lm.score(probe, types, flat).collect()}
+    base = {t: masked_lm.log_probability(types, net, types.encode(t)) for t in ("word7x", words[-1], "zqjvkwpx")}
+    assert words[-1] not in types.ids and got[0, 1] == pytest.approx(base["word7x"], abs=1e-4)
+    assert got[1, 1] - base[words[-1]] == pytest.approx(np.log(2 / types.rest[masked_lm.class_of(words[-1])]), abs=1e-4)
+    assert got[2, 1] < got[1, 1] - 20 and got[None, 0] == 0 and got[2, 2] < 2 * got[0, 1]
+    # the shares of a type's words and of the unseen sum to one
+    other = {w: 2 for w in words if w not in types.ids}
+    for c in {masked_lm.class_of(w) for w in other}:
+        assert sum(n for w, n in other.items() if masked_lm.class_of(w) == c) + 1 == pytest.approx(types.rest[c])
+
+
 # ------------------------------------------------------------------ 10 language
 
 def test_language_of_held_out_documents(spark):
