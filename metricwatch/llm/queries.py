@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import (cap_filters, exact_dedup, language_id, line_dedup, masked_lm, mixing, ngram_join, packing,
-               secret_scan, token_counts)
+from pyspark.sql import functions as F
+
+from . import (best_position, cap_filters, exact_dedup, hyperplane_tree, language_id, line_dedup, masked_lm, mixing,
+               ngram_join, packing, repetition, secret_scan, token_counts)
 from .common import table
 
 QUERIES = {}
@@ -66,6 +68,25 @@ def op4_line_dedup(spark, sf_dir):
     return line_dedup.line_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_repetition(spark, sf_dir):
+    """Base figures, words in maximal repeats and the verdict of the suffix arrays."""
+    return repetition.repetition(table(spark, sf_dir, "documents")).drop("n_maximal", "longest_repeat")
+
+
+@query
+def op12_hyperplane_tree(spark, sf_dir):
+    """Hard negatives of the anchors (ids divisible by 100), where every seventh row has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hyperplane_tree.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_best_position(spark, sf_dir):
+    """The 50 best documents for every benchmark item."""
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """Language ID, line de-duplication, n-gram join, mixing, packing over ``documents``."""
