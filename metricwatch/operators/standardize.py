@@ -162,7 +162,7 @@ def keep_last(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return agg.select(*keys, *[F.col("_last")[c].alias(c) for c in cols])
 
 
-def _tolerant(raw: DataFrame, keep: Dict[str, str], types: Dict[str, str], key_col: str) -> DataFrame:
+def tolerant(raw: DataFrame, keep: Dict[str, str], types: Dict[str, str], key_col: str) -> DataFrame:
     sel = [key_normalize(F.col(key_col)).alias("asin")]
     for src, dst in keep.items():
         if dst == "asin":
@@ -181,13 +181,13 @@ def standardize_inventory(raw: DataFrame) -> DataFrame:
     """Needs an exact ``asin`` column; tolerant projection; keep last per asin."""
     if "asin" not in raw.columns:
         raise KeyError("inventory feed needs an 'asin' column")
-    df = _tolerant(raw, INVENTORY_KEEP, INVENTORY_TYPES, "asin")
+    df = tolerant(raw, INVENTORY_KEEP, INVENTORY_TYPES, "asin")
     return keep_last(df, ["asin"]).drop(*ORDER_COLUMNS)
 
 
 def standardize_snapshot(raw: DataFrame) -> DataFrame:
     """Case-insensitive key column; tolerant projection; keep last per asin."""
-    df = _tolerant(raw, SNAPSHOT_KEEP, SNAPSHOT_TYPES, find_column(raw, "asin"))
+    df = tolerant(raw, SNAPSHOT_KEEP, SNAPSHOT_TYPES, find_column(raw, "asin"))
     return keep_last(df, ["asin"]).drop(*ORDER_COLUMNS)
 
 

@@ -811,6 +811,23 @@ def _build_ingest(cfg: Config = CFG) -> None:
           THEN file_date = (SELECT max(file_date) FROM h) ELSE TRUE END""")
     _reg("snapshot_append", SNAPSHOT, "SELECT * EXCLUDE (date), date AS snapshot_date FROM snapshot_hist")
     _reg("snapshot_history", SNAPSHOT, f"SELECT asin, date AS snapshot_date, {', '.join(cfg.snapshot_metrics)} FROM snapshot_hist")
+    _reg("snapshot_merge", SNAPSHOT, """SELECT * EXCLUDE (date) REPLACE (review_count + CASE WHEN day(date) % 7 = 0 THEN 3000
+        WHEN day(date) % 3 = 0 THEN 1000 ELSE 0 END AS review_count), date AS snapshot_date FROM snapshot_hist""")
+    O = [("o", """SELECT o_orderkey AS k, o_orderstatus AS status, o_orderkey // 2048 AS file FROM orders"""),
+         ("e", """SELECT *, row_number() OVER (PARTITION BY file ORDER BY k) AS row, file % 3 AS kind,
+              file % 3 = 0 AND k % 37 = 0 AS short, file % 7 = 2 AND k % 41 = 0 AS long,
+              CASE WHEN k % 53 = 0 THEN 'line one' || chr(10) || 'line two, of ' || k WHEN k % 31 = 0 THEN 'said "yes" to ' || k
+                   WHEN k % 29 = 0 THEN 'N/A' ELSE 'plain ' || k END AS note FROM o"""),
+         ("f", """SELECT *, CASE WHEN note LIKE 'line%' OR note LIKE 'said%' THEN '"' || replace(note, '"', '""') || '"' ELSE note END AS raw FROM e"""),
+         ("x", """SELECT *, CASE WHEN short THEN k || ',' || status WHEN kind = 0 THEN k || ',' || status || ',' || raw
+              WHEN kind = 1 THEN raw || ',' || k || ',' || status ELSE k || ',' || raw END || CASE WHEN long THEN ',surplus' ELSE '' END AS line FROM f"""),
+         ("whole", "SELECT * FROM x WHERE file NOT IN (SELECT file FROM x WHERE long AND NOT short)")]
+    _reg("export_rows", O, """SELECT file, row, k AS order_key, CASE WHEN kind <> 2 THEN status END AS status,
+        CASE WHEN short THEN CASE WHEN long THEN 'surplus' END WHEN note <> 'N/A' THEN note END AS note FROM whole""")
+    _reg("export_rejects", O, """SELECT file, row, 'more fields than the header' AS reason, line AS record FROM x WHERE long AND NOT short
+        UNION ALL SELECT file, row, 'fewer fields than the header (kept)', line FROM x WHERE short AND NOT long
+        UNION ALL SELECT DISTINCT file, CAST(NULL AS BIGINT), 'file left out: a record has more fields than the header',
+                         CAST(NULL AS VARCHAR) FROM x WHERE long AND NOT short""")
     A = alerts_ctes(cfg)
     _reg("alert_export", A, """SELECT * REPLACE (round(actual_value, 4) AS actual_value, round(expected_value, 4) AS expected_value,
         round(yoy_baseline, 4) AS yoy_baseline, round(z_score, 4) AS z_score, round(yoy_deviation, 4) AS yoy_deviation),

@@ -30,25 +30,24 @@ from ..sources import files as FL
 FOLDERS = ("sellerise", "returns", "inventory", "helium10")
 
 
-def _read(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    return FL.read_csv_files(spark, listing)
-
-
 def load_sources(spark: SparkSession, folders: Dict[str, str]) -> Dict[str, object]:
-    """Anchor day from the listing-snapshot folder, then the four feeds."""
+    """Anchor day from the listing-snapshot folder, then the four feeds (S6–S9); ``rejects``: what of their files was
+    not read (source, path, row, reason, record)."""
     lists = {k: FL.list_files(spark, folders[k]) for k in FOLDERS if folders.get(k)}
     anchor = lists["helium10"].agg(F.max("file_date")).first()[0] if "helium10" in lists else None
-    out: Dict[str, object] = {"reference_date": anchor}
-    if "sellerise" in lists:
-        out["sellerise"] = _read(spark, lists["sellerise"])
-    if "returns" in lists:
-        out["returns"] = _read(spark, FL.select_all_or_day(lists["returns"], anchor) if anchor else lists["returns"])
-    if "inventory" in lists:
-        out["inventory"] = _read(spark, FL.select_day_or_latest_one(lists["inventory"], anchor) if anchor
-                                 else lists["inventory"])
+    wanted = dict(lists)
+    if anchor and "returns" in lists:
+        wanted["returns"] = FL.select_all_or_day(lists["returns"], anchor)
+    if anchor and "inventory" in lists:
+        wanted["inventory"] = FL.select_day_or_latest_one(lists["inventory"], anchor)
     if "helium10" in lists:
-        out["helium10"] = _read(spark, FL.select_day_or_latest_all(lists["helium10"], anchor))
-    return out
+        wanted["helium10"] = FL.select_day_or_latest_all(lists["helium10"], anchor)
+    feeds = {k: FL.read_exports(spark, listing) for k, listing in wanted.items()}
+    rejects = None
+    for k, feed in feeds.items():
+        bad = feed.rejects.select(F.lit(k).alias("source"), "*")
+        rejects = bad if rejects is None else rejects.unionAll(bad)
+    return {"reference_date": anchor, "rejects": rejects, **{k: feed.rows for k, feed in feeds.items()}}
 
 
 def build_master(raw: Dict[str, object], cfg: Config = DEFAULT) -> DataFrame:
@@ -73,12 +72,17 @@ def _has_rows_schema(df) -> bool:
 
 def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEFAULT,
                  run_date: Optional[dt.date] = None, snapshot_store: Optional[str] = None,
-                 export_path: Optional[str] = None, checkpoint: bool = True) -> Dict[str, object]:
-    """L1: detection over the full history, one anchored day's digest."""
+                 export_path: Optional[str] = None, checkpoint: bool = True,
+                 rejects_path: Optional[str] = None) -> Dict[str, object]:
+    """L1: detection over the full history, one anchored day's digest. The account of unread records and files is
+    returned as ``rejects`` and, with ``rejects_path``, written under the run day."""
     run_date = run_date or dt.date.today()
     if checkpoint:
         checkpoint_dir(spark)            # the shared folder named by the cluster; error if none
     raw = load_sources(spark, folders)
+    if rejects_path and raw["rejects"] is not None:
+        raw["rejects"].withColumn("run_date", F.lit(run_date).cast("date")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(rejects_path)
     master = build_master(raw, cfg)
     if checkpoint:
         master = master.checkpoint()
@@ -102,7 +106,7 @@ def run_pipeline(spark: SparkSession, folders: Dict[str, str], cfg: Config = DEF
     top = AL.top_alerts(with_flags, cfg).select("*", AL.explanation(F.col("flags")).alias("explanation"))
     summary = AL.digest_summary(digest_rows)
     subject = summary.select("date", AL.subject(summary, cfg, F.lit(run_date).cast("date")).alias("subject"))
-    return {"reference_date": anchor, "master": master, "alerts": flagged, "day_alerts": day,
+    return {"reference_date": anchor, "rejects": raw["rejects"], "master": master, "alerts": flagged, "day_alerts": day,
             "digest_rows": AL.section_rows(digest_rows), "top_alerts": top, "summary": summary, "subject": subject,
             "newest_sales_date": master.agg(F.max("date")).first()[0]}
 

@@ -25,6 +25,7 @@ from .plans import derived
 from .session import checkpoint_dir, warehouse_checkpoints
 from .sources import files as FL
 from .sources import fixtures as FX
+from .sources import store as ST_
 
 CFG = fixture_config()
 M = list(DETECTION_METRICS)
@@ -468,16 +469,49 @@ def q_dedup_keep_last(spark, sf_dir):
     return ST.keep_last(s.select("asin", "date", "sales", "units", "acos", "_src_path", "_src_row"), ["asin", "date"])
 
 
+def _folder(spark, name):
+    """A fresh folder under the shared checkpoint folder."""
+    base = checkpoint_dir(spark, fallback=warehouse_checkpoints(spark))
+    return f"{base.rstrip('/')}/{name}_{uuid.uuid4().hex}"
+
+
 @query("multi_file_union")
 def q_multi_file_union(spark, sf_dir):
-    """Outer union by column name of exports with different column sets
-    (re-export files carry no Orders/Title columns)."""
-    r = FX.sales_raw(spark, sf_dir)
-    base = r.filter(~F.col("_src_path").contains("_update"))
-    upd = r.filter(F.col("_src_path").contains("_update")).drop("Orders", "Title")
-    u = base.unionByName(upd, allowMissingColumns=True)
-    return u.select("_src_path", "_src_row", "ASIN", "Date", X.try_double(F.col("Sales")).alias("Sales"),
-                    X.try_double(F.col("Orders")).alias("Orders"), "Title")
+    """The sales exports written as CSV files and read back: outer union by column name of exports with different
+    column sets (re-export files carry no Orders/Title columns)."""
+    folder = _folder(spark, "sales_exports")
+    FX.write_sales_exports(spark, sf_dir, folder)
+    r = FL.read_csv_files(spark, FL.list_files(spark, folder))
+    export = F.regexp_extract(F.element_at("_src_entry", 1), "export=(.*)", 1)
+    return r.select(F.concat(F.lit("sales/"), export, F.lit(".csv")).alias("_src_path"), F.col("Line").cast("long").alias("_src_row"),
+                    "ASIN", "Date", X.try_double(F.col("Sales")).alias("Sales"), X.try_double(F.col("Orders")).alias("Orders"), "Title")
+
+
+def _order_exports(spark, sf_dir):
+    """The order exports read back: rows and rejects."""
+    folder = _folder(spark, "order_exports")
+    FX.write_order_exports(spark, sf_dir, folder)
+    return FL.read_exports(spark, FL.list_files(spark, folder, endings=(".txt",)))
+
+
+def _export_no(path):
+    return F.regexp_extract(path, r"file=(\d+)", 1).cast("long").alias("file")
+
+
+@query("export_rows")
+def q_export_rows(spark, sf_dir):
+    """Export files with other column orders, quoted separators, quotes and line breaks, missing values and short
+    rows, read in one pass; files with a field too many are left out."""
+    r = _order_exports(spark, sf_dir).rows
+    return r.select(_export_no(F.element_at("_src_entry", 1)), F.col("_src_row").alias("row"), F.col("Order").cast("long").alias("order_key"),
+                    F.col("Status").alias("status"), F.col("Note").alias("note"))
+
+
+@query("export_rejects")
+def q_export_rejects(spark, sf_dir):
+    """The account of what was not read: short and long records, and files left out."""
+    r = _order_exports(spark, sf_dir).rejects
+    return r.select(_export_no(F.col("path")), "row", "reason", "record")
 
 
 @query("source_stats")
@@ -690,9 +724,7 @@ def q_alert_export(spark, sf_dir):
 # ------------------------------------------------------------------ snapshot store
 
 def _store(spark, sf_dir):
-    """A fresh store folder under the shared checkpoint folder."""
-    base = checkpoint_dir(spark, fallback=warehouse_checkpoints(spark))
-    return f"{base.rstrip('/')}/snapshot_store_{uuid.uuid4().hex}"
+    return _folder(spark, "snapshot_store")
 
 
 @query("snapshot_append")
@@ -713,3 +745,17 @@ def q_snapshot_history(spark, sf_dir):
     FL.append_new_days(spark, _hist(spark, sf_dir).withColumnRenamed("date", "snapshot_date"), store)
     h = FL.read_snapshot_history(spark, store)
     return h.select("asin", "snapshot_date", *[m for m in CFG.snapshot_metrics])
+
+
+@query("snapshot_merge")
+def q_snapshot_merge(spark, sf_dir):
+    """Four landings in an order other than that of their exports, and a compaction in between; of a product's
+    day the last export counts."""
+    store = _store(spark, sf_dir)
+    hist = _hist(spark, sf_dir).withColumnRenamed("date", "snapshot_date")
+    for k, (name, every, bump) in enumerate((("p2", 3, 1000), ("p0", 5, 2000), ("p1", 1, 0), ("p3", 7, 3000))):
+        rows = hist.filter(F.dayofmonth("snapshot_date") % every == 0).withColumn("review_count", F.col("review_count") + bump)
+        ST_.publish(rows, store, keep="last", batch=str(k), order=F.struct(F.array(F.lit(name)), F.lit(0).cast("long")))
+        if k == 2:
+            ST_.compact(spark, store)
+    return ST_.read_store(spark, store)

@@ -13,19 +13,16 @@ import os
 import re
 from typing import Iterable, List
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import file_date
+from . import exports as EX
+from . import store as ST
 
 CSV_ENDINGS = (".csv",)
 
 
-def _no_scheme(path: Column) -> Column:
-    """file:/x, file:///x -> /x (the listing and the scan metadata spell local paths differently)."""
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 def _glob_safe(folder: str) -> str:
     """The folder's own name as a glob: its special characters stand for themselves."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", folder)
@@ -51,7 +48,7 @@ def list_files(spark: SparkSession, folder: str, endings: Iterable[str] = CSV_EN
     for f in frames[1:]:
         df = df.unionByName(f)
     root = re.sub("^file:/+", "/", folder if re.match("[a-z][a-z0-9+.-]*:/", folder) else os.path.abspath(folder)).rstrip("/")
-    rel = F.substring(_no_scheme(F.col("path")), len(root) + 2, 2**31 - 1)      # the prefix goes by length
+    rel = F.substring(EX.no_scheme(F.col("path")), len(root) + 2, 2**31 - 1)      # the prefix goes by length
     df = df.distinct().select("path", F.split(rel, "/").alias("entry"))
     name = F.element_at("entry", -1)
     wanted = F.lit(False)
@@ -121,77 +118,24 @@ def _paths(listing: DataFrame) -> List[str]:
     return [r["path"] for r in listing.orderBy(_load_key(listing)).select("path").collect()]
 
 
-def _decoded(path: Column) -> Column:
-    """The listing's spelling of a scanned path (the scan URL-encodes it, and leaves '+' as it is)."""
-    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-
-
-def file_heads(spark: SparkSession, paths: List[str]) -> DataFrame:
-    """Per file: its header line (BOM removed), whether it decodes as UTF-8, and whether a quoted field holds a line
-    break (a line with an odd number of quotes).
-
-    A line-split text scan, folded per file by a partial aggregate: no file is
-    loaded whole into one task.  The header is the first line of the split at
-    offset 0; a file is non-UTF-8 when any of its lines is not valid UTF-8."""
-    t = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_block_start").alias("_blk"),
-        "value", F.monotonically_increasing_id().alias("_mid"))
-    first = F.col("_blk") == 0
-    g = t.groupBy("_p").agg(F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_mid"))).alias("header"),
-                            F.max((~F.is_valid_utf8(F.col("value"))).cast("int")).alias("_bad"),
-                            F.max(F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("_open"))
-    return g.select(_decoded(F.col("_p")).alias("path"),
-                    F.regexp_replace(F.col("header"), "^\ufeff", "").alias("header"),
-                    (F.coalesce(F.col("_bad"), F.lit(0)) == 0).alias("utf8"), (F.col("_open") == 1).alias("multi"))
-
+def read_exports(spark: SparkSession, listing: DataFrame, on_long: str = "file") -> EX.Feed:
+    """Every listed CSV as text columns, and what was not read.
 
-def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    """Read every listed CSV as text columns; UTF-8 (BOM stripped) or Latin-1 per file;
-    files with different headers are outer-unioned by column name.  Quotes inside a field are doubled; files whose
-    fields hold line breaks are read whole, one per task.  Each row keeps ``_src_entry`` (names below the folder, the
-    load order), ``_src_path``, ``_src_depth`` and ``_src_row`` (position inside its file).
-
-    Broken rows do not stop the load (PERMISSIVE); unreadable files are skipped.  No file: only the ``_src`` columns."""
+    UTF-8 (BOM stripped) or Latin-1 per file; files with different headers are outer-unioned by column name. Each row
+    keeps ``_src_entry`` (names below the folder, the load order), ``_src_path``, ``_src_depth`` and ``_src_row`` (record in
+    its file; the header is 0). No file: only the ``_src`` columns. The files are scanned once; see ``exports``."""
     paths = _paths(listing)
     if not paths:
-        return spark.createDataFrame([], "_src_path string, _src_depth int, _src_row long, _src_entry array<string>")
-    groups = {}
-    for r in file_heads(spark, paths).collect():          # one row per file
-        groups.setdefault((r["utf8"], r["header"], r["multi"]), []).append(r["path"])
-    first = listing.select(_no_scheme(F.col("path")).alias("path"), "depth").first()
+        return EX.Feed(spark.createDataFrame([], EX.SRC), spark.createDataFrame([], EX.REJECTS))
+    first = listing.select(EX.no_scheme(F.col("path")).alias("path"), "depth").first()
     root_parts = first["path"].count("/") - first["depth"]      # names above the listed folder's entries
-    frames = []
-    for (utf8, _header, multi), ps in groups.items():
-        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
-              .option("encoding", "UTF-8" if utf8 else "ISO-8859-1").option("ignoreCorruptFiles", True)
-              .option("quote", '"').option("escape", '"').option("multiLine", bool(multi))
-              .csv(ps))
-        df = df.select("*", F.col("_metadata.file_path").alias("_src_path"),
-                       F.col("_metadata.file_block_start").alias("_blk"),
-                       F.monotonically_increasing_id().alias("_mid"))
-        frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    names = F.split(_decoded(_no_scheme(F.col("_src_path"))), "/")
-    out = out.withColumn("_src_entry", F.slice(names, root_parts + 1, 2**31 - 1))
-    out = out.withColumn("_src_depth", (F.size("_src_entry") - 1).cast("int"))
-    return with_row_in_file(out).drop("_blk", "_mid")
-
+    entry = F.slice(F.split(EX.decoded(EX.no_scheme(F.col("path"))), "/"), root_parts + 1, 2**31 - 1)
+    return EX.parse(EX.scan_lines(spark, paths), listing, entry, on_long)
 
-def with_row_in_file(df: DataFrame) -> DataFrame:
-    """``_src_row``: 1-based position of each row inside its file, exact even when a file
-    is read as several splits, without sorting any file in one task.
 
-    Inside a split, ``monotonically_increasing_id`` is contiguous; splits of a file are
-    ordered by their byte offset (``_blk``).  A per-(file, split) table of row counts
-    (one row per split) gives each split's offset by a running sum over the file's
-    splits, and is joined back on (file, split)."""
-    blocks = df.groupBy("_src_path", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("_src_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = df.join(blocks.drop("_n"), ["_src_path", "_blk"])
-    return j.withColumn("_src_row", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long")).drop("_before", "_first")
+def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """The rows of ``read_exports``."""
+    return read_exports(spark, listing).rows
 
 
 def write_snapshot(df: DataFrame, store: str, snapshot_date, date_col: str = "snapshot_date") -> int:
@@ -206,29 +150,15 @@ def write_snapshot(df: DataFrame, store: str, snapshot_date, date_col: str = "sn
 
 
 def append_new_days(spark: SparkSession, new: DataFrame, store: str, date_col: str = "snapshot_date") -> int:
-    """Append the rows whose (day, product) the store doesn't hold yet, so that a day's later files, or the rest of a
-    landing that broke off, still arrive; frames without a product column go by day."""
-    keys = [date_col, *[c for c in new.columns if c.lower() == "asin"]]
-    try:
-        have = spark.read.parquet(store).select(*keys).distinct()
-        new = new.join(have, keys, "left_anti")
-    except Exception as e:  # noqa: BLE001 - first write: no store yet
-        if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e) and "does not exist" not in str(e):
-            raise
-    if new.isEmpty():
-        return 0
-    new.write.mode("append").partitionBy(date_col).parquet(store)
-    return 1
+    """Land the rows whose (day, product) the store doesn't hold yet, so that a day's later files, or the rest of a
+    landing that broke off, still arrive; frames without a product column go by day. 1 when something landed."""
+    return ST.publish(new, store, date_col)
 
 
 def read_snapshot_history(spark: SparkSession, store: str) -> DataFrame:
-    """The whole store, partition-discovered (schema merged across days)."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(store)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "Unable to infer schema" in str(e):
-            return spark.createDataFrame([], "asin string, snapshot_date date")
-        raise
+    """The whole store (schema merged across days); empty where nothing was landed."""
+    rows = ST.read_store(spark, store)
+    return rows if rows is not None else spark.createDataFrame([], "asin string, snapshot_date date")
 
 
 def export_alerts(alerts: DataFrame, path: str, run_date) -> None:

@@ -247,3 +247,44 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(folder, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit("/"), name).alias("path"),
         F.col("o_orderkey").alias("file_id"),
     )
+
+
+ORDERS_PER_EXPORT = 2048    # order keys of one export file
+
+
+def order_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order exports as text: (file, place, line), one header per file and files of ORDERS_PER_EXPORT keys.
+
+    Every third file has its columns in another order and every third lacks the status; notes hold quotes, separators and
+    line breaks; some rows of the first kind lack their note, and one file in seven has rows with a field too many."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    o = o.withColumn("file", F.floor(F.col("k") / ORDERS_PER_EXPORT).cast("long"))
+    k, kind = F.col("k"), F.col("file") % 3
+    text = k.cast("string")
+    note = (F.when(k % 53 == 0, F.concat(F.lit('"line one\nline two, of '), text, F.lit('"')))
+            .when(k % 31 == 0, F.concat(F.lit('"said ""yes"" to '), text, F.lit('"')))
+            .when(k % 29 == 0, F.lit("N/A")).otherwise(F.concat(F.lit("plain "), text)))
+    short = (kind == 0) & (k % 37 == 0)
+    line = (F.when(short, F.concat_ws(",", text, F.col("status")))
+            .when(kind == 0, F.concat_ws(",", text, F.col("status"), note))
+            .when(kind == 1, F.concat_ws(",", note, text, F.col("status"))).otherwise(F.concat_ws(",", text, note)))
+    line = F.when((F.col("file") % 7 == 2) & (k % 41 == 0), F.concat(line, F.lit(",surplus"))).otherwise(line)
+    head = (F.when(kind == 0, F.lit("Order,Status,Note")).when(kind == 1, F.lit("Note,Order,Status")).otherwise(F.lit("Order,Note")))
+    heads = o.select("file", head.alias("line")).distinct().select("file", F.lit(-1).cast("long").alias("place"), "line")
+    return heads.unionAll(o.select("file", k.alias("place"), line.alias("line")))
+
+
+def write_order_exports(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The order exports as files below ``folder``, one sub-folder each."""
+    lines = order_export_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "place")
+    lines.select("file", "line").write.partitionBy("file").option("compression", "none").text(folder)
+
+
+def write_sales_exports(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The sales exports as CSV files, a sub-folder per export; re-exports carry no Orders and Title columns."""
+    r = sales_raw(spark, sf_dir).withColumnRenamed("_src_row", "Line").withColumn(
+        "export", F.regexp_extract("_src_path", r"sales/(.*)\.csv", 1)).drop("_src_path")
+    base, update = r.filter(~F.col("export").contains("_update")), r.filter(F.col("export").contains("_update"))
+    for df in (base, update.drop("Orders", "Title")):
+        df.write.mode("append").partitionBy("export").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
