@@ -85,39 +85,27 @@ def yoy_means(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "as
         *[F.round(F.avg(m), cfg.digits(m)).alias(f"{m}_yoy_mean") for m in metrics])
 
 
-def with_yoy_window(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "asin",
+def with_yoy_window(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str | Sequence[str] = "asin",
                     order: str = "date") -> DataFrame:
-    """``<m>_yoy_mean`` from a RANGE window on the same (asin ↑day) partitioning as
-    the rolling windows: no join and no extra shuffle.
-
-    One calendar year back is 365 or 366 days (``add_months(date, -12)``; 29 Feb
-    maps to 28 Feb), so the frame [day − 366 − w//2, day − 365 + w//2] always
-    covers the target week; it holds at most 2·(w//2)+2 rows because days are
-    unique per product.  The rows of the frame are collected and the exact week
-    around ``add_months(date, -12)`` is selected inside the row.
+    """``<m>_yoy_mean`` from RANGE windows on the same (asin ↑day) partitioning as the rolling windows: no join and no
+    extra shuffle.
+
+    One calendar year back is 365 or 366 days (``add_months(date, -12)``; 29 Feb maps to 28 Feb). Sums and counts are
+    taken over both weeks, [day − 365 ± w//2] and [day − 366 ± w//2], and each row picks the one its calendar names. Days
+    are unique per product, so a frame holds at most a week of rows, which are added up in day order.
     """
     if "yoy_available" not in df.columns:
         df = with_history_span(df, cfg, key, order)
     half = cfg.yoy_window // 2
-    day = F.datediff(F.col(order), F.lit("1970-01-01"))
-    w = Window.partitionBy(key).orderBy(day).rangeBetween(-(366 + half), -(365 - half))
-    df = df.withColumn("_yoy_rows", F.collect_list(F.struct(F.col(order).alias("d"), *[F.col(m).alias(m) for m in metrics])).over(w))
-    centre = F.add_months(F.col(order), -12)
-    out = []
-    lo, hi = F.date_sub(centre, half), F.date_add(centre, half)
-
-    def in_week(m):
-        return lambda r: (r["d"] >= lo) & (r["d"] <= hi) & r[m].isNotNull()
-
-    def add(m):
-        return lambda acc, r: acc + r[m]
-
-    for m in metrics:
-        vals = F.filter(F.col("_yoy_rows"), in_week(m))
-        total = F.aggregate(vals, F.lit(0.0), add(m))
-        mean = F.when(F.size(vals) > 0, total / F.size(vals))
-        out.append(F.when(F.col("yoy_available"), F.round(mean, cfg.digits(m))).alias(f"{m}_yoy_mean"))
-    return df.select(*[c for c in df.columns if c != "_yoy_rows"], *out)
+    w = Window.partitionBy(key).orderBy(F.datediff(F.col(order), F.lit("1970-01-01")))
+    frames = [w.rangeBetween(-(back + half), -(back - half)) for back in (365, 366)]
+    df = df.select("*", *[f(m).over(frame).alias(f"_{f.__name__}{i}_{m}") for m in metrics
+                          for i, frame in enumerate(frames) for f in (F.sum, F.count)])
+    usual = F.datediff(F.col(order), F.add_months(F.col(order), -12)) == 365
+    mean = {m: [F.try_divide(F.col(f"_sum{i}_{m}"), F.col(f"_count{i}_{m}")) for i in (0, 1)] for m in metrics}
+    return df.select(*[c for c in df.columns if not c.startswith(("_sum0_", "_sum1_", "_count0_", "_count1_"))], *[
+        F.when(F.col("yoy_available"), F.round(F.when(usual, a).otherwise(b), cfg.digits(m))).alias(f"{m}_yoy_mean")
+        for m, (a, b) in mean.items()])
 
 
 def with_yoy(df: DataFrame, metrics: Sequence[str], cfg: Config, key: str = "asin",

@@ -414,8 +414,11 @@ def _build() -> None:
     _reg("improvements", det + [("a", long_sql("d_scored", CFG, alerts=False))], "SELECT * FROM a", ALERT_DOUBLES)
     _reg("yoy_available", MASTER, f"""SELECT asin, CAST(datediff('day', min(date), max(date)) AS INTEGER) AS span_days,
         datediff('day', min(date), max(date)) >= {CFG.min_history_days} AS yoy_available FROM master GROUP BY asin""")
-    _reg("detect_day", det + [("alerts", long_sql("d_scored", CFG))],
-         "SELECT * FROM alerts WHERE date = (SELECT max(date) FROM master)", ALERT_DOUBLES)
+    for name in ("detect_day", "detect_day_state"):
+        _reg(name, det + [("alerts", long_sql("d_scored", CFG))],
+             "SELECT * FROM alerts WHERE date = (SELECT max(date) FROM master)", ALERT_DOUBLES)
+    _reg("chunked_baseline", det, "SELECT asin, date, CAST(zero_run AS INTEGER) AS zero_run, yoy_available, " + ", ".join(
+        f"{m}_roll_mean, {m}_roll_std, {m}_yoy_mean" for m in M) + " FROM d_base")
 
 
 

@@ -7,6 +7,7 @@ Each query reads the driver tables (through ``plans.derived`` /
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 from typing import Callable, Dict, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,12 @@ from .functions import exprs as X
 from .functions.exprs import rank_label
 from .operators import alerts as AL
 from .operators import backtest as BT
+from .operators import chunked as CH
 from .operators import detect as D
 from .operators import master as MS
 from .operators import snapshot as SN
 from .operators import standardize as ST
+from .operators import state as DS
 from .plans import derived
 from .session import checkpoint_dir, warehouse_checkpoints
 from .sources import files as FL
@@ -72,6 +75,13 @@ def q_rolling_baseline(spark, sf_dir):
     return b.select("asin", "date", *[c for m in M for c in (f"{m}_roll_mean", f"{m}_roll_std")])
 
 
+@query("chunked_baseline")
+def q_chunked_baseline(spark, sf_dir):
+    """The rolling, year-over-year and zero-run baselines from windows cut into chunks of a year."""
+    b = CH.chunked_baselines(derived.master(spark, sf_dir, CFG), CFG, M)
+    return b.select("asin", "date", "zero_run", "yoy_available", *[c for m in M for c in (f"{m}_roll_mean", f"{m}_roll_std", f"{m}_yoy_mean")])
+
+
 @query("rolling_zscore")
 def q_rolling_zscore(spark, sf_dir):
     """Z against the rolling baseline; std 0 -> NULL."""
@@ -228,6 +238,16 @@ def _flags(day_alerts):
     return AL.cross_metric_flags(day_alerts)
 
 
+@query("detect_day_state")
+def q_detect_day_state(spark, sf_dir):
+    """D24 from state: the newest day scored from a state table, its own rows and one week of the year before."""
+    folder = _folder(spark, "daily_runs")
+    DS.write_master(derived.master(spark, sf_dir, CFG), folder)
+    day = spark.read.parquet(f"{folder}/master").agg(F.max("date")).first()[0]
+    DS.start_state(spark, folder, day - timedelta(days=1), CFG)
+    return DS.run_day(spark, folder, day, day - timedelta(days=1), CFG)
+
+
 @query("flagged_rows")
 def q_flagged_rows(spark, sf_dir):
     """Rows with a severity (improvements stay)."""
