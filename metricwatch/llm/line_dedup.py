@@ -6,9 +6,9 @@ the Jaccard similarity of their shingle sets reaches ``PERCENT`` %. Candidates c
 found with probability 1 - (1 - 0.75^3)^8 = 0.99). A MinHash value is the least 32-bit shingle hash XOR a mask.
 Every line is signed over all its shingles.
 
-Equal lines are first counted as one. In a bucket all lines are verified against its least line; then lines outside
+Equal lines have one signature. In a bucket all lines are verified against its least line; then lines outside
 the bucket's largest provisional component against all others of the bucket, so a bucket never emits all its pairs.
-Of these only pairs go that can't reach the threshold: each line has a bit map of its shingles, and every bit in which
+Pairs that can't reach the threshold go unverified: each line that meets another has a bit map of its shingles, and every bit in which
 two maps differ is a shingle that one line has and the other lacks. Verification is the exact Jaccard similarity. Groups are the components of verified links (distributed union-find).
 The first line by (doc_id, line number) of a group stays.
 
@@ -30,7 +30,7 @@ from .components import components
 SHINGLE = 9
 PERCENT = 75
 BANDS, ROWS = 8, 3
-MAPS = 4               # words of 64 bits in a line's bit map of shingles
+MAPS = 16              # words of 64 bits in a line's bit map of shingles
 _ALL = r"(?s)(?=(.{%d}))" % SHINGLE
 
 
@@ -45,21 +45,30 @@ def _masks() -> list[int]:
     return [rng.getrandbits(32) - (1 << 31) for _ in range(BANDS * ROWS)]
 
 
+def _cut_shingles(lines: DataFrame) -> DataFrame:
+    """(line_id, n, h): a row per shingle of each row of ``lines`` with its 32-bit hash; n is their number."""
+    found = lines.select("line_id", "line", F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)).alias("found"))
+    rows = found.select("line_id", F.greatest(F.size("found"), F.lit(1)).alias("n"), F.explode(
+        F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line"))).alias("shingle"))
+    rows = rows.select("line_id", "n", F.xxhash64("shingle").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
+    return rows.select("line_id", "n", (F.col("h") - F.lit(1 << 31)).cast("int").alias("h"))
+
+
 def signed(lines: DataFrame) -> DataFrame:
-    """(line_id, mins, n, map0, ...): the signature, number of shingles and bit map of each distinct line.
+    """(line_id, mins): the signature of each distinct line.
 
     Shingles are exploded and their minima taken in one generated aggregate, whose partial step sees all shingles of
     a line in the task that cut it.
     """
-    found = lines.select("line_id", "line", F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)).alias("found"))
-    rows = found.select("line_id", F.explode(
-        F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line"))).alias("shingle"))
-    rows = rows.select("line_id", F.xxhash64("shingle").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"))
-    rows = rows.select("line_id", (F.col("h") - F.lit(1 << 31)).cast("int").alias("h"))
-    least = rows.groupBy("line_id").agg(*[
-        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(_masks())], F.count("*").alias("n"), *[
+    least = _cut_shingles(lines).groupBy("line_id").agg(*[
+        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(_masks())])
+    return least.select("line_id", F.array(*[f"m{j}" for j in range(BANDS * ROWS)]).alias("mins"))
+
+
+def shaped(texts: DataFrame) -> DataFrame:
+    """(line_id, n, map0, ...) per distinct line: the number of its shingles, repeats counted, and a bit map of them."""
+    return _cut_shingles(texts).groupBy("line_id").agg(F.max("n").alias("n"), *[
         F.bit_or(F.expr(f"if((h & {64 * MAPS - 64}) = {64 * k}, shiftleft(1L, h & 63), 0L)")).alias(f"map{k}") for k in range(MAPS)])
-    return least.select("line_id", F.array(*[f"m{j}" for j in range(BANDS * ROWS)]).alias("mins"), "n", *_maps())
 
 
 def _maps(prefix: str = "") -> list[str]:
@@ -68,7 +77,8 @@ def _maps(prefix: str = "") -> list[str]:
 
 def can_reach() -> Column:
     """False where a line and ``x_`` line can't reach the threshold: shingles of one only are at most
-    (100 - PERCENT) / (100 + PERCENT) of both lines' then, and no fewer than the bits that differ."""
+    (100 - PERCENT) / (100 + PERCENT) of both lines' then, and no fewer than the bits that differ. ``n`` may count
+    repeated shingles, which only lets more pairs through."""
     differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(x))) for m, x in zip(_maps(), _maps("x_"))), F.lit(0))
     return (100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n") + F.col("x_n"))
 
@@ -78,8 +88,8 @@ def _buckets() -> Column:
 
 
 def _shingles(line: Column) -> Column:
-    found = F.transform(F.regexp_extract_all(line, F.lit(_ALL), F.lit(1)), lambda s: F.xxhash64(s))
-    return F.when(F.size(found) > 0, F.array_distinct(found)).otherwise(F.array(F.xxhash64(line)))
+    found = F.regexp_extract_all(line, F.lit(_ALL), F.lit(1))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(line))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -87,13 +97,13 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     j = pairs.join(texts.withColumnsRenamed({"line_id": "a", "line": "la"}), "a").join(
         texts.withColumnsRenamed({"line_id": "b", "line": "lb"}), "b")
     j = j.select("a", "b", _shingles(F.col("la")).alias("sa"), _shingles(F.col("lb")).alias("sb"))
-    j = j.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("o"), (F.size("sa") + F.size("sb")).alias("s"))
-    return j.filter(100 * F.col("o") >= PERCENT * (F.col("s") - F.col("o"))).select("a", "b")
+    j = j.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), F.size(F.array_union("sa", "sb")).alias("all"))
+    return j.filter(100 * F.col("common") >= PERCENT * F.col("all")).select("a", "b")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
     """Verified links (a, b) between line ids."""
-    signatures = cut(signed(lines).withColumn("mins", _buckets()).withColumnRenamed("mins", "buckets"))
+    signatures = cut(signed(lines).select("line_id", _buckets().alias("buckets")))
     rows = signatures.select("line_id", F.explode("buckets").alias("bucket"))
     full = cut(rows.groupBy("bucket").agg(F.min("line_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select(
         "bucket", "pivot"))
@@ -101,14 +111,17 @@ def line_links(lines: DataFrame) -> DataFrame:
     asked = cut(met.select("line_id").distinct())
     texts = cut(likely_in(lines.select("line_id", "line"), asked, "line_id").groupBy("line_id").agg(
         F.min("line").alias("line")).join(asked, "line_id", "left_semi"))
-    pairs = met.filter("line_id <> pivot").select(F.col("line_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    shapes = cut(shaped(texts))
+    of_x = shapes.select(F.col("line_id").alias("x"), *[F.col(k).alias(f"x_{k}") for k in ("n", *_maps())])
+    pairs = met.filter("line_id <> pivot").select("line_id", F.col("pivot").alias("x")).distinct()
+    pairs = pairs.join(shapes, "line_id").join(of_x, "x").filter(can_reach()).select(F.col("line_id").alias("a"), F.col("x").alias("b"))
     first = cut(verified(pairs, texts))
     label = components(first).select(F.col("node").alias("line_id"), F.col("component").alias("label"))
     c = met.select("bucket", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
     major = c.groupBy("bucket", "label").count().groupBy("bucket").agg(
         F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
         "bucket", F.col("top.label").alias("major"))
-    mixed = cut(c.join(major, "bucket").join(signatures.drop("buckets"), "line_id"))
+    mixed = cut(c.join(major, "bucket").join(shapes, "line_id"))
     few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), *[
         F.col(k).alias(f"x_{k}") for k in ("label", "n", *_maps())])
     cross = few.join(mixed, "bucket").filter((F.col("label") != F.col("x_label")) & can_reach()).select(
@@ -135,12 +148,16 @@ def line_groups(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines that don't stay taken out of the texts (``n_chars`` follows). A document that loses its
     last line that isn't blank goes, as all it held stays elsewhere; documents without lines are left as they are."""
-    gone = line_groups(docs).filter("not kept").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_set("line_no").alias("__gone"))                           # bounded by the document's lines
-    j = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left")
-    left = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__gone", i))
-    j = j.withColumn("__text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
-    j = j.filter(F.col("__gone").isNull() | F.col("__text").rlike(r"[^\x20\x09-\x0D]"))
-    new = {"text": F.col("__text"), "n_chars": F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.char_length("__text"))
-           if "n_chars" in docs.columns else None}
-    return j.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in docs.columns])
+    gone = line_groups(docs).filter("not kept").groupBy(F.col("doc_id").alias("of")).agg(
+        F.collect_set("line_no").alias("gone"))                             # bounded by the document's lines
+    # the row goes along as one column, so its columns may have any name
+    packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"), "text")
+    j = packed.join(gone, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("row", "text", "gone")
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    j = j.select("row", "gone", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
+    j = j.filter(F.col("gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    row = F.col("row")
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("gone").isNull(), row["n_chars"]).otherwise(F.char_length("text"))
+    return j.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else row[c].alias(c) for c in docs.columns])
