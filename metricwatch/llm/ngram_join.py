@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, likely_in, parallelism
 from .components import components
@@ -39,7 +39,9 @@ from .components import components
 WORDS = 5
 PERCENT = 75
 #: N-grams that a task gathers before it sends them on.
-CHUNK = 2_000_000
+CHUNK = 250_000
+#: N-grams that a column block holds, about.
+BLOCK_GRAMS = 1 << 20
 _TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -61,9 +63,10 @@ def _least_shared(n: Column) -> Column:
     return F.ceil(n * PERCENT / 100).cast("long")
 
 
-def blocks_of(spark: SparkSession) -> int:
-    """Column blocks: as many as shuffle partitions, 64 at least."""
-    return max(64, parallelism(spark))
+def blocks_of(docs: DataFrame) -> int:
+    """Column blocks: by the size of the texts (some 7 bytes a word), 64 at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(64, parallelism(docs.sparkSession), -(-size // (7 * BLOCK_GRAMS)))
 
 
 def _spread(grams: np.ndarray, owner: np.ndarray, blocks: int):
@@ -123,9 +126,8 @@ def _tally(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out).astype("int64")
 
 
-def shared_counts(docs: DataFrame) -> DataFrame:
+def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
     """(doc_id, shared, n, parts): n-grams that occur in other documents too, all n-grams, rows."""
-    blocks = blocks_of(docs.sparkSession)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, sets, held = [], [], 0
@@ -182,11 +184,10 @@ def _columns(pdf: pd.DataFrame, blocks: int):
     return pdf["rep"].to_numpy(), sets, grams[order], times[order], np.searchsorted(block[order], np.arange(blocks + 1))
 
 
-def rare_columns(reps: DataFrame) -> DataFrame:
+def rare_columns(reps: DataFrame, blocks: int) -> DataFrame:
     """The shared n-grams among the rarest |x| - ceil(0.75 |x|) + 1 of each set that can have a partner: gram, rep,
     n (set size), rank (of the n-gram among the set's kept ones, rarest first), held (n-grams kept of the set) and own
     (n-grams that no other set has, in thousandths)."""
-    blocks = blocks_of(reps.sparkSession)
     names = ["gram", "rep", "n", "rank", "held", "own"]
     chunks = reps.select(F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("chunk"), "rep", "grams")
 
@@ -284,7 +285,8 @@ def _cross_pairs(cols: DataFrame, labels: DataFrame) -> DataFrame:
 def ngram_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``."""
     known = docs.filter("doc_id is not null")
-    counts = cut(shared_counts(known))
+    blocks = blocks_of(known)
+    counts = cut(shared_counts(known, blocks))
     left = counts.filter("n > 0 and (100 * shared >= %d * n or parts > 1)" % PERCENT).select("doc_id")
     sets = cut(sets_of(known, left))
     key = [F.size("grams").alias("n"), F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit("set"), "grams").alias("h2")]
@@ -292,7 +294,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     same = cut(keys.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")))
     member = keys.join(same, ["n", "h1", "h2"]).select("doc_id", "n", "rep")
     reps = sets.join(same.select("rep"), sets["doc_id"] == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "grams")
-    cols = cut(rare_columns(reps))
+    cols = cut(rare_columns(reps, blocks))
     first = cut(verified(_pivot_pairs(cols), reps))
     labels = components(first).select(F.col("node").alias("rep"), F.col("component").alias("label"))
     links = first.unionAll(verified(_cross_pairs(cols, labels), reps))
