@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 WINDOW = 64          # bytes read in one go; the state starts anew in each
 UNITS = 12           # hidden units per direction
-MAX_ROWS = 3000      # labelled rows learned from, at most
-SLICE = 320          # characters of each of them
+MAX_ROWS = 600       # labelled rows learned from, at most, whole texts
 EPOCHS, BATCH, RATE, SEED = 3, 256, 0.01, 11
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -182,14 +181,16 @@ def predict(net: ByteNetwork | None, texts: list[str | None], block: int = 1024)
 
 
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> ByteNetwork | None:
-    """Learn from the rows of least hash among those that aren't held out: a slice of each at a hashed place."""
+    """Learn from ``max_rows`` rows, those of least hash among those that aren't held out.
+
+    Their number gives a bound on the hash first, so that all tasks together send about twice the wanted rows."""
     spot = F.xxhash64(F.lit("language"), F.col("doc_id"))
-    at = F.pmod(spot, F.greatest(F.char_length("text") - SLICE, F.lit(0)).cast("long") + 1).cast("int") + 1
-    rows = (docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-            .select(spot.alias("spot"), F.substring("text", at, F.lit(SLICE)).alias("part"), "lang")
-            .orderBy("spot", "part", "lang").limit(max_rows).collect())     # at most max_rows slices
-    rows = [r for r in rows if _LETTER.search(r["part"])]
-    return train([r["part"] for r in rows], [r["lang"] for r in rows])
+    known = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    least = min(-(1 << 63) + (2 * max_rows << 64) // max(known.count(), 1), (1 << 63) - 1)
+    rows = (known.filter((spot <= F.lit(least)) & F.col("text").isNotNull()).select(spot.alias("spot"), "text", "lang")
+            .orderBy("spot", "text", "lang").limit(max_rows).collect())
+    rows = [r for r in rows if _LETTER.search(r["text"])]
+    return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
