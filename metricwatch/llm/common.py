@@ -38,11 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one is installed only where the session names none (tests)."""
+    """The folder of ``spark.checkpoint.dir``; where the session names none, one beside its tables, which executors share."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="metricwatch-ckpt-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder

@@ -86,16 +86,18 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     cut document of a source once more with the words taken. A document of size 0 is kept once. Copies keep their
     doc_id. Rows that repeat a doc_id are taken alike only if they agree in size; the first of them decides."""
     plan = mix(docs, **how).groupBy("doc_id", "size").agg(F.max("taken").alias("taken"))
-    sized = docs.withColumn("__size", word_count())
-    j = sized.join(plan.select(F.col("doc_id").alias("__id"), F.col("size").alias("__n"), F.col("taken").alias("__taken")),
-                   sized["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n")))
-    whole = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size"))).otherwise(1).cast("int")
-    rest = F.when(F.col("__size") > 0, F.col("__taken") % F.col("__size")).otherwise(0).cast("int")
-    j = j.withColumn("__copies", F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(
-        F.array().cast("array<int>"))))
-    j = j.withColumn("__part", F.explode("__copies"))
-    text = F.when(F.col("__part") > 0, first_words(F.col("text"), F.col("__part"))).otherwise(F.col("text"))
-    return j.withColumn("text", text).select(*[
-        F.when(F.col("__part") > 0, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c == "n_chars" else F.col(c) for c in docs.columns])
-
+    # the row goes along as one column, so its columns may have any name
+    sized = docs.select("doc_id", word_count().alias("size"), "text", F.struct(*docs.columns).alias("row"))
+    plan = plan.select(F.col("doc_id").alias("of"), F.col("size").alias("words"), "taken")
+    j = sized.join(plan, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("size") == F.col("words"))).select(
+        "row", "text", "size", "taken")
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
+    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
+    j = j.withColumn("part", F.explode(F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(
+        F.array().cast("array<int>")))))
+    cut_short, row = F.col("part") > 0, F.col("row")
+    j = j.withColumn("text", F.when(cut_short, first_words(F.col("text"), F.col("part"))).otherwise(F.col("text")))
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut_short, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
+    return j.select(*[new.get(c, row[c]).alias(c) for c in docs.columns])

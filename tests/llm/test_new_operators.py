@@ -200,3 +200,29 @@ def test_search_stops_before_the_ends_of_the_lists():
     every = impact.sum(axis=0)
     top = np.sort(every)[-10:]
     assert sorted(np.sort(score)[-10:]) == sorted(top) and sum(seen) < docs / 2
+
+
+# --------------------------------------------------------------------------- names of columns in the pipeline's stages
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named as the operators name their own come through as they are."""
+    from metricwatch.llm import line_dedup, mixing
+    names = ["__gone", "gone", "of", "row", "size", "words", "taken", "__size", "part", "line_id", "source", "n_chars"]
+    text = ["one long line that stands in two documents alike\nfirst", "one long line that stands in two documents alike\nsecond", None, ""]
+    df = spark.createDataFrame([(i, t, *["x"] * 10, "s", 5) for i, t in enumerate(text)],
+                               "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[:-1]) + ", n_chars long")
+    kept = line_dedup.without_repeats(df)
+    assert kept.columns == df.columns
+    got = {r["doc_id"]: r for r in kept.collect()}
+    assert got[1]["text"] == "second" and got[1]["n_chars"] == 6 and got[0]["text"] == text[0] and got[2]["text"] is None
+    assert all(r[n] == "x" for r in got.values() for n in names[:-2])
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns and all(r[n] == "x" for r in mixed.collect() for n in names[:-2])
+
+
+def test_shingle_counts_of_repeated_lines(spark):
+    """A line's number of shingles doesn't grow with the line's copies."""
+    from metricwatch.llm import line_dedup
+    line = "abcdefghij" * 5
+    texts = spark.createDataFrame([(1, line)], "line_id long, line string")
+    assert line_dedup.shaped(texts).first()["n"] == len(line) - line_dedup.SHINGLE + 1

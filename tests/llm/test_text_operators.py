@@ -471,7 +471,8 @@ def test_sql_of_the_text_queries(spark):
     from metricwatch.llm.oracle import ORACLE
     from metricwatch.llm.queries import QUERIES
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE.items():
         got, want = QUERIES[name](spark, SF), con.execute(sql).df()
         cols = sorted(got.columns)
