@@ -61,43 +61,40 @@ METRIC_LABELS = (
 )
 SEVERITY_ORDER = ("critical", "warning", "watch", "improvement")
 
-# Cross-metric hints: "<metric>" is the default for a metric, "<metric>+<other>"
-# applies when <other> is also flagged for the product ("+acos+tacos": both).
-HINTS = {
-    "margin+acos+tacos": "Ad spend likely driver — both ACoS and TACoS also flagged for this product.",
-    "margin+tacos": "Ad spend likely driver — TACoS also flagged for this product.",
-    "margin+acos": "Ad spend likely driver — ACoS also flagged for this product.",
-    "margin": "Check COGS or FBA fees — ad spend looks stable.",
-    "sales+conversion_rate": "Listing or pricing issue — conversion rate also down.",
-    "sales": "Check inventory levels, listing visibility, or ad spend.",
-    "return_rate+reason": "Top return reason on record: {reason}.",
-    "return_rate": "Check FBA returns report for this ASIN.",
-    "acos+sales": "ACoS rising while sales also declining — check bid strategy or targeting.",
-    "acos": "Review keyword bids and ad targeting.",
-    "tacos+sales": "TACoS rising as sales decline — ad spend not generating enough revenue.",
-    "tacos": "Check campaign budgets relative to total revenue.",
-    "conversion_rate+sales": "Both conversion and sales down — likely listing or pricing issue.",
-    "conversion_rate": "Check listing content, images, or recent pricing changes.",
-    "keyword_avg_rank": "Check ad spend on key terms and listing relevance.",
-    "review_rating": "Check recent reviews for quality or fulfilment complaints.",
-    "review_count": "Check for unusual review activity or Amazon review removals.",
-    "organic_top10_count": "Check listing content changes and keyword targeting.",
-}
+# Cross-metric hints, first match first (fixed values): metric, what else must be there (flagged metrics of the product,
+# or a return reason on record), text.
+HINTS = (
+    ("margin", ("acos", "tacos"), "Ad spend likely driver — both ACoS and TACoS also flagged for this product."),
+    ("margin", ("tacos",), "Ad spend likely driver — TACoS also flagged for this product."),
+    ("margin", ("acos",), "Ad spend likely driver — ACoS also flagged for this product."),
+    ("margin", (), "Check COGS or FBA fees — ad spend looks stable."),
+    ("sales", ("conversion_rate",), "Listing or pricing issue — conversion rate also down."),
+    ("sales", (), "Check inventory levels, listing visibility, or ad spend."),
+    ("return_rate", ("reason",), "Top return reason on record: {reason}."),
+    ("return_rate", (), "Check FBA returns report for this ASIN."),
+    ("acos", ("sales",), "ACoS rising while sales also declining — check bid strategy or targeting."),
+    ("acos", (), "Review keyword bids and ad targeting."),
+    ("tacos", ("sales",), "TACoS rising as sales decline — ad spend not generating enough revenue."),
+    ("tacos", (), "Check campaign budgets relative to total revenue."),
+    ("conversion_rate", ("sales",), "Both conversion and sales down — likely listing or pricing issue."),
+    ("conversion_rate", (), "Check listing content, images, or recent pricing changes."),
+    ("keyword_avg_rank", (), "Check ad spend on key terms and listing relevance."),
+    ("review_rating", (), "Check recent reviews for quality or fulfilment complaints."),
+    ("review_count", (), "Check for unusual review activity or Amazon review removals."),
+    ("organic_top10_count", (), "Check listing content changes and keyword targeting."),
+)
 
-# Plain-English sentences (placeholders in braces).
+# Sentences of the explanations (placeholders in braces).
 SENTENCES = {
-    "absolute": "{label} for {product} has hit a business-critical threshold at {actual}. "
-                "This triggers an alert regardless of trend.",
-    "yoy": "{label} for {product} is {actual} — {diff} {side} the same week last year ({yoy}). "
-           "The 14-day average was {expected}.",
-    "zscore": "{label} for {product} is {actual}{move}, {z} standard deviations {side} its 14-day average of "
-              "{expected}. This is an unusual move for this product.",
-    "fallback": "{label} for {product} is {actual} vs expected {expected}.",
-    "reason": " Top return reason: {reason}.",
-    "impact": " ~${impact}/day in lost margin.",
-    "move_up": " (increased unusually fast)",
-    "move_down": " (decreased unusually fast)",
-    "no_alerts": "{prefix} {day} | No alerts today",
+    "absolute": "{product}: {label} is {actual}, beyond a fixed business limit.",
+    "yoy": "{product}: {label} is {actual}, {diff} {side} the {yoy} of this week a year ago; last 14 days: {expected}.",
+    "zscore": "{product}: {label} is {actual}{move}, which is {z} sigma {side} the last 14 days ({expected}).",
+    "fallback": "{product}: {label} is {actual}; {expected} was expected.",
+    "reason": " Most returns say: {reason}.",
+    "impact": " Margin lost per day: about ${impact}.",
+    "move_up": " after a sudden rise",
+    "move_down": " after a sudden fall",
+    "no_alerts": "{prefix} {day} | Nothing to report",
 }
 
 
@@ -295,9 +292,8 @@ def pointed_reason(flags: Column) -> Column:
     has = lambda m: F.array_contains(F.split(F.coalesce(flags, F.lit("")), ","), F.lit(m))
     metric, reason = F.col("metric"), F.col("top_return_reason")
     out = F.when(F.lit(False), F.lit(""))
-    for key, text in HINTS.items():
-        m, *others = key.split("+")
-        if others == ["reason"]:
+    for m, others, text in HINTS:
+        if others == ("reason",):
             cond, value = (metric == m) & reason.isNotNull(), fill(text, reason=reason)
         else:
             cond = metric == m
@@ -377,3 +373,42 @@ def section_rows(day_alerts: DataFrame) -> DataFrame:
 def data_through(data_date: Column, run_date: Column, cfg: Config = DEFAULT) -> Column:
     """The data date when known, else run date − lag."""
     return F.coalesce(data_date, F.date_sub(run_date, cfg.data_lag_days))
+
+
+# ------------------------------------------------------------------ the digest document
+
+def _alert_line() -> Column:
+    """One alert as a line: label, product, value, difference to the shown baseline, that baseline."""
+    return F.concat_ws(" | ", metric_label(F.col("metric")), F.coalesce("title", "asin"),
+                       fmt_value(F.col("actual_value"), F.col("metric")), display_deviation(), display_expected())
+
+
+def digest_documents(day_alerts: DataFrame, days: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """One nested document per row of ``days`` (date): subject, data_through, top (the most severe alerts with their
+    explanations), sections (per severity, in order, its rows in tier order under their tier's head) and the body, the
+    same as text. ``day_alerts``: the capped alerts, so the arrays of a day are bounded by the caps. Days without alerts
+    have empty arrays and say so in the subject."""
+    flagged = with_flags(day_alerts)
+    line = _alert_line()
+    head = F.when(F.col("is_group_head"), F.concat(F.lit("  "), F.coalesce(tier_label(F.col("tier")), F.lit("no tier")), F.lit("\n")))
+    rows = section_rows(flagged).select(
+        "date", "section", "severity", F.struct("row_in_section", "asin", "metric", "tier", "is_group_head", F.concat(
+            F.coalesce(head, F.lit("")), F.lit("    "), line).alias("text")).alias("row"))
+    sections = rows.groupBy("date", "section", "severity").agg(F.array_sort(F.collect_list("row")).alias("rows")).select(
+        "date", F.struct("section", "severity", F.concat(F.upper("severity"), F.lit(" ("), F.size("rows").cast("string"),
+                                                         F.lit(")")).alias("title"), "rows").alias("section"))
+    sections = sections.groupBy("date").agg(F.array_sort(F.collect_list("section")).alias("sections"))
+    top = top_alerts(flagged, cfg).select("date", F.struct("position", "asin", "metric", "severity", F.concat(
+        F.col("position").cast("string"), F.lit(". ["), F.col("severity"), F.lit("] "), explanation(F.col("flags"))).alias("text")).alias("t"))
+    top = top.groupBy("date").agg(F.array_sort(F.collect_list("t")).alias("top"))
+    summary = digest_summary(day_alerts)
+    heads = summary.select("date", subject(summary, cfg).alias("subject"))
+    j = days.join(heads, "date", "left").join(top, "date", "left").join(sections, "date", "left")
+    quiet = fill(SENTENCES["no_alerts"], prefix=F.lit(cfg.subject_prefix), day=F.date_format("date", "yyyy-MM-dd"))
+    j = j.select("date", F.coalesce("subject", quiet).alias("subject"), data_through(F.col("date"), F.col("date"), cfg).alias("data_through"),
+                 F.coalesce("top", F.array().cast(top.schema["top"].dataType)).alias("top"),
+                 F.coalesce("sections", F.array().cast(sections.schema["sections"].dataType)).alias("sections"))
+    texts = lambda c: F.transform(c, lambda x: x["text"])
+    parts = F.concat(F.array(F.concat(F.lit("Data through "), F.date_format("data_through", "yyyy-MM-dd"))), texts(F.col("top")), F.flatten(
+        F.transform("sections", lambda x: F.concat(F.array(x["title"]), texts(x["rows"])))))
+    return j.withColumn("body", F.array_join(parts, "\n"))

@@ -12,8 +12,84 @@ from __future__ import annotations
 from typing import Dict, Iterable, List, Sequence
 
 from .config import DETECTION_METRICS, TIER_ORDER, Config, conversion_drop_config, fixture_config
-from .operators.alerts import (COUNT_METRICS, DOLLAR_METRICS, HINTS, METRIC_LABELS, PCT_METRICS, RANK_METRICS,
-                               RATING_METRICS, SENTENCES, SEVERITY_ORDER, SHORT_TRIGGERS, TIER_LABELS, TRIGGER_LABELS)
+
+# ---------------------------------------------------------------------------
+# The expected display units, labels and texts (fixed values), stated here once more: the plan's own tables are checked
+# against these.
+# ---------------------------------------------------------------------------
+PCT_METRICS = ("conversion_rate", "return_rate", "acos", "tacos", "margin")
+DOLLAR_METRICS = ("sales",)
+RANK_METRICS = ("keyword_avg_rank",)
+RATING_METRICS = ("review_rating",)
+COUNT_METRICS = ("review_count", "organic_top10_count")
+
+TIER_LABELS = (
+    ("homerun", "HOMERUN  (>$2.5M)"),
+    ("triple", "TRIPLE   ($1.5M–$2.5M)"),
+    ("double", "DOUBLE   ($750K–$1.5M)"),
+    ("single", "SINGLE   ($250K–$750K)"),
+    ("less_than_single", "LESS THAN A SINGLE  (<$250K)"),
+)
+TRIGGER_LABELS = (
+    ("rolling", "Short-term rolling baseline"),
+    ("yoy", "Year-over-Year baseline"),
+    ("both", "Both baselines"),
+    ("absolute_threshold", "Absolute business threshold"),
+)
+SHORT_TRIGGERS = (
+    ("rolling", "14-day avg"),
+    ("yoy", "vs last year"),
+    ("both", "14-day + YoY"),
+    ("absolute_threshold", "Business rule"),
+)
+METRIC_LABELS = (
+    ("conversion_rate", "Conversion rate"),
+    ("return_rate", "Return rate"),
+    ("acos", "ACoS"),
+    ("tacos", "TACoS"),
+    ("sales", "Sales"),
+    ("margin", "Margin"),
+    ("keyword_avg_rank", "Average keyword rank"),
+    ("review_rating", "Review rating"),
+    ("review_count", "Review count"),
+    ("organic_top10_count", "Organic Top-10 keyword count"),
+)
+SEVERITY_ORDER = ("critical", "warning", "watch", "improvement")
+
+# Hints: metric, what else must be there, text.
+HINTS = (
+    ("margin", ("acos", "tacos"), "Ad spend likely driver — both ACoS and TACoS also flagged for this product."),
+    ("margin", ("tacos",), "Ad spend likely driver — TACoS also flagged for this product."),
+    ("margin", ("acos",), "Ad spend likely driver — ACoS also flagged for this product."),
+    ("margin", (), "Check COGS or FBA fees — ad spend looks stable."),
+    ("sales", ("conversion_rate",), "Listing or pricing issue — conversion rate also down."),
+    ("sales", (), "Check inventory levels, listing visibility, or ad spend."),
+    ("return_rate", ("reason",), "Top return reason on record: {reason}."),
+    ("return_rate", (), "Check FBA returns report for this ASIN."),
+    ("acos", ("sales",), "ACoS rising while sales also declining — check bid strategy or targeting."),
+    ("acos", (), "Review keyword bids and ad targeting."),
+    ("tacos", ("sales",), "TACoS rising as sales decline — ad spend not generating enough revenue."),
+    ("tacos", (), "Check campaign budgets relative to total revenue."),
+    ("conversion_rate", ("sales",), "Both conversion and sales down — likely listing or pricing issue."),
+    ("conversion_rate", (), "Check listing content, images, or recent pricing changes."),
+    ("keyword_avg_rank", (), "Check ad spend on key terms and listing relevance."),
+    ("review_rating", (), "Check recent reviews for quality or fulfilment complaints."),
+    ("review_count", (), "Check for unusual review activity or Amazon review removals."),
+    ("organic_top10_count", (), "Check listing content changes and keyword targeting."),
+)
+
+# Sentences.
+SENTENCES = {
+    "absolute": "{product}: {label} is {actual}, beyond a fixed business limit.",
+    "yoy": "{product}: {label} is {actual}, {diff} {side} the {yoy} of this week a year ago; last 14 days: {expected}.",
+    "zscore": "{product}: {label} is {actual}{move}, which is {z} sigma {side} the last 14 days ({expected}).",
+    "fallback": "{product}: {label} is {actual}; {expected} was expected.",
+    "reason": " Most returns say: {reason}.",
+    "impact": " Margin lost per day: about ${impact}.",
+    "move_up": " after a sudden rise",
+    "move_down": " after a sudden fall",
+    "no_alerts": "{prefix} {day} | Nothing to report",
+}
 
 CFG = fixture_config()
 M = DETECTION_METRICS
@@ -495,9 +571,8 @@ def fill_sql(template: str, **parts) -> str:
 def pointed_sql(flags: str = "flags") -> str:
     has = lambda m: f"list_contains(string_split(COALESCE({flags}, ''), ','), {lit(m)})"
     whens = []
-    for key, text in HINTS.items():
-        m, *others = key.split("+")
-        if others == ["reason"]:
+    for m, others, text in HINTS:
+        if others == ("reason",):
             whens.append(f"WHEN metric = {lit(m)} AND top_return_reason IS NOT NULL THEN {fill_sql(text, reason='top_return_reason')}")
         else:
             cond = " AND ".join([f"metric = {lit(m)}"] + [has(o) for o in others])
@@ -621,6 +696,26 @@ def _build_alerts(cfg: Config = CFG) -> None:
              ELSE {subject_sql(cfg).replace('date', 's.date').replace("s.s.date", "s.date")} END AS subject,
         COALESCE(s.n_total, 0) AS n_rows, COALESCE(s.n_asins, 0) AS n_asins
         FROM (SELECT DISTINCT date FROM master) d LEFT JOIN summary s ON s.date = d.date""")
+    line = (f"concat_ws(' | ', {map_sql('metric', METRIC_LABELS)}, COALESCE(title, asin), {fmt_sql('actual_value')}, {display_deviation_sql()}, "
+            f"(CASE WHEN {YOY_FIRST} THEN {fmt_sql('yoy_baseline')} WHEN triggered_by = 'absolute_threshold' AND expected_value IS NULL "
+            f"THEN 'Business rule' ELSE {fmt_sql('expected_value')} END))")
+    _reg("digest_document", A + [
+        ("rows_", f"""SELECT date, severity, {sev_order_sql()} AS section, row_number() OVER w AS r,
+             CASE WHEN lag(COALESCE(tier, '')) OVER w IS NULL OR lag(COALESCE(tier, '')) OVER w <> COALESCE(tier, '')
+                  THEN '  ' || COALESCE({map_sql('tier', TIER_LABELS)}, 'no tier') || chr(10) ELSE '' END || '    ' || {line} AS txt
+             FROM with_flags WINDOW w AS (PARTITION BY date, severity ORDER BY {tier_rank_sql()}, asin, metric)"""),
+        ("sections_", """SELECT date, section, count(*) AS n, upper(severity) || ' (' || count(*) || ')' || chr(10)
+             || string_agg(txt, chr(10) ORDER BY r) AS txt FROM rows_ GROUP BY date, section, severity"""),
+        ("all_", """SELECT date, count(*) AS n_sections, sum(n) AS n_rows, string_agg(txt, chr(10) ORDER BY section) AS txt
+             FROM sections_ GROUP BY date"""),
+        ("top_", f"""SELECT date, count(*) AS n_top, string_agg(position || '. [' || severity || '] ' || {explanation_sql()}, chr(10)
+             ORDER BY position) AS txt FROM ({top_sql('with_flags', cfg)}) GROUP BY date""")],
+         f"""SELECT d.date, COALESCE(j.subject, {fill_sql(SENTENCES['no_alerts'], prefix=lit(cfg.subject_prefix), day="strftime(d.date, '%Y-%m-%d')")}) AS subject,
+             d.date AS data_through, concat_ws(chr(10), 'Data through ' || strftime(d.date, '%Y-%m-%d'), t.txt, a.txt) AS body,
+             CAST(COALESCE(t.n_top, 0) AS INTEGER) AS n_top, CAST(COALESCE(a.n_sections, 0) AS INTEGER) AS n_sections,
+             CAST(COALESCE(a.n_rows, 0) AS INTEGER) AS n_rows
+             FROM (SELECT DISTINCT date FROM master) d LEFT JOIN (SELECT date, {subject_sql(cfg)} AS subject FROM summary) j ON j.date = d.date
+             LEFT JOIN top_ t ON t.date = d.date LEFT JOIN all_ a ON a.date = d.date""")
     _reg("severity_breakdown", A, """SELECT 'severity' AS dimension, severity AS value, count(*) AS n FROM alerts GROUP BY severity
         UNION ALL SELECT 'triggered_by', triggered_by, count(*) FROM alerts GROUP BY triggered_by""")
     L = A + [("lb", lookback_sql(cfg))]
@@ -832,9 +927,9 @@ def _build_ingest(cfg: Config = CFG) -> None:
         UNION ALL SELECT DISTINCT file, CAST(NULL AS BIGINT), 'file left out: a record has more fields than the header',
                          CAST(NULL AS VARCHAR) FROM x WHERE long AND NOT short""")
     A = alerts_ctes(cfg)
-    _reg("alert_export", A, """SELECT * REPLACE (round(actual_value, 4) AS actual_value, round(expected_value, 4) AS expected_value,
+    _reg("alert_export", A, f"""SELECT * REPLACE (round(actual_value, 4) AS actual_value, round(expected_value, 4) AS expected_value,
         round(yoy_baseline, 4) AS yoy_baseline, round(z_score, 4) AS z_score, round(yoy_deviation, 4) AS yoy_deviation),
-        DATE '2001-11-06' AS run_date FROM alerts WHERE date = (SELECT max(date) FROM alerts)""")
+        CAST(date + {cfg.data_lag_days} AS DATE) AS run_date FROM alerts WHERE date = (SELECT max(date) FROM alerts)""")
 
 
 _build()

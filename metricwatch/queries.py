@@ -401,6 +401,17 @@ def q_digest(spark, sf_dir):
                     F.coalesce(F.col("n_asins"), F.lit(0)).alias("n_asins"))
 
 
+@query("digest_document")
+def q_digest_document(spark, sf_dir):
+    """The document of each feed day: subject, body, and the sizes of its nested parts."""
+    lo, hi = FX.ship_day_bounds(spark, sf_dir)
+    days = spark.range(1).select(F.explode(F.sequence(lo, hi)).alias("date"))
+    d = AL.digest_documents(_capped(spark, sf_dir), days, CFG)
+    n_rows = F.aggregate("sections", F.lit(0), lambda n, x: n + F.size(x["rows"]))
+    return d.select("date", "subject", "data_through", "body", F.size("top").alias("n_top"), F.size("sections").alias("n_sections"),
+                    n_rows.alias("n_rows"))
+
+
 @query("severity_breakdown")
 def q_severity_breakdown(spark, sf_dir):
     """Value counts of severity and of triggered_by over all alerts."""
@@ -737,8 +748,8 @@ def q_snapshot_scan(spark, sf_dir):
 @query("alert_export")
 def q_alert_export(spark, sf_dir):
     """The export frame of a run (5 numeric columns rounded to 4 places, run_date)."""
-    a = _materialized(spark, _alerts(spark, sf_dir))
-    return FL.alerts_export_frame(D.anchor_filter(a), "2001-11-06")
+    a = D.anchor_filter(_materialized(spark, _alerts(spark, sf_dir)))
+    return FL.alerts_export_frame(a, F.date_add("date", CFG.data_lag_days))
 
 
 # ------------------------------------------------------------------ snapshot store

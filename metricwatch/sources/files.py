@@ -171,5 +171,6 @@ def export_alerts(alerts: DataFrame, path: str, run_date) -> None:
 def alerts_export_frame(alerts: DataFrame, run_date) -> DataFrame:
     num = ("actual_value", "expected_value", "yoy_baseline", "z_score", "yoy_deviation")
     cols = [F.round(F.col(c), 4).alias(c) if c in num else F.col(c) for c in alerts.columns]
-    return alerts.select(*cols, F.lit(run_date).cast("date").alias("run_date"))
+    run = run_date if isinstance(run_date, Column) else F.lit(run_date)
+    return alerts.select(*cols, run.cast("date").alias("run_date"))
 
