@@ -6,8 +6,9 @@ the Jaccard similarity of their shingle sets reaches ``PERCENT`` %. Candidates c
 found with probability 1 - (1 - 0.75^3)^8 = 0.99). A MinHash value is the least 32-bit shingle hash XOR a mask.
 Every line is signed over all its shingles.
 
-Equal lines have one signature. In a bucket all lines are verified against its least line; then lines outside
-the bucket's largest provisional component against all others of the bucket, so a bucket never emits all its pairs.
+Equal lines have one signature. In a bucket all lines are verified against its least line, those outside its
+largest provisional component then against ``TURNS`` other members of that, and those still outside against all others of
+the bucket, so no link between different components is missed and a bucket never emits all its pairs.
 Pairs that can't reach the threshold go unverified: each line that meets another has a bit map of its shingles, and every bit in which
 two maps differ is a shingle that one line has and the other lacks. Verification is the exact Jaccard similarity. Groups are the components of verified links (distributed union-find).
 The first line by (doc_id, line number) of a group stays.
@@ -30,6 +31,7 @@ from .components import components
 SHINGLE = 9
 PERCENT = 75
 BANDS, ROWS = 8, 3
+TURNS = 2              # further members of a bucket's largest component that the others are verified against first
 MAPS = 16              # words of 64 bits in a line's bit map of shingles
 _ALL = r"(?s)(?=(.{%d}))" % SHINGLE
 
@@ -113,20 +115,36 @@ def line_links(lines: DataFrame) -> DataFrame:
         F.min("line").alias("line")).join(asked, "line_id", "left_semi"))
     shapes = cut(shaped(texts))
     of_x = shapes.select(F.col("line_id").alias("x"), *[F.col(k).alias(f"x_{k}") for k in ("n", *_maps())])
-    pairs = met.filter("line_id <> pivot").select("line_id", F.col("pivot").alias("x")).distinct()
-    pairs = pairs.join(shapes, "line_id").join(of_x, "x").filter(can_reach()).select(F.col("line_id").alias("a"), F.col("x").alias("b"))
-    first = cut(verified(pairs, texts))
-    label = components(first).select(F.col("node").alias("line_id"), F.col("component").alias("label"))
-    c = met.select("bucket", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
-    major = c.groupBy("bucket", "label").count().groupBy("bucket").agg(
-        F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
-        "bucket", F.col("top.label").alias("major"))
-    mixed = cut(c.join(major, "bucket").join(shapes, "line_id"))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (line_id, x)."""
+        able = pairs.distinct().join(shapes, "line_id").join(of_x, "x").filter(can_reach())
+        return verified(able.select(F.col("line_id").alias("a"), F.col("x").alias("b")), texts)
+
+    links = cut(links_of(met.filter("line_id <> pivot").select("line_id", F.col("pivot").alias("x"))))
+    mixed = _mixed(met, links)
+    for turn in range(TURNS):
+        pivot = mixed.filter("label = major").groupBy("bucket").agg(
+            F.min_by("line_id", F.xxhash64("line_id", F.lit(turn))).alias("x"))
+        more = links_of(mixed.filter("label <> major").join(pivot, "bucket").select("line_id", "x"))
+        links = cut(links.unionAll(more))
+        mixed = _mixed(met, links)
+    mixed = cut(mixed.join(shapes, "line_id"))
     few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), *[
         F.col(k).alias(f"x_{k}") for k in ("label", "n", *_maps())])
     cross = few.join(mixed, "bucket").filter((F.col("label") != F.col("x_label")) & can_reach()).select(
         F.greatest("x", "line_id").alias("a"), F.least("x", "line_id").alias("b")).distinct()
-    return first.unionAll(verified(cross, texts))
+    return links.unionAll(verified(cross, texts))
+
+
+def _mixed(met: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, line_id, label, major) of the buckets that hold several provisional components; major is the largest."""
+    label = components(links).select(F.col("node").alias("line_id"), F.col("component").alias("label"))
+    c = met.select("bucket", "line_id").join(label, "line_id", "left").withColumn("label", F.coalesce("label", "line_id"))
+    major = c.groupBy("bucket", "label").count().groupBy("bucket").agg(
+        F.count("*").alias("k"), F.max(F.struct("count", "label")).alias("top")).filter("k > 1").select(
+        "bucket", F.col("top.label").alias("major"))
+    return cut(c.join(major, "bucket"))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
