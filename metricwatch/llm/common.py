@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from functools import lru_cache
@@ -54,6 +55,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints of frames that nothing refers to any more: it learns of them
+    when the driver collects its garbage, which it may not need to for a long time."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_of(col: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -25,7 +25,7 @@ import random
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, likely_in
+from .common import cut, likely_in, release
 from .components import components
 
 SHINGLE = 9
@@ -110,6 +110,8 @@ def line_links(lines: DataFrame) -> DataFrame:
     full = cut(rows.groupBy("bucket").agg(F.min("line_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select(
         "bucket", "pivot"))
     met = cut(likely_in(rows, full, "bucket").join(full, "bucket"))
+    del signatures, rows, full
+    release(lines.sparkSession)
     asked = cut(met.select("line_id").distinct())
     texts = cut(likely_in(lines.select("line_id", "line"), asked, "line_id").groupBy("line_id").agg(
         F.min("line").alias("line")).join(asked, "line_id", "left_semi"))
@@ -128,8 +130,11 @@ def line_links(lines: DataFrame) -> DataFrame:
             F.min_by("line_id", F.xxhash64("line_id", F.lit(turn))).alias("x"))
         more = links_of(mixed.filter("label <> major").join(pivot, "bucket").select("line_id", "x"))
         links = cut(links.unionAll(more))
+        mixed = more = pivot = None
+        release(lines.sparkSession)
         mixed = _mixed(met, links)
     mixed = cut(mixed.join(shapes, "line_id"))
+    release(lines.sparkSession)
     few = mixed.filter("label <> major").select("bucket", F.col("line_id").alias("x"), *[
         F.col(k).alias(f"x_{k}") for k in ("label", "n", *_maps())])
     cross = few.join(mixed, "bucket").filter((F.col("label") != F.col("x_label")) & can_reach()).select(
