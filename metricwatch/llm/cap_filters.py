@@ -10,9 +10,13 @@ one. Where that takes more than ``MOST`` directions a vector, filters are made w
 
 Large groups need no pairs: identical vectors are one representative with a count; vectors within half the threshold's
 angle of their filter's mean direction (a ball) are all linked with each other by the triangle inequality, so only
-the ball's size counts. In a filter, vectors of its most frequent ball are not compared with each other; the others
-are compared with all of the filter, in blocks of ``BLOCK`` x ``BLOCK``. A pair that meets in several filters counts
-in the least of them. Blocks return per vector its number of links and one neighbour of a spanning forest.
+the ball's size counts. In a filter of more than ``BLOCK`` vectors, those of its most frequent ball are not compared
+with each other; the others are compared with all of the filter, in blocks of ``BLOCK`` x ``BLOCK``.
+
+Verification has two steps, so that filters carry little: first all vectors of a block are compared by sketches of one
+byte a component, whose error is bounded, which tells the vectors that may have a link in the block; then these alone
+are joined with their whole vectors and compared exactly. A pair that meets in several filters counts in the least of
+them. Blocks return per vector its number of links and one neighbour of a spanning forest, never the pairs.
 
 Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing; nor do rows with a
 null id. Vectors of different dimension aren't compared. Repeated rows are vectors of their own. An empty table gives
@@ -30,7 +34,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut
+from .common import cut, release
 from .components import components
 
 THRESHOLD = 0.95
@@ -38,6 +42,8 @@ RECALL, PAIRS = 0.98, 1000    # of so many random pairs at the threshold, the sh
 FILTERS, MOST = 40, 160       # directions that a vector passes, about: at first, and at most
 CROWD = 8              # unrelated vectors in a filter, about
 BLOCK = 1024           # vectors on either side of a block of comparisons
+FEW = 64               # vectors of a block that are compared row by row instead of as a product
+SPLIT_ROWS = 100_000   # split filters that are broadcast at most; more are joined by a shuffle
 BALL = 32              # vectors that share a best filter before a ball is tried
 MARGIN = 1e-9          # kept from the half angle, for rounding
 
@@ -134,8 +140,15 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _sketch(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors as one byte a component, the scale of each, and the length of what that leaves out."""
+    scale = np.abs(x).max(axis=1) / 127
+    sketch = np.rint(x / scale[:, None]).astype(np.int8)
+    return sketch, scale, np.linalg.norm(x - sketch * scale[:, None], axis=1)
+
+
 def _decoded(reps: DataFrame, threshold: float) -> DataFrame:
-    """Adds the unit vector, its filters and its best filter; filter ids carry the dimension."""
+    """Adds the unit vector, its sketch, its filters (ascending) and its best filter; filter ids carry the dimension."""
     held = reps.groupBy(F.size("v").alias("dim")).count().filter("count > 1").collect()     # one row per dimension
     sizes = {r["dim"]: code_size(r["dim"], r["count"], threshold) for r in held}
 
@@ -150,10 +163,14 @@ def _decoded(reps: DataFrame, threshold: float) -> DataFrame:
                     p = part.iloc[at:at + code.rows]
                     x = _unit(p["v"])
                     passed, best = code.decode(x)
-                    yield pd.DataFrame({"rep": p["rep"], "copies": p["copies"], "unit": list(x),
+                    sketch, scale, err = _sketch(x)
+                    yield pd.DataFrame({"rep": p["rep"], "copies": p["copies"], "v": p["v"], "unit": list(x),
+                                        "sketch": [q.tobytes() for q in sketch], "scale": scale, "err": err,
                                         "filters": [(dim << 40) + f for f in passed], "home": (dim << 40) + best})
 
-    return reps.mapInPandas(run, "rep long, copies long, unit array<double>, filters array<long>, home long")
+    kind = reps.schema["v"].dataType.simpleString()
+    return reps.mapInPandas(run, f"rep long, copies long, v {kind}, unit array<double>, sketch binary, scale double, "
+                                 "err double, filters array<long>, home long")
 
 
 def _centres(vecs: DataFrame) -> DataFrame:
@@ -182,16 +199,16 @@ def _with_balls(vecs: DataFrame, threshold: float) -> DataFrame:
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     near = dot(F.col("unit"), F.col("centre")) / F.sqrt(dot(F.col("centre"), F.col("centre")))
     least = cos(acos(threshold) / 2) + MARGIN
-    return vecs.join(_centres(vecs), "home", "left").withColumn("ball", F.when(near >= least, F.col("home"))).drop("centre", "home")
+    return vecs.join(_centres(vecs), "home", "left").withColumn("ball", F.when(near >= least, F.col("home"))).drop(
+        "centre", "home", "unit")
 
 
-def _block_links(pdf: pd.DataFrame, f: int, a: int, b: int, threshold: float) -> pd.DataFrame | None:
+def _block_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
     """Links of one block: per vector the weight of its linked vectors, and the root of its tree."""
-    left = np.flatnonzero((pdf["minor"] & (pdf["row"] == a)).to_numpy())
-    right = np.flatnonzero((pdf["col"] == b).to_numpy())
+    left, right = np.flatnonzero(pdf["left"].to_numpy()), np.flatnonzero(pdf["right"].to_numpy())
     if not len(left) or not len(right):
         return None
-    unit, rep, copies = np.stack(pdf["unit"].to_list()), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
+    unit, rep, copies = _unit(pdf["v"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
     ball = pdf["ball"].fillna(-1).to_numpy(dtype=np.int64)
     link = (unit[left] @ unit[right].T) >= threshold
     link &= rep[left][:, None] != rep[right][None, :]
@@ -208,8 +225,8 @@ def _block_links(pdf: pd.DataFrame, f: int, a: int, b: int, threshold: float) ->
         if (na == la).all() and (nb == lb).all():
             break
         la, lb = na, nb
-    lists = pdf["filters"].to_list()
-    fa, fb = [x[x < f] for x in map(np.asarray, (lists[i] for i in left))], [x[x < f] for x in map(np.asarray, (lists[i] for i in right))]
+    lists = pdf["earlier"].to_list()
+    fa, fb = [[np.asarray(lists[i], np.int64) for i in side] for side in (left, right)]
     shared = np.intersect1d(np.concatenate(fa), np.concatenate(fb))
     if len(shared):
         def table(rows):
@@ -226,26 +243,38 @@ def _block_links(pdf: pd.DataFrame, f: int, a: int, b: int, threshold: float) ->
                          "root": np.concatenate([la, lb])})
 
 
-def _filter_links(vecs: DataFrame, threshold: float) -> DataFrame:
-    """(rep, links, root) rows from the filters in which vectors of different balls, or of none, meet."""
-    held = vecs.select("ball", F.explode("filters").alias("f")).groupBy("f", "ball").count()
-    stats = held.groupBy("f").agg(F.sum("count").alias("n"),
-                                  F.max(F.when(F.col("ball").isNotNull(), F.struct("count", "ball"))).alias("top")).select(
-        F.col("f"), "n", F.coalesce("top.count", F.lit(0)).alias("major"), F.col("top.ball").alias("major_ball"))
-    stats = stats.filter("n > 1 and n > major").select(
-        "f", "major_ball", F.ceil(F.col("n") / BLOCK).cast("int").alias("cols"),
-        F.ceil((F.col("n") - F.col("major")) / BLOCK).cast("int").alias("rows"))
-    spot = F.xxhash64("rep", F.lit("block"))
-    e = vecs.withColumn("f", F.explode("filters")).join(stats, "f")
-    e = e.withColumn("minor", ~F.coalesce(F.col("ball") == F.col("major_ball"), F.lit(False))).withColumn(
-        "row", F.pmod(spot, "rows").cast("int")).withColumn("col", F.pmod(spot, "cols").cast("int"))
-    as_row = F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda j: F.struct(F.col("row").alias("a"), j.alias("b")))
-    as_col = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("a"), F.col("col").alias("b")))
-    e = e.withColumn("cell", F.explode(F.when(F.col("minor"), F.array_union(as_row, as_col)).otherwise(as_col)))
-    e = e.select("f", F.col("cell.a").alias("a"), F.col("cell.b").alias("b"), "minor", "row", "col", "rep", "copies",
-                 "ball", "unit", "filters")
-    e = e.repartition("f", "a", "b").sortWithinPartitions("f", "a", "b")
-
+def _near_sketches(pdf: pd.DataFrame, starts: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each row may have a link in its block; rows of a block lie together, from ``starts``."""
+    n, found = len(pdf), np.zeros(len(pdf), bool)
+    size = np.diff(np.r_[starts, n])
+    after = np.repeat(starts + size, size) - np.arange(n) - 1       # rows that follow in the block
+    few = np.repeat(size <= FEW, size)
+    left, right, rep = pdf["left"].to_numpy(), pdf["right"].to_numpy(), pdf["rep"].to_numpy()
+    ball, err, dims = pdf["ball"].fillna(-1).to_numpy(dtype=np.int64), pdf["err"].to_numpy(), pdf["sketch"].map(len).to_numpy()
+    for dim in np.unique(dims):
+        rows = np.flatnonzero(dims == dim)                          # one run: blocks are of one dimension, and sorted
+        base, slack = rows[0], 1e-5 + dim * 1e-7                    # slack: rounding in single precision
+        x = np.frombuffer(b"".join(pdf["sketch"].iloc[rows]), np.int8).reshape(len(rows), dim).astype(np.float32)
+        x *= pdf["scale"].to_numpy(np.float32)[rows][:, None]
+        near = lambda dot, i, j: dot + err[i] + err[j] + err[i] * err[j] + slack >= threshold
+        apart = lambda i, j: (rep[i] != rep[j]) & ((ball[i] != ball[j]) | (ball[i] < 0))
+        i, step = rows[few[rows]], 1
+        while len(i := i[after[i] >= step]):
+            j = i + step
+            hit = near(np.einsum("ij,ij->i", x[i - base], x[j - base]), i, j) & apart(i, j)
+            hit &= (left[i] & right[j]) | (left[j] & right[i])
+            found[i[hit]] = found[j[hit]] = True
+            step += 1
+        for s, k in zip(starts, size):
+            if k > FEW and dims[s] == dim:
+                i, j = s + np.flatnonzero(left[s:s + k]), s + np.flatnonzero(right[s:s + k])
+                hit = near(x[i - base] @ x[j - base].T, i[:, None], j[None, :]) & apart(i[:, None], j[None, :])
+                found[i[hit.any(axis=1)]] = found[j[hit.any(axis=0)]] = True
+    return found
+
+
+def _by_block(rows: DataFrame, make, schema: str) -> DataFrame:
+    """Applies ``make(rows, starts)`` to rows dealt by block, whole blocks at a time."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in batches:
@@ -254,18 +283,63 @@ def _filter_links(vecs: DataFrame, threshold: float) -> DataFrame:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             key = pdf[["f", "a", "b"]].to_numpy()
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            out = [_block_links(pdf.iloc[s:t], *map(int, key[s]), threshold)
-                   for s, t in zip(starts[:-1], starts[1:]) if t - s > 1]
             rest = pdf.iloc[starts[-1]:]
-            out = [x for x in out if x is not None]
-            if out:
-                yield pd.concat(out)
-        if rest is not None and len(rest) > 1:
-            x = _block_links(rest, *map(int, rest[["f", "a", "b"]].iloc[0]), threshold)
-            if x is not None:
-                yield x
+            if len(starts) > 1:
+                yield from make(pdf.iloc[:starts[-1]], starts[:-1])
+        if rest is not None:
+            yield from make(rest, np.zeros(1, np.int64))
+
+    return rows.repartition("f", "a", "b").sortWithinPartitions("f", "a", "b").mapInPandas(run, schema)
+
+
+def _blocks(vecs: DataFrame) -> DataFrame:
+    """(f, a, b, at, left, right, minor, rep, ball, sketch, scale, err): the blocks of every filter and their vectors.
+
+    A filter of at most BLOCK vectors is one block. Of a larger one, vectors out of its most frequent ball (``minor``)
+    are compared with all, ``left`` with ``right``; it has no blocks if that ball holds all of it."""
+    held = vecs.select("ball", F.explode("filters").alias("f")).groupBy("f", "ball").count()
+    stats = held.groupBy("f").agg(F.sum("count").alias("n"),
+                                  F.max(F.when(F.col("ball").isNotNull(), F.struct("count", "ball"))).alias("top"))
+    major = F.coalesce("top.count", F.lit(0))
+    large = cut(stats.filter(F.col("n") > BLOCK).select(
+        "f", F.col("top.ball").alias("major_ball"), F.ceil(F.col("n") / BLOCK).cast("int").alias("cols"),
+        F.ceil((F.col("n") - major) / BLOCK).cast("int").alias("rows")))
+    spot = F.xxhash64("rep", F.lit("block"))
+    e = vecs.select("rep", "ball", "sketch", "scale", "err", F.posexplode("filters").alias("at", "f"))
+    e = e.join(F.broadcast(large) if large.count() <= SPLIT_ROWS else large, "f", "left")
+    split = F.col("cols").isNotNull()
+    e = e.filter(~split | (F.col("rows") > 0)).withColumn(
+        "minor", ~split | ~F.coalesce(F.col("ball") == F.col("major_ball"), F.lit(False))).withColumn(
+        "row", F.when(split, F.pmod(spot, "rows")).otherwise(0).cast("int")).withColumn(
+        "col", F.when(split, F.pmod(spot, "cols")).otherwise(0).cast("int"))
+    as_row = F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda j: F.struct(F.col("row").alias("a"), j.alias("b")))
+    as_col = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("a"), F.col("col").alias("b")))
+    one = F.array(F.struct(F.col("row").alias("a"), F.col("col").alias("b")))
+    e = e.withColumn("cell", F.explode(F.when(~split, one).when(F.col("minor"), F.array_union(as_row, as_col)).otherwise(as_col)))
+    return e.select("f", F.col("cell.a").alias("a"), F.col("cell.b").alias("b"), "at",
+                    (F.col("minor") & (F.col("row") == F.col("cell.a"))).alias("left"),
+                    (F.col("col") == F.col("cell.b")).alias("right"), "minor", "rep", "ball", "sketch", "scale", "err")
+
+
+def _filter_links(vecs: DataFrame, threshold: float) -> DataFrame:
+    """(rep, links, root) rows from the filters in which vectors of different balls, or of none, meet."""
+    names = ["f", "a", "b", "at", "left", "right", "minor", "rep", "ball"]
+
+    def screen(pdf: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        yield pdf.loc[_near_sketches(pdf, starts, threshold), names]
+
+    def verify(pdf: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        found = [_block_links(pdf.iloc[s:t], threshold) for s, t in zip(starts, [*starts[1:], len(pdf)])]
+        found = [x for x in found if x is not None]
+        if found:
+            yield pd.concat(found)
 
-    return e.mapInPandas(run, "rep long, links long, root long")
+    near = cut(_by_block(_blocks(vecs), screen, "f long, a int, b int, at int, left boolean, right boolean, minor boolean, "
+                                                "rep long, ball long"))
+    release(vecs.sparkSession)
+    whole = near.join(vecs.select("rep", "copies", "v", "filters"), "rep").select(
+        *names, "copies", "v", F.slice("filters", F.lit(1), F.col("at")).alias("earlier"))
+    return _by_block(whole, verify, "rep long, links long, root long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -273,7 +347,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = vectors.select("vec_id", F.when(usable(F.col("embedding")) & F.col("vec_id").isNotNull(),
                                            F.col("embedding")).alias("v"))
     reps = cut(rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    vecs = cut(_with_balls(_decoded(reps, threshold), threshold))
+    vecs = cut(_with_balls(cut(_decoded(reps, threshold)), threshold))
     found = cut(_filter_links(vecs, threshold))
     balls = vecs.filter("ball is not null").groupBy("ball").agg(F.sum("copies").alias("held"), F.min("rep").alias("least"))
     inside = vecs.select("rep", "copies", "ball").join(balls, "ball", "left")

@@ -363,6 +363,43 @@ def test_vectors_against_brute_force(spark):
     assert cap_filters.near_vectors(empty).count() == 0
 
 
+def test_split_filters_give_the_links_of_whole_ones(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([c + s * rng.normal(size=(n, 16)) for c, s, n in
+                        [(rng.normal(size=16), 0.03, 90), (rng.normal(size=16), 0.2, 200), (rng.normal(size=(60, 16)), 0.0, 60)]])
+    rows = [(k, v.tolist(), "x", 1.0) for k, v in enumerate(x)] + [(3, x[3].tolist(), "x", 1.0)]     # a repeated row
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rep string, scale double")
+    get = lambda: sorted(tuple(r) for r in cap_filters.near_vectors(vectors).collect())
+    whole = get()
+    monkeypatch.setattr(cap_filters, "BLOCK", 16)
+    assert get() == whole and len(whole) == len(rows)
+    monkeypatch.setattr(cap_filters, "SPLIT_ROWS", 0)                  # split filters joined by a shuffle
+    assert get() == whole
+    u = np.stack([r[1] for r in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    assert sum(r[1] for r in whole) >= 0.95 * link.sum() and whole[3][1] == whole[4][1] > 0
+
+
+def test_sketches_lose_no_link():
+    rng = np.random.default_rng(9)
+    starts, n = np.array([0, 1, 6, 70, 200]), 230
+    x = np.repeat(rng.normal(size=(46, 24)), 5, axis=0) + 0.19 * rng.normal(size=(n, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sketch, scale, err = cap_filters._sketch(x)
+    left, right = rng.random(n) < 0.7, rng.random(n) < 0.7
+    pdf = pd.DataFrame({"left": left, "right": right, "rep": np.arange(n), "ball": rng.choice([np.nan, 1.0, 2.0], n),
+                        "sketch": [q.tobytes() for q in sketch], "scale": scale, "err": err})
+    cell = np.searchsorted(starts, np.arange(n), side="right")
+    ball = pdf["ball"].to_numpy()
+    link = (x @ x.T >= 0.95) & (cell[:, None] == cell) & ~np.eye(n, dtype=bool) & (ball[:, None] != ball)
+    link &= (left[:, None] & right) | (right[:, None] & left)
+    got = cap_filters._near_sketches(pdf, starts, 0.95)
+    assert link.any(axis=1).sum() > 20 and got[link.any(axis=1)].all()
+    assert not got[((x @ x.T < 0.9) | (cell[:, None] != cell) | np.eye(n, dtype=bool)).all(axis=1)].any()
+
+
 @pytest.mark.parametrize("dim, vectors", [(64, 2_000), (64, 1_000_000), (32, 100_000), (16, 100_000), (4, 100_000)])
 def test_pairs_at_the_threshold_meet_at_any_number_of_vectors(dim, vectors):
     rng = np.random.default_rng(11)
