@@ -203,13 +203,12 @@ def _with_balls(vecs: DataFrame, threshold: float) -> DataFrame:
         "centre", "home", "unit")
 
 
-def _block_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
-    """Links of one block: per vector the weight of its linked vectors, and the root of its tree."""
-    left, right = np.flatnonzero(pdf["left"].to_numpy()), np.flatnonzero(pdf["right"].to_numpy())
+def _block_links(col: dict[str, np.ndarray], s: int, t: int, threshold: float) -> tuple[np.ndarray, ...] | None:
+    """Links of the block of rows s to t: per vector the weight of its linked vectors, and the root of its tree."""
+    left, right = s + np.flatnonzero(col["left"][s:t]), s + np.flatnonzero(col["right"][s:t])
     if not len(left) or not len(right):
         return None
-    unit, rep, copies = _unit(pdf["v"]), pdf["rep"].to_numpy(), pdf["copies"].to_numpy()
-    ball = pdf["ball"].fillna(-1).to_numpy(dtype=np.int64)
+    unit, rep, copies, ball, minor = (col[k] for k in ("unit", "rep", "copies", "ball", "minor"))
     link = (unit[left] @ unit[right].T) >= threshold
     link &= rep[left][:, None] != rep[right][None, :]
     link &= (ball[left][:, None] != ball[right][None, :]) | (ball[left][:, None] < 0)
@@ -225,8 +224,7 @@ def _block_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
         if (na == la).all() and (nb == lb).all():
             break
         la, lb = na, nb
-    lists = pdf["earlier"].to_list()
-    fa, fb = [[np.asarray(lists[i], np.int64) for i in side] for side in (left, right)]
+    fa, fb = [[col["earlier"][i] for i in side] for side in (left, right)]
     shared = np.intersect1d(np.concatenate(fa), np.concatenate(fb))
     if len(shared):
         def table(rows):
@@ -237,10 +235,8 @@ def _block_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
         counted = link & ((table(fa) @ table(fb).T) == 0)
     else:
         counted = link
-    minor = pdf["minor"].to_numpy()[right]
-    links_a, links_b = counted @ copies[right], np.where(minor, 0, copies[left] @ counted)
-    return pd.DataFrame({"rep": np.concatenate([rep[left], rep[right]]), "links": np.concatenate([links_a, links_b]),
-                         "root": np.concatenate([la, lb])})
+    links_a, links_b = counted @ copies[right], np.where(minor[right], 0, copies[left] @ counted)
+    return np.concatenate([rep[left], rep[right]]), np.concatenate([links_a, links_b]), np.concatenate([la, lb])
 
 
 def _near_sketches(pdf: pd.DataFrame, starts: np.ndarray, threshold: float) -> np.ndarray:
@@ -329,10 +325,18 @@ def _filter_links(vecs: DataFrame, threshold: float) -> DataFrame:
         yield pdf.loc[_near_sketches(pdf, starts, threshold), names]
 
     def verify(pdf: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        found = [_block_links(pdf.iloc[s:t], threshold) for s, t in zip(starts, [*starts[1:], len(pdf)])]
-        found = [x for x in found if x is not None]
-        if found:
-            yield pd.concat(found)
+        col = {k: pdf[k].to_numpy() for k in ("left", "right", "minor", "rep", "copies", "earlier")}
+        col["ball"] = pdf["ball"].fillna(-1).to_numpy(dtype=np.int64)
+        dims = pdf["v"].map(len).to_numpy()
+        edge = np.r_[0, np.flatnonzero(np.diff(dims)) + 1, len(pdf)]            # blocks of one dimension lie together
+        for lo, hi in zip(edge[:-1], edge[1:]):
+            col["unit"] = np.zeros((len(pdf), dims[lo]))
+            col["unit"][lo:hi] = _unit(pdf["v"].iloc[lo:hi])
+            ends = np.r_[starts[1:], len(pdf)]
+            here = (starts >= lo) & (starts < hi)
+            found = [_block_links(col, s, t, threshold) for s, t in zip(starts[here], ends[here])]
+            if found := [x for x in found if x is not None]:
+                yield pd.DataFrame({k: np.concatenate(x) for k, x in zip(("rep", "links", "root"), zip(*found))})
 
     near = cut(_by_block(_blocks(vecs), screen, "f long, a int, b int, at int, left boolean, right boolean, minor boolean, "
                                                 "rep long, ball long"))
