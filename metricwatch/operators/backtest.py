@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, TIER_ORDER, Config
+from .distinct import day_number
 
 SEV = ("critical", "warning", "watch")
 
@@ -129,16 +130,22 @@ def floor_audit(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def date_range(alerts: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """first/last alert day, days with alerts overall and in the look-back."""
+    """first/last alert day, days with alerts overall and in the look-back.
+
+    Days are counted by bitmaps of their numbers, of which all days of 90 years make one or two."""
     pre = counts(alerts)
     newest = pre.agg(F.max("date")).scalar()
-    cutoff = F.date_sub(newest, cfg.lookback_days)
-    recent_day = F.col("date") >= cutoff
-    return pre.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-                   F.countDistinct("date").alias("n_days"),
-                   F.countDistinct(F.when(recent_day, F.col("date"))).alias("n_days_lookback"),
-                   F.sum("n").alias("n_alerts"),
-                   F.coalesce(F.sum(F.when(recent_day, F.col("n"))), F.lit(0)).alias("n_alerts_lookback"))
+    recent_day = F.col("date") >= F.date_sub(newest, cfg.lookback_days)
+    day = day_number(F.col("date"))
+    place = F.bitmap_bit_position(day)
+    parts = pre.groupBy(F.bitmap_bucket_number(day).alias("_bucket")).agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.bitmap_count(F.bitmap_construct_agg(place)).alias("n_days"),
+        F.bitmap_count(F.bitmap_construct_agg(F.when(recent_day, place))).alias("n_days_lookback"),
+        F.sum("n").alias("n_alerts"), F.sum(F.when(recent_day, F.col("n"))).alias("n_alerts_lookback"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return parts.agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), total("n_days"),
+                     total("n_days_lookback"), F.sum("n_alerts").alias("n_alerts"), total("n_alerts_lookback"))
 
 
 def tier_table(spark) -> DataFrame:

@@ -743,6 +743,10 @@ def _build_alerts(cfg: Config = CFG) -> None:
                CAST(count_if(NOT COALESCE(triggered_by = 'absolute_threshold', FALSE)) AS BIGINT) AS by_stats,
                {", ".join(f"CAST(count_if(triggered_by = 'absolute_threshold' AND severity = {lit(s)}) AS BIGINT) AS floor_{s}" for s in ("critical", "warning", "watch"))}
         FROM lb WHERE metric = 'return_rate')""")
+    _reg("distinct_products", A, """SELECT d.date, count(DISTINCT CASE WHEN a.date = d.date THEN a.asin END) AS n_asins_1,
+        count(DISTINCT CASE WHEN a.date > d.date - 7 THEN a.asin END) AS n_asins_7, count(DISTINCT a.asin) AS n_asins_30
+        FROM (SELECT DISTINCT date FROM alerts) d JOIN (SELECT DISTINCT date, asin FROM alerts) a
+        ON a.date <= d.date AND a.date > d.date - 30 GROUP BY d.date""")
     _reg("backtest_range", A, f"""SELECT min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS n_days,
         count(DISTINCT CASE WHEN date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days} THEN date END) AS n_days_lookback,
         count(*) AS n_alerts, CAST(count_if(date >= (SELECT max(date) FROM alerts) - {cfg.lookback_days}) AS BIGINT) AS n_alerts_lookback FROM alerts""")

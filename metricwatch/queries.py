@@ -20,6 +20,7 @@ from .operators import alerts as AL
 from .operators import backtest as BT
 from .operators import chunked as CH
 from .operators import detect as D
+from .operators import distinct as DC
 from .operators import master as MS
 from .operators import snapshot as SN
 from .operators import standardize as ST
@@ -439,6 +440,12 @@ for _name, _fn in (("backtest_daily", BT.daily), ("backtest_daily_stats", BT.dai
     query(_name)(lambda spark, sf_dir, _f=_fn: _f(_report_counts(spark, sf_dir), CFG))
 
 
+@query("distinct_products")
+def q_distinct_products(spark, sf_dir):
+    """Products alerted per day and in the 7 and 30 days that end with it, from merged bitmaps."""
+    return DC.trailing_products(_materialized(spark, _alerts(spark, sf_dir).select("date", "asin").distinct()))
+
+
 @query("backtest_noisiest")
 def q_backtest_noisiest(spark, sf_dir):
     """The ten products with most criticals over the look-back."""
