@@ -424,8 +424,8 @@ def test_pseudo_likelihood_prefers_the_order_of_the_corpus(spark, edge, none):
     got = {r["doc_id"]: r for r in masked_lm.pseudo_likelihood(docs).collect()}
     assert got[0]["n_words"] == len(text.split()) and got[0]["mean_log_prob"] > got[999]["mean_log_prob"] + 0.3
     types, flat = masked_lm.fit(docs)
-    net = masked_lm.WindowNetwork(len(types.cls), flat)
-    assert got[999]["log_prob"] == pytest.approx(masked_lm.log_probability(types, net, types.encode(mixed)), rel=1e-4)
+    net = masked_lm.WindowNetwork(types, flat)
+    assert got[999]["log_prob"] == pytest.approx(masked_lm.log_probability(net, types.encode(mixed)), rel=1e-4)
     rows = {(r["doc_id"], r["n_words"]): r for r in masked_lm.pseudo_likelihood(edge).collect()}
     assert rows[5, 0]["log_prob"] == 0 and rows[7, 0]["mean_log_prob"] is None and (None, 60) in rows
     assert masked_lm.pseudo_likelihood(none).count() == 0
@@ -437,9 +437,9 @@ def test_rare_words_share_the_mass_of_their_type(spark):
     types, flat = masked_lm.fit(docs, vocabulary=20, rounds=1)
     probe = spark.createDataFrame([(0, "word7x"), (1, words[-1]), (2, "zqjvkwpx"), (2, "word499x word499x"), (None, "")],
                                   "doc_id long, text string")
-    net = masked_lm.WindowNetwork(len(types.cls), flat)
+    net = masked_lm.WindowNetwork(types, flat)
     got = {(r["doc_id"], r["n_words"]): r["log_prob"] for r in masked_lm.score(probe, types, flat).collect()}
-    base = {t: masked_lm.log_probability(types, net, types.encode(t)) for t in ("word7x", words[-1], "zqjvkwpx")}
+    base = {t: masked_lm.log_probability(net, types.encode(t)) for t in ("word7x", words[-1], "zqjvkwpx")}
     assert words[-1] not in types.ids and got[0, 1] == pytest.approx(base["word7x"], abs=1e-4)
     assert got[1, 1] - base[words[-1]] == pytest.approx(np.log(2 / types.rest[masked_lm.class_of(words[-1])]), abs=1e-4)
     assert got[2, 1] < got[1, 1] - 20 and got[None, 0] == 0 and got[2, 2] < 2 * got[0, 1]
@@ -449,6 +449,59 @@ def test_rare_words_share_the_mass_of_their_type(spark):
         assert sum(n for w, n in other.items() if masked_lm.class_of(w) == c) + 1 == pytest.approx(types.rest[c])
 
 
+def test_window_network_against_plain_loops(spark):
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in ("an", "ing", "ed", "o")]
+    docs = spark.createDataFrame([(k, " ".join(rng.choice(words, 50))) for k in range(20)], "doc_id long, text string")
+    types = masked_lm.learn_types(docs, 25)
+    net = masked_lm.WindowNetwork(types)
+    net.p = [rng.normal(size=p.shape) * 0.5 for p in net.p]           # double precision
+    net.log_p = types.log_p
+    emb, w1, b1, w2, b2, u = net.p
+
+    def probability(around, t):                                       # all types one by one
+        h = np.tanh(np.concatenate([emb[i] for i in around]) @ w1 + b1)
+        of_class = np.exp(h @ w2 + b2) / np.exp(h @ w2 + b2).sum()
+        mates = [i for i in range(1, len(types.cls)) if types.cls[i] == types.cls[t]]
+        weight = {i: np.exp(h @ u[i] + types.log_p[i]) for i in mates}
+        return of_class[types.cls[t]] * weight[t] / sum(weight.values())
+
+    t = types.encode("aan bing zzz ced do aan hed")
+    pad = [0, 0, *t, 0, 0]
+    around = [[pad[k], pad[k + 1], pad[k + 3], pad[k + 4]] for k in range(len(t))]
+    assert masked_lm.log_probability(net, t) == pytest.approx(sum(np.log(probability(a, i)) for a, i in zip(around, t)))
+    assert sum(probability(around[0], i) for i in range(1, len(types.cls))) == pytest.approx(1)
+    held, _ = types.members()
+    assert max(map(len, held)) <= 2 and sum(map(len, held)) == len(types.cls) - 1     # balanced
+    a, loss = np.array(around), lambda: -net.log_prob(np.array(around), t).mean()
+    for p, g in zip(net.p, net.gradients(a, t)):
+        for at in [tuple(rng.integers(0, n) for n in p.shape) for _ in range(6)] + [np.unravel_index(np.abs(g).argmax(), g.shape)]:
+            was, eps = p[at], 1e-5
+            p[at] = was + eps
+            up = loss()
+            p[at] = was - eps
+            down = loss()
+            p[at] = was
+            assert g[at] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
+
+
+def test_the_word_depends_on_its_context_within_a_class(spark, monkeypatch):
+    """Words of one class and much the same frequency: only their neighbour tells them apart."""
+    monkeypatch.setattr(masked_lm, "SHARE", 2)
+    pairs = [(f"{c}{v}la", f"{v}{c}mo") for c in "bcdfghjk" for v in "aeiouyäö"]
+    rng = np.random.default_rng(6)
+    text = lambda: " ".join(w for i in rng.integers(0, 64, 100) for w in pairs[i])
+    docs = spark.createDataFrame([(k, text()) for k in range(400)], "doc_id long, text string").repartition(2)
+    types, flat = masked_lm.fit(docs, vocabulary=128, rounds=6)
+    net, margin = masked_lm.WindowNetwork(types, flat), []
+    for first, second in pairs:
+        one = types.ids[first]
+        for other in (w for w, _ in pairs if w != first and types.cls[types.ids[w]] == types.cls[one]):
+            around = np.array([[0, 0, types.ids[second], 0]])
+            margin.append((net.log_prob(around, np.array([one])) - net.log_prob(around, np.array([types.ids[other]])))[0])
+    assert len(margin) >= 32 and np.mean(margin) > 0.5
+
+
 # ------------------------------------------------------------------ 10 language
 
 def test_language_of_held_out_documents(spark):
