@@ -473,6 +473,9 @@ def test_window_network_against_plain_loops(spark):
     assert sum(probability(around[0], i) for i in range(1, len(types.cls))) == pytest.approx(1)
     held, _ = types.members()
     assert max(map(len, held)) <= 2 and sum(map(len, held)) == len(types.cls) - 1     # balanced
+    near, own = types.windows("aan bing zzz ced do aan hed", 1, 2)
+    assert near.tolist() == [around[k] for k in (1, 3, 5)] and own.tolist() == t[1::2].tolist()
+    assert [len(x) for x in types.windows("", 0, 2)] == [0, 0] and len(types.windows(None, 0, 2)[1]) == 0
     a, loss = np.array(around), lambda: -net.log_prob(np.array(around), t).mean()
     for p, g in zip(net.p, net.gradients(a, t)):
         for at in [tuple(rng.integers(0, n) for n in p.shape) for _ in range(6)] + [np.unravel_index(np.abs(g).argmax(), g.shape)]:
