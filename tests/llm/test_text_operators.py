@@ -507,6 +507,48 @@ def test_the_word_depends_on_its_context_within_a_class(spark, monkeypatch):
 
 # ------------------------------------------------------------------ 10 language
 
+def test_language_scores_against_plain_loops():
+    """Byte by byte, window by window: states of both directions, softmax per position, mean over a text's own bytes."""
+    labels = ["de", "en", "fr"]
+    net = language_id.ByteNetwork(labels, units=3, seed=2)
+    rng = np.random.default_rng(3)
+    for part in net.parameters():
+        part[...] = rng.normal(size=part.shape)
+    squash = lambda v: v / (1 + abs(v))
+
+    def states(d, window):
+        h, out = [0.0] * 3, []
+        for byte in window:
+            g = [sum(h[i] * float(d.cross[i, j]) for i in range(3)) for j in range(9)]
+            a = [float(v) for v in d.table[byte]]
+            z = [0.5 + 0.5 * squash(a[i] + g[i]) for i in range(3)]
+            r = [0.5 + 0.5 * squash(a[3 + i] + g[3 + i]) for i in range(3)]
+            new = [squash(a[6 + i] + r[i] * g[6 + i]) for i in range(3)]
+            h = [z[i] * h[i] + (1 - z[i]) * new[i] for i in range(3)]
+            out.append(h)
+        return out
+
+    def pooled(text):
+        raw, total = text.encode(), np.zeros(3)
+        for at in range(0, len(raw), language_id.WINDOW):
+            window = raw[at:at + language_id.WINDOW].ljust(language_id.WINDOW, b"\0")
+            ahead, back = states(net.ahead, window), states(net.back, window[::-1])[::-1]
+            for t in range(min(language_id.WINDOW, len(raw) - at)):
+                e = np.exp([sum(v * float(net.out[i, k]) for i, v in enumerate(ahead[t] + back[t])) + float(net.bias[k])
+                            for k in range(3)])
+                total += e / e.sum()
+        return total / len(raw)
+
+    texts = ["a", "grüße an alle", "x" * 64, "the quick brown fox " * 9, None, "", "12 34!", "é" * 65]
+    langs, scores = language_id.predict(net, texts, block=2)
+    for text, lang, score in zip(texts, langs, scores):
+        if text and any(c.isalpha() for c in text):
+            p = pooled(text)
+            assert lang == labels[p.argmax()] and score == pytest.approx(p.max(), abs=1e-5)
+        else:
+            assert (lang, score) == ("und", 0.0)
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
