@@ -10,9 +10,10 @@ hash of the ending without a type. The softmax over a class starts from the type
 one count of its type by a uniform model of its bytes and end.
 A document's score is the sum of the conditional log-probabilities of all its words.
 
-The network is learned from all documents: in each round every task goes on from the shared parameters over a hashed
-share of the positions of its documents, and the parameters are averaged by positions seen (two-level, in tasks).
-The share is a rate, so what is learned from grows with the input.
+Texts are looked up once: their types and their words without a type are written to the shared folder, and learning and
+scoring read those. The network is learned from every position of every document: the positions are dealt to ``SHARE``
+rounds, and in each round every task goes on from the shared parameters over the round's positions of its documents;
+then the parameters are averaged by positions seen (two-level, in tasks).
 
 Null or empty text, or text of white space, has 0 words, log-probability 0 and no mean. A null doc_id stays null;
 repeated rows are counted and scored each; other columns are ignored. An empty table gives an empty result.
@@ -20,6 +21,7 @@ repeated rows are counted and scored each; other columns are ignored. An empty t
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -35,8 +37,10 @@ CLASSES = 64
 ENDING = 2             # last letters that give the class
 WIDTH, HIDDEN = 16, 32
 SIDES = (-2, -1, 1, 2)
-ROUNDS, SHARE = 2, 16  # rounds of learning; one of SHARE positions is learned from in each
+ROUNDS, SHARE = 2, 2   # rounds of learning; one of SHARE positions is learned from in each, another one in the next
 BATCH, RATE = 2048, 0.02
+EARLY, LARGER = 64, 4  # after EARLY steps batches are LARGER times as large
+TEXTS = 256            # texts looked up, learned from or scored at a time
 BLOCK = 8192           # parameters averaged at a time
 SCORED = 32768         # positions scored at a time
 
@@ -85,25 +89,26 @@ class Types:
 
     def types_of(self, words: list[str], rare: list[str] | None = None) -> np.ndarray:
         """Types of the words; those without a type of their own are added to ``rare``."""
-        get = self.ids.get
+        get, ends = self.ids.get, {}
         t = np.array([get(w, 0) for w in words], dtype=np.int32)
-        for k in np.flatnonzero(t == 0).tolist():
-            t[k] = 1 + class_of(words[k])
-            if rare is not None:
-                rare.append(words[k])
+        at = np.flatnonzero(t == 0)
+        other = [words[k] for k in at.tolist()]
+        for w in other:
+            if w[-ENDING:] not in ends:
+                ends[w[-ENDING:]] = 1 + class_of(w)
+        t[at] = [ends[w[-ENDING:]] for w in other]
+        if rare is not None:
+            rare += other
         return t
 
     def encode(self, text: str | None, rare: list[str] | None = None) -> np.ndarray:
         return self.types_of(words_of(text), rare)
 
     def windows(self, text: str | None, first: int, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """Types around every ``step``-th word from ``first``, and its own; only these words are looked up."""
-        words = words_of(text)
-        at = np.arange(first, len(words), step)[:, None] + np.array((*SIDES, 0))
-        inside = (at >= 0) & (at < len(words))
-        t = np.zeros(at.shape, np.int32)
-        t[inside] = self.types_of([words[i] for i in at[inside].tolist()])
-        return t[:, :-1], t[:, -1]
+        """Types around every ``step``-th word from ``first``, and its own."""
+        t = self.encode(text)
+        at = np.arange(first, len(t), step)
+        return neighbours(t, at), t[at]
 
 
 def learn_types(docs: DataFrame, vocabulary: int = VOCABULARY) -> Types:
@@ -153,95 +158,164 @@ class WindowNetwork:
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.p])
 
+    def _by_class(self, target: np.ndarray) -> np.ndarray:
+        """An order of the rows in which those of a class follow each other."""
+        return np.argsort(self.cls[target].astype(np.uint8), kind="stable")
+
     def _classes(self, target: np.ndarray):
-        """(types of a class, rows of ``target`` in it) of every class that occurs."""
-        c = self.cls[target]
-        order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(CLASSES + 1))
+        """(types of a class, first row, end) of every class that occurs, for rows in the order of ``_by_class``."""
+        edges = np.searchsorted(self.cls[target], np.arange(CLASSES + 1))
         for k in np.flatnonzero(np.diff(edges)):
-            yield self.members[k], order[edges[k]:edges[k + 1]]
+            yield self.members[k], edges[k], edges[k + 1]
+
+    def _small(self) -> bool:
+        """Whether exponentials neither overflow nor vanish all, without their largest taken off (|h| < 1)."""
+        w2, b2, u = self.p[3:]
+        return np.abs(u).sum(axis=1).max() < 60 and (np.abs(w2).sum(axis=0) + np.abs(b2)).max() < 60
 
     def log_prob(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target type | neighbours) for rows of neighbour types: its class, then the type in it."""
         emb, w1, b1, w2, b2, u = self.p
-        h = np.tanh(emb[around].reshape(len(around), -1) @ w1 + b1)
-        z = h @ w2 + b2
-        z -= z.max(axis=1, keepdims=True)
-        out = z[np.arange(len(target)), self.cls[target]] - np.log(np.exp(z).sum(axis=1))
-        small = np.abs(u).sum(axis=1).max() < 60            # |h| < 1: exponentials neither overflow nor vanish all
-        for m, rows in self._classes(target):
-            z = h[rows] @ u[m].T
-            z += self.log_p[m]
+        order = self._by_class(target)
+        y = target[order]
+        h = np.tanh(emb[around[order]].reshape(len(y), -1) @ w1 + b1)
+        small, each = self._small(), np.arange(len(y))
+
+        def log_softmax(z, y):
             if not small:
                 z -= z.max(axis=1, keepdims=True)
-            out[rows] += z[np.arange(len(rows)), self.place[target[rows]]]
-            out[rows] -= np.log(np.exp(z, out=z).sum(axis=1))
+            own = z[each[:len(y)], y]
+            return own - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype))
+
+        out = np.empty(len(y), h.dtype)
+        out[order] = log_softmax(h @ w2 + b2, self.cls[y])
+        for m, lo, hi in self._classes(y):
+            z = h[lo:hi] @ u[m].T
+            z += self.log_p[m]
+            out[order[lo:hi]] += log_softmax(z, self.place[y[lo:hi]])
         return out
 
     def gradients(self, around: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
         """Of the mean of -log_prob, in the order of the parameters."""
         emb, w1, b1, w2, b2, u = self.p
-        x = emb[around].reshape(len(around), -1)
+        order = self._by_class(target)
+        around, y = around[order], target[order]
+        x = emb[around].reshape(len(y), -1)
         h = np.tanh(x @ w1 + b1)
+        small, each = self._small(), np.arange(len(y))
 
         def slope(z, y):
-            z -= z.max(axis=1, keepdims=True)
+            if not small:
+                z -= z.max(axis=1, keepdims=True)
             d = np.exp(z, out=z)
-            d /= d.sum(axis=1, keepdims=True)
-            d[np.arange(len(y)), y] -= 1
-            d /= len(target)
+            d /= (d @ np.full(d.shape[1], len(target), d.dtype))[:, None]
+            d[each[:len(y)], y] -= 1 / len(target)
             return d
 
-        d = slope(h @ w2 + b2, self.cls[target])
+        d = slope(h @ w2 + b2, self.cls[y])
         dh, d_u = d @ w2.T, np.zeros_like(u)
-        for m, rows in self._classes(target):
-            e = slope(h[rows] @ u[m].T + self.log_p[m], self.place[target[rows]])
-            dh[rows] += e @ u[m]
-            d_u[m] = e.T @ h[rows]
+        for m, lo, hi in self._classes(y):
+            of = u[m]
+            z = h[lo:hi] @ of.T
+            z += self.log_p[m]
+            e = slope(z, self.place[y[lo:hi]])
+            dh[lo:hi] += e @ of
+            d_u[m] = e.T @ h[lo:hi]
         dh *= 1 - h * h
-        d_emb, order = np.zeros_like(emb), np.argsort(around, axis=None, kind="stable")
-        used, starts = np.unique(around.ravel()[order], return_index=True)
+        near = around.ravel().astype(np.uint16 if len(emb) <= 1 << 16 else np.int64)      # two bytes sort faster
+        d_emb, order = np.zeros_like(emb), np.argsort(near, kind="stable")
+        used, starts = np.unique(near[order], return_index=True)
         d_emb[used] = np.add.reduceat((dh @ w1.T).reshape(-1, WIDTH)[order], starts, axis=0)
-        return [d_emb, x.T @ dh, dh.sum(axis=0), h.T @ d, d.sum(axis=0), d_u]
+        one = np.ones(len(y), h.dtype)
+        return [d_emb, x.T @ dh, one @ dh, h.T @ d, one @ d, d_u]
+
+
+def padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The types of texts one after the other, two edges (0) before, between and after them, and the words' places."""
+    edge, sizes = np.zeros(2, np.int32), np.array([len(t) for t in texts], np.int64)
+    start = np.repeat(2 * np.arange(1, len(sizes) + 1), sizes)
+    return np.concatenate([edge, *[a for t in texts for a in (t, edge)]]), start + np.arange(sizes.sum())
 
 
 def neighbours(types: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Types on either side of the positions ``at`` (0 beyond the edges)."""
-    pad = np.concatenate([[0, 0], types, [0, 0]])
-    return pad[at[:, None] + (np.array(SIDES) + 2)]
+    return padded([types])[0][at[:, None] + (np.array(SIDES) + 2)]
+
+
+def encoded(docs: DataFrame, types: Types) -> DataFrame:
+    """(row, doc_id, types, rare) of every whole text, written to the shared folder: its words' types as 32-bit integers
+    (16 bits where that holds them all) and its words without a type of their own."""
+    from .common import shared_dir
+    spark, known = docs.sparkSession, docs.sparkSession.sparkContext.broadcast(types)
+    form = _form(types)
+
+    def code(batches):
+        ty, row = known.value, TaskContext.get().partitionId() << 36
+        for whole in batches:
+            for i in range(0, len(whole), TEXTS):
+                pdf = whole.iloc[i:i + TEXTS].reset_index(drop=True)
+                rare = [[] for _ in range(len(pdf))]
+                yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "doc_id": pdf["doc_id"].astype("Int64"),
+                                    "types": [ty.encode(t, r).astype(form).tobytes() for t, r in zip(pdf["text"], rare)],
+                                    "rare": rare})
+                row += len(pdf)
+
+    folder = f"{shared_dir(spark).rstrip('/')}/masked-{uuid.uuid4().hex}"
+    coded = docs.select("doc_id", "text").mapInPandas(code, "row long, doc_id long, types binary, rare array<string>")
+    coded.write.parquet(folder)
+    known.unpersist()
+    return spark.read.parquet(folder)
+
+
+def _form(types: Types) -> str:
+    return "<u2" if len(types.cls) <= 1 << 16 else "<i4"
 
 
-def _train_round(docs: DataFrame, types, flat, number: int) -> np.ndarray:
-    """One pass of every task from the shared parameters; the average by positions seen."""
-    sc = docs.sparkSession.sparkContext
+def _dealt(whole: pd.DataFrame, form: str, number: int, share: int):
+    """(types around, own types) of a round's positions, some texts at a time: by a word's place and its text's row."""
+    for i in range(0, len(whole), TEXTS):
+        pdf = whole.iloc[i:i + TEXTS]
+        texts = [np.frombuffer(b, form) for b in pdf["types"]]
+        pads, at = padded(texts)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = at[(place + np.repeat(pdf["row"].to_numpy(), sizes) + number) % share == 0]
+        if len(at):
+            yield pads[at[:, None] + np.array(SIDES)], pads[at]
+
+
+def _train_round(coded: DataFrame, types, flat, number: int) -> np.ndarray:
+    """One pass of every task from the shared parameters over its texts' positions of this round, every ``SHARE``-th of
+    them; the average by positions seen. Of ``SHARE`` rounds each takes other positions, together all."""
+    sc = coded.sparkSession.sparkContext
     known, start = sc.broadcast(types), sc.broadcast(flat)      # fixed by VOCABULARY and WIDTH, under 3 MB
+    form, share = _form(types), SHARE
 
     def learn(batches):
-        ty = known.value
-        net = WindowNetwork(ty, start.value)
+        net, rng = WindowNetwork(known.value, start.value), np.random.default_rng(number)
         m, v = [np.zeros_like(p) for p in net.p], [np.zeros_like(p) for p in net.p]
         step, seen, around, target, held = 0, 0, [], [], 0
 
         def update():
             nonlocal step, around, target, held
             a, y = np.concatenate(around), np.concatenate(target)
-            for i in range(0, len(a), BATCH):
-                step += 1
-                for p, g, q, r in zip(net.p, net.gradients(a[i:i + BATCH], y[i:i + BATCH]), m, v):
+            mixed, i = rng.permutation(len(a)), 0
+            while i < len(a):
+                some = mixed[i:i + (BATCH if step < EARLY else BATCH * LARGER)]
+                i, step = i + len(some), step + 1
+                for p, g, q, r in zip(net.p, net.gradients(a[some], y[some]), m, v):
                     q += 0.1 * (g - q)
                     r += 0.01 * (g * g - r)
                     p -= RATE * (q / (1 - 0.9 ** step)) / (np.sqrt(r / (1 - 0.99 ** step)) + 1e-6)
             around, target, held = [], [], 0
 
-        for pdf in batches:
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                near, t = ty.windows(text, (zlib.crc32(str(doc_id).encode()) + number * 7) % SHARE, SHARE)
-                if len(t):
-                    around.append(near)
-                    target.append(t)
-                    held += len(t)
-                    seen += len(t)
-                if held >= 16 * BATCH:
+        for whole in batches:
+            for a, y in _dealt(whole, form, number, share):
+                around.append(a)
+                target.append(y)
+                held += len(y)
+                seen += len(y)
+                if held >= 16 * BATCH * LARGER:
                     update()
         if held:
             update()
@@ -256,25 +330,40 @@ def _train_round(docs: DataFrame, types, flat, number: int) -> np.ndarray:
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "task": [0], "weight": [w.sum()], "values": [mean.astype(np.float32)]})
 
     schema = "block long, task int, weight double, values array<float>"
-    parts = docs.select("doc_id", "text").mapInPandas(learn, schema)
+    parts = coded.select("row", "types").mapInPandas(learn, schema)
     some = parts.groupBy("block", F.col("task") % 64).applyInPandas(lambda k, p: average(p), schema)
     rows = some.groupBy("block").applyInPandas(average, schema).orderBy("block").collect()     # the parameters, once
     known.unpersist()
     return np.concatenate([r["values"] for r in rows]).astype(np.float32) if rows else flat
 
 
+def _learn(coded: DataFrame, types: Types, rounds: int) -> np.ndarray:
+    flat = WindowNetwork(types).flat()
+    for number in range(max(rounds, SHARE)):            # every position has its turn
+        flat = _train_round(coded, types, flat, number)
+    return flat
+
+
 def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> tuple[Types, np.ndarray]:
     types = learn_types(docs, vocabulary)
-    flat = WindowNetwork(types).flat()
-    for number in range(rounds):
-        flat = _train_round(docs, types, flat, number)
-    return types, flat
+    return types, _learn(encoded(docs, types), types, rounds)
 
 
 def log_probability(net: WindowNetwork, t: np.ndarray) -> float:
     """Sum over positions of log p(type | both sides), without p(word | type)."""
-    blocks = [np.arange(i, min(i + SCORED, len(t))) for i in range(0, len(t), SCORED)]
-    return float(sum(net.log_prob(neighbours(t, at), t[at]).sum(dtype=np.float64) for at in blocks))
+    return float(_scores(net, [t])[0])
+
+
+def _scores(net: WindowNetwork, texts: list[np.ndarray]) -> np.ndarray:
+    """``log_probability`` of each text; many short ones share one pass."""
+    pads, at = padded(texts)
+    each = np.empty(len(at))
+    for j in range(0, len(at), SCORED):
+        a = at[j:j + SCORED]
+        each[j:j + SCORED] = net.log_prob(pads[a[:, None] + np.array(SIDES)], pads[a])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends, run_sum = np.cumsum(sizes), np.concatenate([[0.0], np.cumsum(each)])
+    return run_sum[ends] - run_sum[ends - sizes]
 
 
 def score(docs: DataFrame, types: Types, flat: np.ndarray) -> DataFrame:
@@ -282,48 +371,35 @@ def score(docs: DataFrame, types: Types, flat: np.ndarray) -> DataFrame:
 
     Tasks score the types; words without a type of their own are joined with the counts by word.
     """
-    from .common import cut
-    sc = docs.sparkSession.sparkContext
-    known, weights = sc.broadcast(types), sc.broadcast(flat)
+    return _score(encoded(docs, types), types, flat)
+
+
+def _score(coded: DataFrame, types: Types, flat: np.ndarray) -> DataFrame:
+    sc = coded.sparkSession.sparkContext
+    known, weights, form = sc.broadcast(types), sc.broadcast(flat), _form(types)
 
     def run(batches):
-        ty = known.value
-        net = WindowNetwork(ty, weights.value)
-        row = TaskContext.get().partitionId() << 36
-        for pdf in batches:
-            n, s, rare = [], [], []
-            for i in range(0, len(pdf), 256):            # many short documents share one pass
-                ts = []
-                for text in pdf["text"].iloc[i:i + 256]:
-                    rare.append([])
-                    ts.append(ty.encode(text, rare[-1]))
-                sizes = np.array([len(t) for t in ts])
-                pads = np.concatenate([np.concatenate([t, [0, 0]]) for t in ts])
-                at = np.flatnonzero(np.concatenate([np.r_[np.ones(k, bool), False, False] for k in sizes]))
-                each = np.empty(len(at))
-                for j in range(0, len(at), SCORED):
-                    a = at[j:j + SCORED]
-                    each[j:j + SCORED] = net.log_prob(neighbours(pads, a), pads[a])
-                ends = np.cumsum(sizes)
-                run_sum = np.concatenate([[0.0], np.cumsum(each)])
-                n += sizes.tolist()
-                s += (run_sum[ends] - run_sum[ends - sizes]).tolist()
-            yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "doc_id": pdf["doc_id"].astype("Int64"), "n_words": n,
-                                "log_prob": s, "rare": rare})
-            row += len(pdf)
-
-    rows = cut(docs.select("doc_id", "text").mapInPandas(
-        run, "row long, doc_id long, n_words long, log_prob double, rare array<string>"))
-    rare = rows.select("row", F.explode("rare").alias("word")).join(types.counts.select("word", "n"), "word", "left")
+        net = WindowNetwork(known.value, weights.value)
+        for whole in batches:
+            for i in range(0, len(whole), TEXTS):
+                pdf = whole.iloc[i:i + TEXTS].reset_index(drop=True)
+                texts = [np.frombuffer(b, form) for b in pdf["types"]]
+                yield pd.DataFrame({"row": pdf["row"].to_numpy(), "doc_id": pdf["doc_id"].astype("Int64"),
+                                    "n_words": [len(t) for t in texts], "log_prob": _scores(net, texts)})
+
+    rows = coded.select("row", "doc_id", "types").mapInPandas(run, "row long, doc_id long, n_words long, log_prob double")
+    rare = coded.select("row", F.explode("rare").alias("word")).join(types.counts.select("word", "n"), "word", "left")
     cls = F.pmod(F.crc32(F.encode(F.substring("word", -ENDING, ENDING), "utf-8")), F.lit(CLASSES)).cast("int")   # as class_of
     log_rest = F.array(*[F.lit(log(x)) for x in types.rest])[cls]
     unseen = -(F.octet_length("word") + 1) * log(257)          # its bytes and its end, equally likely each
     share = F.coalesce(F.log("n"), unseen) - log_rest
     own = rare.groupBy("row").agg(F.sum(share).alias("own"))
-    out = rows.drop("rare").join(own, "row", "left").select(
+    out = rows.join(own, "row", "left").select(
         "doc_id", "n_words", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 
 def pseudo_likelihood(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
-    return score(docs, *fit(docs, vocabulary, rounds))
+    types = learn_types(docs, vocabulary)
+    coded = encoded(docs, types)
+    return _score(coded, types, _learn(coded, types, rounds))

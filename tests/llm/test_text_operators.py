@@ -488,6 +488,28 @@ def test_window_network_against_plain_loops(spark):
             assert g[at] == pytest.approx((up - down) / (2 * eps), abs=1e-6)
 
 
+def test_every_position_is_learned_from_once(spark, monkeypatch):
+    """Whatever the number of rounds asked for: the targets of all rounds are all words of all texts."""
+    told = []
+    each_round = masked_lm._train_round
+    monkeypatch.setattr(masked_lm, "_train_round", lambda coded, types, flat, number: told.append(
+        (coded, types, number)) or each_round(coded, types, flat, number))
+    texts = ["one", "one two", "one two three four five six seven", None, "", "x " * 700, "a b c"] * 3
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    types, flat = masked_lm.fit(docs, rounds=1)
+    want = sorted(t for text in texts for t in types.encode(text).tolist())
+    assert len(told) == masked_lm.SHARE and len(want) == 3 * (1 + 2 + 7 + 700 + 3)
+    got = []
+    for coded, types, number in told:
+        targets = list(masked_lm._dealt(coded.toPandas(), masked_lm._form(types), number, masked_lm.SHARE))
+        got += [t for _, y in targets for t in y.tolist()]
+        assert all(len(a) == len(y) and a.shape[1] == len(masked_lm.SIDES) for a, y in targets)
+    assert sorted(got) == want
+    coded = told[0][0].toPandas()
+    assert sorted(len(w) for w in coded["rare"]) == sorted(sum(w not in types.ids for w in masked_lm.words_of(t)) for t in texts)
+    assert np.isfinite(flat).all()
+
+
 def test_the_word_depends_on_its_context_within_a_class(spark, monkeypatch):
     """Words of one class and much the same frequency: only their neighbour tells them apart."""
     monkeypatch.setattr(masked_lm, "SHARE", 2)
