@@ -7,7 +7,8 @@ Lines go in, records with columns come out; the batch reader and the landing str
 2. Lines become records. A line ends inside a quoted field or not, depending on whether it began inside one; only files
    in which a line opens such a field need that state carried from line to line, all others go line by line.
 3. Each file's first record is its header. Records meet their header in a table of one row per file and are parsed by it,
-   so files with other columns, or the same columns in another order, land in one table by column name.
+   once, into the shared checkpoint folder, so files with other columns, or the same columns in another order, land in one
+   table by column name. On the way a file goes by a number, not by its path.
 4. Nothing is lost unseen: every listed file that gave no record, every file left out and every record whose number of
    fields differs from its header's is in ``rejects``.
 
@@ -77,14 +78,14 @@ def scan_lines(spark: SparkSession, paths: List[str]) -> DataFrame:
 
 
 def numbered(lines: DataFrame) -> DataFrame:
-    """The lines with ``row``, the line's place in its file, from 0, without sorting a file in one task.
+    """The lines (file, block, mid, ...) with ``row``, the line's place in its file, from 0, without sorting a file in one task.
 
     Inside a split, ``mid`` is contiguous; splits of a file follow each other by offset. A table of one row per split
     gives each split's start by a running sum over the file's splits."""
-    splits = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("mid").alias("first"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    start = splits.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("start"))
-    return lines.join(start, ["path", "block"]).withColumn("row", F.col("start") + F.col("mid")).drop("start")
+    splits = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("mid").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    start = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("start"))
+    return lines.join(start, ["file", "block"]).withColumn("row", F.col("start") + F.col("mid")).drop("start")
 
 
 def _opens(line: Column) -> Column:
@@ -101,7 +102,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
 
 
 def quoted_records(lines: DataFrame) -> DataFrame:
-    """(path, row, value, closed) of the records of files with line breaks in quoted fields; ``row`` counts records from 0,
+    """(file, row, value, closed) of the records of files with line breaks in quoted fields; ``row`` counts records from 0,
     ``closed`` is false where the file ends inside one.
 
     A line maps the state before it (inside a quoted field or not) to the state after it: it keeps the state, swaps it
@@ -109,7 +110,7 @@ def quoted_records(lines: DataFrame) -> DataFrame:
     inside = F.concat(F.lit('"'), F.col("value"))
     df = numbered(lines).withColumn("quote", F.col("value").contains('"'))
     df = df.withColumn("out", _opens(F.col("value"))).withColumn("in", ~F.col("quote") | _opens(inside))
-    w = Window.partitionBy("path").orderBy("row")
+    w = Window.partitionBy("file").orderBy("row")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     df = df.withColumn("odd", F.sum((F.col("out") & ~F.col("in")).cast("long")).over(run) % 2 == 1)
     df = df.withColumn("set", F.when(F.col("out") == F.col("in"), F.col("out") != F.col("odd")))
@@ -117,13 +118,13 @@ def quoted_records(lines: DataFrame) -> DataFrame:
     starts = ~F.coalesce(F.lag("after").over(w), F.lit(False))
     end = F.last("after").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     df = df.withColumn("start", F.sum(starts.cast("long")).over(run) - 1).withColumn("closed", ~end)    # the record's place
-    df = df.withColumn("first", starts).withColumn("last", F.max("start").over(Window.partitionBy("path")))
+    df = df.withColumn("first", starts).withColumn("last", F.max("start").over(Window.partitionBy("file")))
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "value"))), lambda x: x["value"]), "\n")
     # a field that is never closed would be one record of the whole rest: it isn't put together
-    good = df.filter("closed").groupBy("path", F.col("start").alias("row")).agg(whole.alias("value"))
+    good = df.filter("closed").groupBy("file", F.col("start").alias("row")).agg(whole.alias("value"))
     bad = df.filter(~F.col("closed") & F.col("first") & (F.col("start") == F.col("last")))
-    return good.select("path", "row", "value", F.lit(True).alias("closed")).unionAll(
-        bad.select("path", F.col("start").alias("row"), "value", F.lit(False)))
+    return good.select("file", "row", "value", F.lit(True).alias("closed")).unionAll(
+        bad.select("file", F.col("start").alias("row"), "value", F.lit(False)))
 
 
 def column_names(header: str) -> List[str]:
@@ -155,28 +156,28 @@ def parse(lines: DataFrame, listed: DataFrame | None = None, entry: Column | Non
 
     ``listed`` (path) are the files asked for, to report those without a record. ``entry``: names below the folder, the
     load order, as an expression on ``path``."""
-    facts = written(file_facts(lines))
-    known = lines.join(facts, "path")
-    plain = numbered(known.filter(~F.col("quoted"))).select(
-        "path", "utf8", "row", "value", F.lit(True).alias("closed"),
-        ((F.col("block") == F.col("first.block")) & (F.col("mid") == F.col("first.mid"))).alias("head"))
-    records = plain
+    facts = written(file_facts(lines).withColumn("file", F.monotonically_increasing_id()))
+    first = (F.col("block") == F.col("first.block")) & (F.col("mid") == F.col("first.mid"))
+    known = lines.join(facts, "path").select("file", "block", "mid", "value", "utf8", "quoted", first.alias("head"))
+    records = numbered(known.filter(~F.col("quoted"))).select("file", "utf8", "row", "value", F.lit(True).alias("closed"), "head")
     if not facts.filter("quoted").isEmpty():
-        whole = written(quoted_records(known.filter("quoted").select("path", "block", "mid", "value")))
-        top = whole.filter(F.col("closed") & ~F.col("value").rlike(BLANK)).groupBy("path").agg(F.min("row").alias("top"))
-        records = plain.unionAll(whole.join(top, "path", "left").join(facts.select("path", "utf8"), "path").select(
-            "path", "utf8", "row", "value", "closed", F.coalesce(F.col("row") == F.col("top"), F.lit(False))))
+        whole = written(quoted_records(known.filter("quoted").select("file", "block", "mid", "value")))
+        top = whole.filter(F.col("closed") & ~F.col("value").rlike(BLANK)).groupBy("file").agg(F.min("row").alias("top"))
+        tops = facts.filter("quoted").select("file", "utf8").join(top, "file", "left")
+        records = records.unionAll(whole.join(tops, "file").select(
+            "file", "utf8", "row", "value", "closed", F.coalesce(F.col("row") == F.col("top"), F.lit(False))))
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     records = records.filter(~F.col("value").rlike(BLANK)).withColumn("record", F.when(F.col("utf8"), F.col("value")).otherwise(latin))
-    header = written(records.filter("head").select("path", F.regexp_replace("record", "^\ufeff", "").alias("header")))
+    header = written(records.filter("head").select("file", F.regexp_replace("record", "^\ufeff", "").alias("header")))
     place = entry if entry is not None else F.split(decoded(no_scheme(F.col("path"))), "/")
-    headers = [r["header"] for r in header.groupBy("header").agg(F.min(place).alias("at")).orderBy("at").collect()]
+    headers = [r["header"] for r in header.join(facts.select("file", "path"), "file").groupBy("header").agg(
+        F.min(place).alias("at")).orderBy("at").collect()]
     names = {h: column_names(h) for h in headers}                                        # one per kind of file
     columns: dict = {}
     for h in headers:
         for n in names[h]:
             columns.setdefault(n.lower(), n)
-    body = records.filter(~F.col("head")).join(header, "path", "left")
+    body = records.filter(~F.col("head")).join(header, "file", "left")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "quote": '"', "escape": '"'}
     # one column per kind of file, null for the other kinds; a record is parsed once, by its own header
     df = body.select("*", *[F.when(F.col("closed") & (F.col("header") == h), F.from_csv(
@@ -191,15 +192,19 @@ def parse(lines: DataFrame, listed: DataFrame | None = None, entry: Column | Non
         made = F.struct(*cells, delta.alias("delta"))
         parsed = F.when(s.isNotNull(), made) if parsed is None else parsed.when(s.isNotNull(), made)
     df = df.withColumn("p", parsed if parsed is not None else F.struct(F.lit(None).cast("int").alias("delta")))
-    told = df.select("path", "row", "record", "closed", F.col("p.delta").alias("delta"))
-    bad = told.filter("not closed or delta <> 0").withColumn("reason", F.when(~F.col("closed"), UNCLOSED).when(
-        F.col("delta") > 0, LONG).otherwise(SHORT))
-    rejects = bad.select("path", "row", "reason", "record")
+    told = ~F.col("closed") | (F.col("p.delta") != 0)
+    # written, as files left out, rejects and rows all go on from it; the text of a record stays where it is reported
+    df = written(df.select("file", "row", "closed", "p", F.when(told, F.col("record")).alias("record")))
+    bad = df.filter(told).withColumn("reason", F.when(~F.col("closed"), UNCLOSED).when(F.col("p.delta") > 0, LONG).otherwise(SHORT))
+    of = facts.select("file", "path")
+    rejects = bad.join(of, "file").select("path", "row", "reason", "record")
     kept = df.filter(F.col("closed") & (F.col("p.delta") <= 0))
     if on_long == "file":
-        out = written(told.filter("delta > 0").select("path").distinct())
-        kept = kept.join(out, "path", "left_anti")
-        rejects = rejects.unionAll(out.select("path", F.lit(None).cast("long"), F.lit(LEFT_OUT), F.lit(None).cast("string")))
+        out = written(df.filter("p.delta > 0").select("file").distinct())
+        kept = kept.join(out, "file", "left_anti")
+        rejects = rejects.unionAll(out.join(of, "file").select(
+            "path", F.lit(None).cast("long"), F.lit(LEFT_OUT), F.lit(None).cast("string")))
+    kept = kept.join(of, "file")
     if listed is not None:
         seen = facts.filter("first is not null").select(decoded(no_scheme(F.col("path"))).alias("_p"))
         none = listed.select("path").distinct().join(seen, no_scheme(F.col("path")) == F.col("_p"), "left_anti")

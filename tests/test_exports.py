@@ -119,3 +119,18 @@ def test_the_plan_of_the_rows_scans_no_file(spark, tmp_dir):
     assert "FileScan" not in plan.split("== Physical Plan ==")[1]
     assert sorted((r["asin"], r["acos"]) for r in master.collect()) == [("A", 0.2), ("B", 0.005)]
     assert ST.normalize_pct(feed.rows).count() == 2
+
+
+def test_records_are_parsed_once_for_rows_and_rejects(spark, tmp_dir):
+    """Rows, rejects and files left out go on from the parsed records, which are written out."""
+    put(tmp_dir, "a.csv", 'asin,v\nA,1\nB\n"C\nc",3\n')
+    put(tmp_dir, "x/b.csv", "v,asin\n4,D\n5,E,6\n")
+    put(tmp_dir, "x/c.csv", "v,asin\n7,F\n")
+    feed = FL.read_exports(spark, FL.list_files(spark, tmp_dir))
+    for df in (feed.rows, feed.rejects):
+        assert "from_csv" not in df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert values(feed, "asin", "_src_row") == [("A", 1), ("B", 2), ("C\nc", 3), ("F", 1)]
+    assert {(r["_src_depth"], *r["_src_entry"]) for r in feed.rows.collect()} == {(0, "a.csv"), (1, "x", "c.csv")}
+    name = lambda r: (r["path"].rsplit("/", 1)[1], r["row"], r["reason"], r["record"])
+    assert sorted(map(name, feed.rejects.collect()), key=order) == sorted([("a.csv", 2, EX.SHORT, "B"), ("b.csv", 2, EX.LONG, "5,E,6"),
+        ("b.csv", None, EX.LEFT_OUT, None)], key=order)
