@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from typing import Iterable, List
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,20 +33,12 @@ def list_files(spark: SparkSession, folder: str, endings: Iterable[str] = CSV_EN
 
     Columns: path, name, depth (0 = top level), entry (names below the folder, whose order is the load order),
     file_date (S2)."""
-    base = _glob_safe(folder.rstrip("/"))
-    globs = [f"{base}/*", f"{base}/*/*"]
-    frames = []
-    for g in globs:
-        try:
-            frames.append(spark.read.format("binaryFile").load(g).select("path"))
-        except Exception as e:  # noqa: BLE001 - an empty glob is an empty listing
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
-    if not frames:
+    try:        # of the folder's sub-folders it lists the files directly in them
+        df = spark.read.format("binaryFile").load(f"{_glob_safe(folder.rstrip('/'))}/*").select("path")
+    except Exception as e:  # noqa: BLE001 - an empty glob is an empty listing
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], "path string, name string, depth int, entry array<string>, file_date date")
-    df = frames[0]
-    for f in frames[1:]:
-        df = df.unionByName(f)
     root = re.sub("^file:/+", "/", folder if re.match("[a-z][a-z0-9+.-]*:/", folder) else os.path.abspath(folder)).rstrip("/")
     rel = F.substring(EX.no_scheme(F.col("path")), len(root) + 2, 2**31 - 1)      # the prefix goes by length
     df = df.distinct().select("path", F.split(rel, "/").alias("entry"))
@@ -113,24 +105,19 @@ def select_day_or_latest_all(listing: DataFrame, day) -> DataFrame:
     return listing.filter(F.when(n_dated > 0, F.col("file_date") == target).otherwise(F.lit(True)))
 
 
-def _paths(listing: DataFrame) -> List[str]:
-    """Paths of a (file-name) listing: bounded by the number of export files."""
-    return [r["path"] for r in listing.orderBy(_load_key(listing)).select("path").collect()]
-
-
 def read_exports(spark: SparkSession, listing: DataFrame, on_long: str = "file") -> EX.Feed:
     """Every listed CSV as text columns, and what was not read.
 
     UTF-8 (BOM stripped) or Latin-1 per file; files with different headers are outer-unioned by column name. Each row
     keeps ``_src_entry`` (names below the folder, the load order), ``_src_path``, ``_src_depth`` and ``_src_row`` (record in
     its file; the header is 0). No file: only the ``_src`` columns. The files are scanned once; see ``exports``."""
-    paths = _paths(listing)
-    if not paths:
+    files = listing.orderBy(_load_key(listing)).select("path", "depth").collect()      # bounded by the number of export files
+    if not files:
         return EX.Feed(spark.createDataFrame([], EX.SRC), spark.createDataFrame([], EX.REJECTS))
-    first = listing.select(EX.no_scheme(F.col("path")).alias("path"), "depth").first()
-    root_parts = first["path"].count("/") - first["depth"]      # names above the listed folder's entries
+    # names above the listed folder's entries
+    root_parts = re.sub("^file:/+", "/", files[0]["path"]).count("/") - files[0]["depth"]
     entry = F.slice(F.split(EX.decoded(EX.no_scheme(F.col("path"))), "/"), root_parts + 1, 2**31 - 1)
-    return EX.parse(EX.scan_lines(spark, paths), listing, entry, on_long)
+    return EX.parse(EX.scan_lines(spark, [r["path"] for r in files]), listing, entry, on_long)
 
 
 def read_csv_files(spark: SparkSession, listing: DataFrame) -> DataFrame:
