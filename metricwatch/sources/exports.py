@@ -204,7 +204,8 @@ def parse(lines: DataFrame, listed: DataFrame | None = None, entry: Column | Non
         kept = kept.join(out, "file", "left_anti")
         rejects = rejects.unionAll(out.join(of, "file").select(
             "path", F.lit(None).cast("long"), F.lit(LEFT_OUT), F.lit(None).cast("string")))
-    kept = kept.join(of, "file")
+    # in as many tasks as the scan had, however few files there are
+    kept = kept.join(of, "file").repartition(lines.rdd.getNumPartitions(), "file", "row")
     if listed is not None:
         seen = facts.filter("first is not null").select(decoded(no_scheme(F.col("path"))).alias("_p"))
         none = listed.select("path").distinct().join(seen, no_scheme(F.col("path")) == F.col("_p"), "left_anti")
