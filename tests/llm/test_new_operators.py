@@ -226,3 +226,57 @@ def test_shingle_counts_of_repeated_lines(spark):
     line = "abcdefghij" * 5
     texts = spark.createDataFrame([(1, line)], "line_id long, line string")
     assert line_dedup.shaped(texts).first()["n"] == len(line) - line_dedup.SHINGLE + 1
+
+
+def _passage_lines():
+    """Many lines that hold one passage and as much text of their own, of which two are alike besides; no third is."""
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    passage = word(120)
+    texts = [passage + word(90) for _ in range(60)]
+    return [*texts, texts[7][:-6] + word(6)]
+
+
+def test_lines_with_a_common_passage_are_told_apart_before_verification(spark, monkeypatch):
+    """A bucket of such lines doesn't ask for the verification of all its pairs, and the link in it is found."""
+    from metricwatch.llm import line_dedup
+    texts, asked = _passage_lines(), []
+    real = line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, t: asked.append(pairs.count()) or real(pairs, t))
+    monkeypatch.setattr(line_dedup, "_buckets", lambda: F.array(F.lit(1)))         # all lines meet in one bucket
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    size = {r["doc_id"]: r["group_size"] for r in line_dedup.line_groups(docs).collect()}
+    assert {d for d, n in size.items() if n == 2} == {7, 60} and set(size.values()) == {1, 2}
+    assert len(asked) == 2 and sum(asked) <= len(texts)
+
+
+def test_own_shingles_of_a_crowd_say_nothing_of_other_buckets(spark, monkeypatch):
+    """A line's text that no other line of a crowded bucket has may still stand in a line it meets elsewhere."""
+    from metricwatch.llm import line_dedup
+    texts = _passage_lines()[:60]
+    own = texts[7][120:] * 3
+    texts = [*texts, texts[7][:60] + own, own, own[:-2] + "##"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = [r["id"] for r in docs.select(F.xxhash64("text").alias("id"), "doc_id").orderBy("doc_id").collect()]
+    of = F.when(F.col("line_id").isin(ids[:60]), F.array(F.lit(1))).when(F.col("line_id") == ids[60], F.array(F.lit(1), F.lit(2)))
+    monkeypatch.setattr(line_dedup, "_buckets", lambda: of.otherwise(F.array(F.lit(2))))
+    size = {r["doc_id"]: r["group_size"] for r in line_dedup.line_groups(docs).collect()}
+    shingles = lambda s: {s[k:k + 9] for k in range(len(s) - 8)}
+    alike = lambda a, b: 100 * len(shingles(a) & shingles(b)) >= 75 * len(shingles(a) | shingles(b))
+    assert alike(texts[61], texts[62]) and size[61] == size[62] == 2 + alike(texts[60], texts[61])
+
+
+def test_short_lines_are_one_shingle(spark):
+    from metricwatch.llm import line_dedup
+    rows = spark.createDataFrame([(1, "ab\r"), (2, "12345678"), (3, "123456789"), (4, "1234567890")], "line_id long, line string")
+    got = {r["line_id"]: r["s"] for r in rows.select("line_id", line_dedup._shingles(F.col("line")).alias("s")).collect()}
+    assert got == {1: ["ab\r"], 2: ["12345678"], 3: ["123456789"], 4: ["123456789", "234567890"]}
+
+
+def test_verification_cuts_each_line_once(spark):
+    """The condition on a pair of lines doesn't cut them again for every use of their shingles."""
+    from metricwatch.llm import line_dedup
+    texts = spark.createDataFrame([(1, "one line of text", 8), (2, "one line of texts", 9)], "line_id long, line string, size int")
+    links = line_dedup.verified(spark.createDataFrame([(2, 1)], "a long, b long"), texts)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
+    assert [tuple(r) for r in links.collect()] == [(2, 1)]
